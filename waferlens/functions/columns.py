@@ -15,7 +15,7 @@ BLANK_CHARACTERS = (
 )
 
 # Fixed value: day/month/year hour:minute:second, one or two digits each, any blanks around.
-TEST_TIME_PATTERN = r"^\s*\d{1,2}/\d{1,2}/\d{1,4}\s+\d{1,2}:\d{1,2}:\d{1,2}\s*$"
+TEST_TIME_PATTERN = r"^\s*(\d{1,2})/(\d{1,2})/(\d{1,4})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})\s*$"
 
 # Shape of a displayed hit.
 SNIPPET_CHARACTERS = 220
@@ -33,12 +33,13 @@ def is_sentinel(value: Column, sentinel: float) -> Column:
 
 
 def nullify_sentinel(value: Column, sentinel: float) -> Column:
-    return F.nullif(value, F.lit(sentinel))
+    return F.when(value != F.lit(sentinel), value)
 
 
 def clean_reading(value: Column, sentinel: float) -> Column:
-    """Both spellings of a missing reading become NULL."""
-    return nullify_sentinel(nan_to_null(value.cast("double")), sentinel)
+    """Both spellings of a missing reading, NaN and the sentinel, become NULL."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number) & (number != F.lit(sentinel)), number)
 
 
 def round_half_away(value: Column, digits: int) -> Column:
@@ -68,22 +69,13 @@ def map_label(label: Column, mapping: Mapping[int, object], default: object = No
 def parse_test_time(text: Column) -> Column:
     """Zoneless timestamp from a ``d/M/y H:m:s`` text, NULL when it is not one.
 
-    Built from the numbers themselves so the session time zone plays no part.
+    The numbers are put in ISO order, the year padded to four digits, and cast
+    without a zone, so the session time zone plays no part.
     """
-    numbers = F.regexp_extract_all(text, F.lit(r"\d+"), F.lit(0))
-
-    def number(position: int) -> Column:
-        return F.get(numbers, F.lit(position)).cast("int")
-
-    parsed = F.try_make_timestamp_ntz(
-        years=number(2),
-        months=number(1),
-        days=number(0),
-        hours=number(3),
-        mins=number(4),
-        secs=number(5).cast("decimal(16,6)"),
-    )
-    return F.when(text.rlike(TEST_TIME_PATTERN) & (number(5) < 60), parsed)
+    padded = F.regexp_replace(text, TEST_TIME_PATTERN, "000$3-$2-$1 $4:$5:$6")
+    # A text that is no test time comes back unchanged.
+    iso = F.regexp_replace(F.nullif(padded, text), r"^\d+(\d{4}-)", "$1")
+    return iso.try_cast("timestamp_ntz")
 
 
 def strip_blanks(text: Column) -> Column:

@@ -59,31 +59,61 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     )
 
 
+def _key_and_nulls(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """One row: repeated values of ``key`` and NULLs per column, from one scan and shuffle."""
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"_null_{c}") for c in columns],
+    )
+    repeated = F.col(key).isNotNull() & (F.col("_rows") > 1)
+    return per_key.agg(
+        F.count(F.when(repeated, 1)).alias("_repeated"),
+        *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in columns],
+    )
+
+
+def _table_suite(df: DataFrame, checks: Sequence[Check]) -> list[DataFrame]:
+    """(test, failures) tables covering all checks of one table."""
+    nulls = [check for check in checks if check.kind == "not_null"]
+    keys = [check for check in checks if check.kind == "unique"]
+    values = [check for check in checks if check.kind == "accepted_values"]
+    parts = []
+    if keys:
+        found = _key_and_nulls(df, keys[0].column, [check.column for check in nulls])
+        results = [(keys[0].name, "_repeated")]
+        results += [(check.name, f"_null_{check.column}") for check in nulls]
+        rows = [
+            F.struct(F.lit(name).alias("test"), F.col(column).alias("failures"))
+            for name, column in results
+        ]
+        parts.append(found.select(F.inline(F.array(*rows))))
+    elif nulls:
+        counted = not_null_counts(df, [check.column for check in nulls])
+        prefix = f"not_null:{nulls[0].table}."
+        parts.append(
+            counted.select(F.concat(F.lit(prefix), "column_name").alias("test"), "failures")
+        )
+    failing = [(check, unique(df, check.column)) for check in keys[1:]]
+    failing += [(check, accepted_values(df, check.column, check.values)) for check in values]
+    parts += [
+        rows.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(check.name).alias("test"), "failures"
+        )
+        for check, rows in failing
+    ]
+    return parts
+
+
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """(test, failures) per check; not_null checks of one table share one scan."""
+    """(test, failures) per check.
+
+    Failures are failing rows of not_null, repeated values of unique, and
+    distinct unexpected values of accepted_values. The key check and all
+    not_null checks of a table come from the same scan.
+    """
     parts = []
     for table, df in tables.items():
-        own = [check for check in checks if check.table == table]
-        nulls = [check for check in own if check.kind == "not_null"]
-        if nulls:
-            counted = not_null_counts(df, [check.column for check in nulls])
-            parts.append(
-                counted.select(
-                    F.concat(F.lit(f"not_null:{table}."), "column_name").alias("test"), "failures"
-                )
-            )
-        for check in own:
-            if check.kind == "unique":
-                failing = unique(df, check.column)
-            elif check.kind == "accepted_values":
-                failing = accepted_values(df, check.column, check.values)
-            else:
-                continue
-            parts.append(
-                failing.agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit(check.name).alias("test"), "failures"
-                )
-            )
+        parts += _table_suite(df, [check for check in checks if check.table == table])
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -41,33 +41,36 @@ def wafer_features_wide(
 ) -> DataFrame:
     """The same features straight from one raw array per wafer, without any shuffle.
 
-    The selected channels (at most ``top_sensors`` rows) become literals of a
-    single projection.
+    The arrays hold every channel, as ``read_matrix`` leaves them. The selected
+    channels (at most ``top_sensors`` rows) become literals of a projection.
     """
-    chosen = {r["sensor_rank"]: r for r in fills.select(sensor, "sensor_rank", "sensor_median").collect()}
-
-    def cleaned(channel: int) -> Column:
-        return clean_reading(F.get(values, F.lit(channel - 1)), config.sentinel)
-
-    missing = [
-        ((F.size(values) >= row[sensor]) & cleaned(row[sensor]).isNull()).cast("int")
-        for row in chosen.values()
-    ]
-    missing_count = sum(missing, F.lit(0)).cast("long")
-    features = []
-    for rank, feature in enumerate(config.feature_names, start=1):
-        row = chosen.get(rank)
-        if row is None:
-            features.append(F.lit(None).cast("double").alias(feature))
-            continue
-        fill = F.lit(row["sensor_median"]).cast("double")
-        kept = F.coalesce(cleaned(row[sensor]), fill)
-        features.append(F.when(F.size(values) >= row[sensor], kept).alias(feature))
-    return matrix.select(
+    rows = fills.select(sensor, "sensor_rank", "sensor_median").collect()
+    by_rank = {row["sensor_rank"]: row for row in rows}
+    chosen = {
+        feature: by_rank[rank]
+        for rank, feature in enumerate(config.feature_names, start=1)
+        if rank in by_rank
+    }
+    cleaned = matrix.select(
+        wafer,
+        *[
+            clean_reading(F.get(values, F.lit(row[sensor] - 1)), config.sentinel).alias(feature)
+            for feature, row in chosen.items()
+        ],
+    )
+    gap_count = F.expr(" + ".join(["0", *[f"int({feature} IS NULL)" for feature in chosen]]))
+    filled = {
+        feature: F.coalesce(feature, F.lit(row["sensor_median"]).cast("double"))
+        for feature, row in chosen.items()
+    }
+    return cleaned.select(
         wafer,
-        (missing_count > 0).cast("int").alias("any_imputed_flag"),
-        missing_count.alias("imputed_sensor_count"),
-        *features,
+        (gap_count > 0).cast("int").alias("any_imputed_flag"),
+        gap_count.cast("long").alias("imputed_sensor_count"),
+        *[
+            filled.get(feature, F.lit(None).cast("double")).alias(feature)
+            for feature in config.feature_names
+        ],
     )
 
 

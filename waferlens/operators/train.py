@@ -153,7 +153,11 @@ def train_forest(
     depth: int = DEPTH,
     seed: int = SEED,
 ) -> RandomForestClassificationModel:
-    """Class-balanced random forest, grown level by level over all executors."""
+    """Class-balanced random forest, grown level by level over all executors.
+
+    Every level passes over the rows for all trees, so the rows are spread
+    evenly once, however few files they come from.
+    """
     weights = class_weights(train, target).select(target, "class_weight")
     if weights.count() > MAX_CLASSES:
         raise ValueError(f"{target} has too many classes to classify")
@@ -167,7 +171,8 @@ def train_forest(
         seed=seed,
         maxMemoryInMB=1024,
     )
-    return forest.fit(assemble(weighted, features))
+    spread = weighted.repartition(int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return forest.fit(assemble(spread, features))
 
 
 def score_batch(

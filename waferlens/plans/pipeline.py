@@ -75,14 +75,17 @@ def build_silver(
 ) -> SilverTables:
     """Cleaned readings and labels, the ranked channels, one feature row per wafer.
 
-    Cleaning is a cheap projection, so it stays a view over bronze. The ranked
-    channels are a table, as everything after them joins it. Features come from
-    the wide table, where a wafer is one row already and nothing is shuffled.
+    Cleaning readings is a cheap projection, so that stays a view over bronze.
+    Labels are parsed once into a table, whose times and dates then filter at
+    the scan. The ranked channels are a table too, as everything after joins
+    it. Features come from the wide table, where a wafer is one row already and
+    nothing is shuffled.
     """
     readings = quality.stage_readings(bronze.long, config)
     readings.createOrReplaceTempView(f"{STAGING}_readings")
-    staged_labels = yields.stage_labels(bronze.labels, config)
-    staged_labels.createOrReplaceTempView(f"{STAGING}_labels")
+    staged_labels = write_table(
+        yields.stage_labels(bronze.labels, config), STAGING, "labels", root
+    )
     ranked = write_table(
         quality.channel_quality(readings, config), INTERMEDIATE, "sensor_quality", root
     )

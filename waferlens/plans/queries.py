@@ -28,7 +28,7 @@ from waferlens.operators import (
     yields,
 )
 from waferlens.plans.checks import PIPELINE_CHECKS
-from waferlens.shared import scratch_path
+from waferlens.shared import scratch_path, stage_table
 from waferlens.sources import documents, labels, matrix, ordinals, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,7 +69,15 @@ def raw_matrix(spark, sf_dir) -> DataFrame:
 
 
 def raw_readings(spark, sf_dir) -> DataFrame:
-    return reshape.melt_array(raw_matrix(spark, sf_dir))
+    """One row per wafer and channel."""
+    long = reshape.melt_array(
+        table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "sensor_id", "element"
+    )
+    return long.select(
+        F.col("vec_id").alias("wafer_id"),
+        "sensor_id",
+        _reading(F.col("vec_id"), F.col("sensor_id") - 1, F.col("element")).alias("reading_value"),
+    )
 
 
 def raw_labels(spark, sf_dir) -> DataFrame:
@@ -347,7 +355,8 @@ def metrics_record(spark, sf_dir) -> DataFrame:
 
 
 def _trained(spark, sf_dir):
-    mart = train.with_target(feature_mart(spark, sf_dir), drop_unlabelled=True)
+    written = stage_table(feature_mart(spark, sf_dir), "ml-features")
+    mart = train.with_target(written, drop_unlabelled=True)
     split = train.stratified_split(mart)
     names = train.feature_columns(split)
     return train.train_forest(split.where("split = 'train'"), names), split, names

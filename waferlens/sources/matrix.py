@@ -35,23 +35,39 @@ def read_matrix(spark: SparkSession, path: str | list[str], wafer: str = "wafer_
     """(wafer, values): one row per non-blank line, numbered in file order.
 
     The array layout keeps the schema at two columns however many channels
-    there are; ``widen`` projects named columns on demand.
+    there are; ``widen`` projects named columns on demand. The first line says
+    how many channels there are: shorter lines are padded with NULL, longer
+    ones are an error.
     """
-    lines = read_lines(spark, path)
-    parsed = lines.select(
-        parse_values(F.col("value")).alias("values"), "file_path", "block_start", "place"
+    lines = read_lines(spark, path).withColumn("values", parse_values(F.col("value")))
+    numbered = number_rows(
+        lines.withColumn("channels", F.size("values")).drop("value"), wafer
     )
-    return number_rows(parsed, wafer)
+    sizes = numbered.agg(
+        F.min_by("channels", wafer).alias("first"),
+        F.min("channels").alias("least"),
+        F.max("channels").alias("most"),
+    ).first()
+    width = sizes["first"]
+    if sizes["most"] is not None and sizes["most"] > width:
+        raise ValueError(f"a matrix line has {sizes['most']} numbers, the first has {width}")
+    values = F.col("values")
+    if sizes["least"] != width:
+        padding = F.array_repeat(F.lit(None).cast("double"), F.lit(width) - F.size(values))
+        values = F.concat(values, padding).alias("values")
+    return numbered.select(wafer, values)
 
 
 def matrix_width(matrix: DataFrame, values: str = "values") -> int:
-    return matrix.agg(F.max(F.size(values))).first()[0] or 0
+    """Channels of a matrix; every row has the same number."""
+    row = matrix.select(F.size(values)).first()
+    return row[0] if row else 0
 
 
 def widen(
     matrix: DataFrame, width: int | None = None, wafer: str = "wafer_id", values: str = "values"
 ) -> DataFrame:
-    """Named ``sensor_NNN`` columns; short lines are padded with NULL."""
+    """Named ``sensor_NNN`` columns."""
     width = matrix_width(matrix, values) if width is None else width
     return matrix.select(
         wafer,
