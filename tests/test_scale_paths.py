@@ -53,20 +53,35 @@ def expected_medians(rows):
 
 
 @pytest.mark.parametrize("single_task_rows", [1_000_000, 5])
-@pytest.mark.parametrize(("accuracy", "half_width"), [(10_000, 0.002), (1, 0.0), (3, 0.3)])
-def test_sliced_median_is_exact_under_skew_and_bad_sketches(
-    spark, monkeypatch, single_task_rows, accuracy, half_width
+@pytest.mark.parametrize("guess", ["right", "far off", "point", "not a number", "infinite"])
+def test_counted_median_is_exact_under_skew_and_bad_guesses(
+    spark, monkeypatch, single_task_rows, guess
 ):
-    monkeypatch.setattr(impute, "SKETCH_ACCURACY", accuracy)
-    monkeypatch.setattr(impute, "SLICE", half_width)
+    monkeypatch.setattr(impute, "BINS", 7)
     rows = median_rows()
-    df = spark.createDataFrame(rows, "wafer_id long, sensor_id int, reading_value double")
-    found = impute.sliced_median(
-        df.repartition(6), "sensor_id", "reading_value", "m", single_task_rows
-    )
+    df = spark.createDataFrame(
+        rows, "wafer_id long, sensor_id int, reading_value double"
+    ).repartition(6)
+    mean, stddev = {
+        "right": (F.col("reading_mean"), F.col("reading_stddev")),
+        "far off": (F.lit(1e9), F.lit(1.0)),
+        "point": (F.lit(0.1), F.lit(0.0)),
+        "not a number": (F.lit(math.nan), F.lit(1.0)),
+        "infinite": (F.lit(0.0), F.lit(math.inf)),
+    }[guess]
+    spread = impute.value_spread(df).withColumns({"reading_mean": mean, "reading_stddev": stddev})
+    found = impute.counted_median(df, spread, name="m", single_task_rows=single_task_rows)
     assert {r["sensor_id"]: r["m"] for r in found.collect()} == expected_medians(rows)
 
 
+def test_infinite_readings_have_medians(spark):
+    rows = [(i, 1, math.inf) for i in range(4)] + [(i, 1, float(i)) for i in range(7)]
+    rows += [(i, 2, -math.inf) for i in range(3)]
+    df = spark.createDataFrame(rows, "wafer_id long, sensor_id int, reading_value double")
+    found = impute.channel_median(df, name="m", in_memory_values=0, single_task_rows=0)
+    assert {r["sensor_id"]: r["m"] for r in found.collect()} == {1: 5.0, 2: -math.inf}
+
+
 def test_large_channels_take_the_sliced_way(spark):
     rows = median_rows()
     df = spark.createDataFrame(rows, "wafer_id long, sensor_id int, reading_value double")

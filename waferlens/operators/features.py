@@ -42,34 +42,30 @@ def wafer_features_wide(
     """The same features straight from one raw array per wafer, without any shuffle.
 
     The arrays hold every channel, as ``read_matrix`` leaves them. The selected
-    channels (at most ``top_sensors`` rows) become literals of a projection.
+    channels (at most ``top_sensors`` rows) become literal arrays, so the work
+    per wafer is a short loop however many features there are.
     """
-    rows = fills.select(sensor, "sensor_rank", "sensor_median").collect()
-    by_rank = {row["sensor_rank"]: row for row in rows}
-    chosen = {
-        feature: by_rank[rank]
-        for rank, feature in enumerate(config.feature_names, start=1)
-        if rank in by_rank
-    }
-    cleaned = matrix.select(
+    chosen = fills.orderBy("sensor_rank").select(sensor, "sensor_median").collect()
+    channels = F.array(*[F.lit(row[sensor]) for row in chosen])
+    medians = F.array(*[F.lit(row["sensor_median"]).cast("double") for row in chosen])
+    picked = matrix.select(
         wafer,
-        *[
-            clean_reading(F.get(values, F.lit(row[sensor] - 1)), config.sentinel).alias(feature)
-            for feature, row in chosen.items()
-        ],
+        F.transform(
+            channels, lambda c: clean_reading(F.get(F.col(values), c - 1), config.sentinel)
+        ).alias("_picked"),
+    )
+    filled = picked.select(
+        wafer,
+        F.size(F.filter("_picked", lambda reading: reading.isNull())).alias("_gaps"),
+        F.zip_with("_picked", medians, lambda r, m: F.coalesce(r, m)).alias("_filled"),
     )
-    gap_count = F.expr(" + ".join(["0", *[f"int({feature} IS NULL)" for feature in chosen]]))
-    filled = {
-        feature: F.coalesce(feature, F.lit(row["sensor_median"]).cast("double"))
-        for feature, row in chosen.items()
-    }
-    return cleaned.select(
+    return filled.select(
         wafer,
-        (gap_count > 0).cast("int").alias("any_imputed_flag"),
-        gap_count.cast("long").alias("imputed_sensor_count"),
+        (F.col("_gaps") > 0).cast("int").alias("any_imputed_flag"),
+        F.col("_gaps").cast("long").alias("imputed_sensor_count"),
         *[
-            filled.get(feature, F.lit(None).cast("double")).alias(feature)
-            for feature in config.feature_names
+            F.get("_filled", F.lit(place)).alias(feature)
+            for place, feature in enumerate(config.feature_names)
         ],
     )
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waferlens.config import PipelineConfig
@@ -12,9 +14,20 @@ from waferlens.shared import materialise
 
 # The built-in median holds a channel's distinct values in one task's memory.
 IN_MEMORY_VALUES = 100_000
-# Half width, in quantiles, of the slice around the middle that is kept as values.
-SLICE = 0.002
-SKETCH_ACCURACY = 10_000
+# Bins a channel's range is cut into, and how often the bin around the median is cut again.
+BINS = 256
+NARROWINGS = 4
+
+
+def value_spread(
+    readings: DataFrame, sensor: str = "sensor_id", reading: str = "reading_value"
+) -> DataFrame:
+    """Count, mean and spread per channel, as ``channel_median`` uses them."""
+    return readings.groupBy(sensor).agg(
+        F.count(reading).alias("non_null_readings"),
+        F.avg(reading).alias("reading_mean"),
+        F.stddev_samp(reading).alias("reading_stddev"),
+    )
 
 
 def channel_median(
@@ -22,114 +35,147 @@ def channel_median(
     sensor: str = "sensor_id",
     reading: str = "reading_value",
     name: str = "sensor_median",
-    largest_channel: int | None = None,
+    spread: DataFrame | None = None,
     in_memory_values: int = IN_MEMORY_VALUES,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Exact interpolating median of the non-null readings of every channel.
 
-    ``largest_channel``, when the caller has profiled the readings already, is
-    the highest number of readings in one channel. Where that is small the
-    built-in median does it; otherwise the median is picked by rank from value
-    counts, so a channel of any size is spread over all tasks.
+    ``spread`` takes the ``value_spread`` columns of an earlier profile, which
+    saves a scan. Where channels are small the built-in median does it;
+    otherwise the median is narrowed down by counting, so a channel of any size
+    is spread over all tasks.
     """
-    if largest_channel is None:
-        sizes = readings.groupBy(sensor).agg(F.count(reading).alias("n"))
-        largest_channel = sizes.agg(F.max("n")).first()[0] or 0
-    if largest_channel <= in_memory_values:
+    if spread is None:
+        spread = materialise(value_spread(readings, sensor, reading))
+    largest = spread.agg(F.max("non_null_readings")).first()[0] or 0
+    if largest <= in_memory_values:
         return readings.groupBy(sensor).agg(F.median(reading).alias(name))
-    return sliced_median(readings, sensor, reading, name, single_task_rows)
+    return counted_median(readings, spread, sensor, reading, name, single_task_rows)
 
 
-def sliced_median(
+def counted_median(
     readings: DataFrame,
-    sensor: str,
-    reading: str,
-    name: str,
+    spread: DataFrame,
+    sensor: str = "sensor_id",
+    reading: str = "reading_value",
+    name: str = "sensor_median",
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Exact median of channels too large for one task.
-
-    Pass one sketches two quantiles close to the middle of every channel. Pass
-    two counts readings by value, with everything outside those quantiles
-    collapsed into one count per side, so only a thin slice is shuffled. The
-    middle ranks are then looked up in running counts. If a sketch missed the
-    middle of any channel, pass two is repeated without collapsing.
+    """Exact median of channels too large for one task, by counts alone.
+
+    A median lies within one standard deviation of the mean. That range is cut
+    into bins, readings are counted per bin, and the bins of the middle ranks
+    become the next, narrower range; any bin, the two outside the range
+    included, carries its own extremes, so a poor first guess costs a pass but
+    never exactness. Readings of the last range are counted by value, and the
+    middle ranks are looked up in running counts. Every step combines map-side.
     """
-    readings = readings.select(sensor, F.col(reading).cast("double").alias("_value"))
-    sketch = materialise(
-        readings.groupBy(sensor).agg(
-            F.count("_value").alias("_n"),
-            F.percentile_approx(
-                "_value", [0.5 - SLICE, 0.5 + SLICE], SKETCH_ACCURACY
-            ).alias("_slice"),
-        )
+    values = readings.select(sensor, F.col(reading).cast("double").alias("_value")).where(
+        F.col("_value").isNotNull()
     )
-    few_channels = sketch.count() <= BROADCAST_CHANNELS
-    bounds = sketch.select(
-        sensor, F.col("_slice")[0].alias("_low"), F.col("_slice")[1].alias("_high")
+    spare = F.coalesce("reading_stddev", F.lit(0.0))
+    state = materialise(
+        spread.select(
+            sensor,
+            F.floor((F.col("non_null_readings") + 1) / 2).alias("_lower_rank"),
+            F.floor((F.col("non_null_readings") + 2) / 2).alias("_upper_rank"),
+            # Everything is inside at first; NaN is above every other double.
+            F.lit(-math.inf).alias("_from"),
+            F.lit(math.nan).alias("_to"),
+            (F.col("reading_mean") - spare).alias("_low"),
+            (F.col("reading_mean") + spare).alias("_high"),
+            F.lit(0).cast("long").alias("_before"),
+            F.col("non_null_readings").alias("_inside"),
+        )
     )
-    present = readings.where(F.col("_value").isNotNull()).join(
-        F.broadcast(bounds) if few_channels else bounds, sensor
+    few_channels = state.count() <= BROADCAST_CHANNELS
+
+    def inside(current: DataFrame) -> DataFrame:
+        bounds = current.select(sensor, "_from", "_to", "_low", "_high")
+        joined = values.join(F.broadcast(bounds) if few_channels else bounds, sensor)
+        return joined.where(F.col("_value").between(F.col("_from"), F.col("_to")))
+
+    for _ in range(NARROWINGS):
+        open_ranges = state.where(F.col("_from") < F.col("_to"))
+        if (open_ranges.agg(F.sum("_inside")).first()[0] or 0) <= single_task_rows:
+            break
+        state = materialise(_narrowed(inside(state), state, sensor))
+
+    counted = inside(state).groupBy(sensor, "_value").agg(F.count(F.lit(1)).alias("_times"))
+    upto = running_sum(counted, [sensor, "_value"], "_times", "_upto", single_task_rows)
+    start = upto.groupBy(sensor).agg(
+        F.min(F.col("_upto") - F.col("_times")).alias("_start")
     )
-    side = (
-        F.when(F.col("_value") < F.col("_low"), -1)
-        .when(F.col("_value") > F.col("_high"), 1)
-        .otherwise(0)
+    ranks = state.join(start, sensor, "left").select(
+        sensor,
+        (F.col("_start") + F.col("_lower_rank") - F.col("_before")).alias("_lower"),
+        (F.col("_start") + F.col("_upper_rank") - F.col("_before")).alias("_upper"),
     )
-    sliced = present.withColumn("_side", side).withColumn(
-        "_value", F.when(F.col("_side") == 0, F.col("_value"))
+    at_lower, at_upper = _holds("_lower"), _holds("_upper")
+    picked = (
+        upto.join(ranks, sensor)
+        .where(at_lower | at_upper)
+        .groupBy(sensor)
+        .agg(
+            F.max(F.when(at_lower, F.col("_value"))).alias("_left"),
+            F.max(F.when(at_upper, F.col("_value"))).alias("_right"),
+        )
     )
-    medians = materialise(_middle_by_rank(sliced, sketch, sensor, name, single_task_rows))
-    missed = medians.where("_missed")
-    if missed.isEmpty():
-        return medians.drop("_missed")
-
-    whole = readings.where(F.col("_value").isNotNull()).withColumn("_side", F.lit(0))
-    again = missed.select(sensor)
-    redone = _middle_by_rank(
-        whole.join(again, sensor, "left_semi"),
-        sketch.join(again, sensor, "left_semi"),
-        sensor,
-        name,
-        single_task_rows,
+    return ranks.join(picked, sensor, "left").select(
+        sensor, ((F.col("_left") + F.col("_right")) / 2).alias(name)
     )
-    return medians.where("not _missed").unionByName(redone).drop("_missed")
 
 
-def _middle_by_rank(
-    values: DataFrame, sketch: DataFrame, sensor: str, name: str, single_task_rows: int
-) -> DataFrame:
-    """Median per channel from (channel, side, value) rows; ``_missed`` if it lies off-slice."""
-    counted = values.groupBy(sensor, "_side", "_value").agg(F.count(F.lit(1)).alias("_times"))
-    upto = running_sum(counted, [sensor, "_side", "_value"], "_times", "_upto", single_task_rows)
-    start = upto.groupBy(sensor).agg(F.min(F.col("_upto") - F.col("_times")).alias("_start"))
-    middles = sketch.join(start, sensor, "left").select(
-        sensor,
-        (F.col("_start") + F.floor((F.col("_n") + 1) / 2)).alias("_lower"),
-        (F.col("_start") + F.floor((F.col("_n") + 2) / 2)).alias("_upper"),
-    )
+def _holds(rank: str):
+    """Whether ``_times`` rows ending at running count ``_upto`` include a rank."""
+    return (F.col(rank) > F.col("_upto") - F.col("_times")) & (F.col(rank) <= F.col("_upto"))
 
-    def holds(rank: str):
-        return (F.col(rank) > F.col("_upto") - F.col("_times")) & (
-            F.col(rank) <= F.col("_upto")
-        )
 
-    at_lower, at_upper = holds("_lower"), holds("_upper")
-    picked = (
-        upto.join(middles, sensor)
-        .where(at_lower | at_upper)
+def _narrowed(inside: DataFrame, state: DataFrame, sensor: str) -> DataFrame:
+    """The state with each range cut down to the bins that hold the middle ranks."""
+    width = F.col("_high") - F.col("_low")
+    place = F.floor((F.col("_value") - F.col("_low")) / width * BINS)
+    in_bin = (
+        F.when(F.col("_value") < F.col("_low"), F.lit(-1))
+        .when(F.col("_value") > F.col("_high"), F.lit(BINS))
+        .when((width > 0) & (width < math.inf), F.least(place, F.lit(BINS - 1)))
+        .otherwise(F.lit(0))
+    )
+    # At most BINS + 2 rows per channel, whatever its size.
+    by_bin = Window.partitionBy(sensor).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = (
+        inside.groupBy(sensor, in_bin.cast("int").alias("_bin"))
+        .agg(
+            F.count(F.lit(1)).alias("_times"),
+            F.min("_value").alias("_least"),
+            F.max("_value").alias("_most"),
+        )
+        .withColumn("_upto", F.sum("_times").over(by_bin))
+        .join(state.select(sensor, "_lower_rank", "_upper_rank", "_before"), sensor)
+        .withColumn("_upto", F.col("_upto") + F.col("_before"))
+    )
+    found = (
+        bins.where(_holds("_lower_rank") | _holds("_upper_rank"))
         .groupBy(sensor)
         .agg(
-            F.max(F.when(at_lower, F.col("_value"))).alias("_low"),
-            F.max(F.when(at_upper, F.col("_value"))).alias("_high"),
-            F.max(F.col("_side") != 0).alias("_missed"),
+            F.min("_least").alias("_from"),
+            F.max("_most").alias("_to"),
+            F.min(F.col("_upto") - F.col("_times")).alias("_before"),
+            F.sum("_times").alias("_inside"),
         )
     )
-    return middles.join(picked, sensor, "left").select(
+    ranks = state.select(sensor, "_lower_rank", "_upper_rank")
+    return ranks.join(found, sensor, "left").select(
         sensor,
-        ((F.col("_low") + F.col("_high")) / 2).alias(name),
-        F.coalesce("_missed", F.lit(False)).alias("_missed"),
+        "_lower_rank",
+        "_upper_rank",
+        "_from",
+        "_to",
+        F.col("_from").alias("_low"),
+        F.col("_to").alias("_high"),
+        "_before",
+        "_inside",
     )
 
 
@@ -144,19 +190,14 @@ def fill_channels(
 
     Fixed once, so imputation and pivoting do not recompute the medians.
     """
-    selected = selected_of(quality, sensor)
-    largest = selected.agg(F.max("non_null_readings")).first()[0] or 0
+    selected = quality.where("is_selected_for_ml")
     kept = join_channels(staged, selected.select(sensor), config, sensor, "left_semi")
-    medians = channel_median(kept, sensor, reading, largest_channel=largest)
+    medians = channel_median(kept, sensor, reading, spread=selected)
     return materialise(
         selected.select(sensor, "sensor_rank").join(medians, sensor, "left")
     )
 
 
-def selected_of(quality: DataFrame, sensor: str) -> DataFrame:
-    return quality.where("is_selected_for_ml").select(sensor, "sensor_rank", "non_null_readings")
-
-
 def median_impute(
     staged: DataFrame,
     fills: DataFrame,

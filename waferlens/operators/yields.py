@@ -35,18 +35,25 @@ def _tallies(config: PipelineConfig):
 
 
 def daily_yield(staged: DataFrame, config: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """Yield KPIs per test date, in date order; untimed labels are left out."""
+    """Yield KPIs per test date, in date order; untimed labels are left out.
+
+    The group without a date is dropped after counting: a filter before it
+    would have a not yet stored timestamp parsed twice per row.
+    """
     tested, failed, passed = _tallies(config)
     return (
-        staged.where(F.col("tested_at").isNotNull())
-        .groupBy(F.col("tested_at").cast("date").alias("test_date"))
+        staged.select(F.col("tested_at").cast("date").alias("test_date"), "is_fail")
+        .groupBy("test_date")
         .agg(
+            F.count("test_date").alias("_timed"),
             tested.alias("wafer_count"),
             failed.alias("fail_count"),
             passed.alias("pass_count"),
             percentage(failed, tested).alias("fail_rate_pct"),
             percentage(passed, tested).alias("yield_rate_pct"),
         )
+        .where("_timed > 0")
+        .drop("_timed")
         .orderBy("test_date")
     )
 

@@ -367,7 +367,7 @@ ORACLE_SQL: dict[str, str] = {
            from neighbours join documents on doc_id = id""",
     ),
 }
-for _name in ("channel_median", "channel_median_sliced"):
+for _name in ("channel_median", "channel_median_counted"):
     ORACLE_SQL[_name] = query(
         [*READINGS, "medians"],
         "select sensor_id, round(sensor_median, 9) as sensor_median from medians",

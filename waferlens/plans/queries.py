@@ -215,10 +215,10 @@ def channel_median(spark, sf_dir) -> DataFrame:
     )
 
 
-def channel_median_sliced(spark, sf_dir) -> DataFrame:
+def channel_median_counted(spark, sf_dir) -> DataFrame:
     """The median of channels beyond one task's memory, forced on whatever size is given."""
-    return impute.sliced_median(
-        staged_readings(spark, sf_dir), "sensor_id", "reading_value", "sensor_median"
+    return impute.channel_median(
+        staged_readings(spark, sf_dir), in_memory_values=0, single_task_rows=1_000
     ).withColumns(rounded("sensor_median", digits=9))
 
 
@@ -509,7 +509,7 @@ QUERIES: dict[str, Query] = {
     "selected_channels": selected_channels,
     "selected_readings": selected_readings,
     "channel_median": channel_median,
-    "channel_median_sliced": channel_median_sliced,
+    "channel_median_counted": channel_median_counted,
     "median_impute": median_impute,
     "wafer_features": wafer_features,
     "wafer_features_wide": wafer_features_wide,
