@@ -106,9 +106,9 @@ def test_index_answers_questions_about_the_tables(spark, marts, tmp_path):
     kinds = {r[0]: r[1] for r in index.groupBy(F.element_at("metadata", "type")).count().collect()}
     assert kinds["model"] == 3 and kinds["glossary"] == 3
     questions = spark.createDataFrame([(0, "wafers made together")], "query_id int, text string")
-    hits = search.search(index.drop("embedding"), questions, encoder, k=3)
+    hits = search.search(index, questions, encoder, k=3)
     best = hits.orderBy("rank").first()
     assert best["id"] == "glossary::2"
     assert best["headline"].startswith("[glossary] Lot")
     with pytest.raises(RuntimeError, match="no documents"):
-        search.search(index.drop("embedding").limit(0), questions, encoder)
+        search.search(index.limit(0), questions, encoder)

@@ -212,6 +212,15 @@ def test_embedding_equals_hand_computed_tfidf(spark):
         assert np.allclose(found[i], vector / norm if norm else vector, atol=1e-6)
 
 
+def test_a_repeated_key_stays_on_one_side_of_the_split(spark):
+    rows = [(7, 1)] * 400 + [(i, i % 2) for i in range(100, 900)]
+    df = spark.createDataFrame(rows, "wafer_id long, is_fail int")
+    split = train.stratified_split(df)
+    sides = split.groupBy("wafer_id").agg(F.countDistinct("split").alias("n"))
+    assert sides.agg(F.max("n")).first()[0] == 1
+    assert split.count() == len(rows)
+
+
 def test_external_encoder_hook(spark):
     df = spark.createDataFrame([(1, "ab"), (2, "abc")], "id int, text string")
 

@@ -14,8 +14,10 @@ BLANK_CHARACTERS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Fixed value: day/month/year hour:minute:second, one or two digits each, any blanks around.
-TEST_TIME_PATTERN = r"^\s*(\d{1,2})/(\d{1,2})/(\d{1,4})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})\s*$"
+# day/month/year hour:minute:second with any blanks around, and the same
+# for years of less than four digits.
+TEST_TIME_PATTERN = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})\s*$"
+SHORT_YEAR_PATTERN = TEST_TIME_PATTERN.replace(r"\d{4}", r"\d{1,3}")
 
 # Shape of a displayed hit.
 SNIPPET_CHARACTERS = 220
@@ -69,13 +71,14 @@ def map_label(label: Column, mapping: Mapping[int, object], default: object = No
 def parse_test_time(text: Column) -> Column:
     """Zoneless timestamp from a ``d/M/y H:m:s`` text, NULL when it is not one.
 
-    The numbers are put in ISO order, the year padded to four digits, and cast
-    without a zone, so the session time zone plays no part.
+    The numbers are put in ISO order and cast without a zone, so the session
+    time zone plays no part. Years are padded only where that is needed.
     """
-    padded = F.regexp_replace(text, TEST_TIME_PATTERN, "000$3-$2-$1 $4:$5:$6")
-    # A text that is no test time comes back unchanged.
-    iso = F.regexp_replace(F.nullif(padded, text), r"^\d+(\d{4}-)", "$1")
-    return iso.try_cast("timestamp_ntz")
+    # A text that does not fit a pattern comes back unchanged.
+    usual = F.nullif(F.regexp_replace(text, TEST_TIME_PATTERN, "$3-$2-$1 $4:$5:$6"), text)
+    padded = F.nullif(F.regexp_replace(text, SHORT_YEAR_PATTERN, "000$3-$2-$1 $4:$5:$6"), text)
+    short = F.regexp_replace(padded, r"^\d+(\d{4}-)", "$1")
+    return F.coalesce(usual.try_cast("timestamp_ntz"), short.try_cast("timestamp_ntz"))
 
 
 def strip_blanks(text: Column) -> Column:

@@ -181,17 +181,17 @@ def search_hits(
 
 
 def search(
-    documents: DataFrame,
+    index: DataFrame,
     queries: DataFrame,
     encoder: PipelineModel,
     k: int = DEFAULT_NEIGHBOURS,
 ) -> DataFrame:
-    """Hits of text queries (query_id, text) over (id, text, metadata) documents.
+    """Hits of text queries (query_id, text) in an index (id, text, metadata, embedding).
 
-    An empty corpus is an error, as there is nothing to search.
+    The queries are embedded with the encoder the index was built with. An
+    empty index is an error, as there is nothing to search.
     """
-    if documents.isEmpty():
+    if index.isEmpty():
         raise RuntimeError("no documents to search")
-    embedded = embed_text(documents.select("id", "text"), encoder)
     wanted = embed_text(queries.select("query_id", "text"), encoder)
-    return search_hits(knn_search(embedded, wanted, k), documents)
+    return search_hits(knn_search(index, wanted, k), index)

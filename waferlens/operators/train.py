@@ -14,6 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waferlens.shared import materialise
+
 # The recorded training setup.
 TEST_FRACTION = 0.2
 SEED = 42
@@ -60,7 +62,7 @@ def stratified_split(
     seed: int = SEED,
     name: str = "split",
 ) -> DataFrame:
-    """Add ``name`` (train/test) with exact sizes overall and per class.
+    """Add ``name`` (train/test) with exact sizes overall and per class, for unique keys.
 
     The test set has ``ceil(n * test_fraction)`` rows, shared out to classes by
     largest remainder. Within a class the rows with the smallest seeded key
@@ -108,12 +110,20 @@ def stratified_split(
             (F.col("_quota") - F.col("_upto") + F.col("_rows")).alias("_take"),
         )
     )
-    in_border = Window.partitionBy(target).orderBy("_hash", key)
-    thresholds = (
+    in_border = (
+        Window.partitionBy(target)
+        .orderBy("_hash", key)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    # One row per class, fixed so that later uses of the split do not search again.
+    # Rows are counted per key first, so a repeated key weighs nothing and stays together.
+    thresholds = materialise(
         hashed.withColumn("_bucket", bucket)
         .join(F.broadcast(borders), [target, "_bucket"])
-        .withColumn("_place", F.row_number().over(in_border))
-        .where(F.col("_place") == F.col("_take"))
+        .groupBy(target, "_hash", key, "_take")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_upto", F.sum("_rows").over(in_border))
+        .where((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_rows") < F.col("_take")))
         .select(target, F.col("_hash").alias("_last_hash"), F.col(key).alias("_last_key"))
     )
     in_test = (F.col("_hash") < F.col("_last_hash")) | (
@@ -158,7 +168,7 @@ def train_forest(
     Every level passes over the rows for all trees, so the rows are spread
     evenly once, however few files they come from.
     """
-    weights = class_weights(train, target).select(target, "class_weight")
+    weights = materialise(class_weights(train, target).select(target, "class_weight"))
     if weights.count() > MAX_CLASSES:
         raise ValueError(f"{target} has too many classes to classify")
     weighted = train.select(target, *features).join(F.broadcast(weights), target)

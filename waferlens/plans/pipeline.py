@@ -12,6 +12,7 @@ from waferlens.config import PipelineConfig
 from waferlens.operators import dq, evaluate, features, impute, quality, reshape, train, yields
 from waferlens.operators import search as catalog_search
 from waferlens.plans.checks import PIPELINE_CHECKS
+from waferlens.shared import stage_table
 from waferlens.sources import documents, labels, matrix, tables
 from waferlens.sources.tables import BRONZE, INTERMEDIATE, MARTS, STAGING, write_table
 
@@ -139,7 +140,10 @@ def train_and_evaluate(
     names = train.feature_columns(mart)
     split = train.stratified_split(train.with_target(mart), seed=seed)
     model = train.train_forest(split.where("split = 'train'"), names, trees=trees, depth=depth, seed=seed)
-    scored = train.score_batch(model, split.where("split = 'test'"), names)
+    # Scoring walks every tree, so it is done once for all metrics.
+    scored = stage_table(
+        train.score_batch(model, split.where("split = 'test'"), names), "scored"
+    )
     top = train.top_features(model, mart, names)
     return TrainingRun(model, scored, evaluate.metrics_record(split, scored, names, top))
 

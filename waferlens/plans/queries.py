@@ -281,11 +281,17 @@ def dq_accepted_values(spark, sf_dir) -> DataFrame:
 
 
 def dq_report(spark, sf_dir) -> DataFrame:
-    """The whole suite over the derived tables, which fail some of its checks."""
-    staged, tested = staged_readings(spark, sf_dir), staged_labels(spark, sf_dir)
+    """The whole suite over the derived tables, which fail some of its checks.
+
+    Labels and features are checked many times, so they are tables, as in a run.
+    """
+    staged = staged_readings(spark, sf_dir)
+    tested = stage_table(staged_labels(spark, sf_dir), "labels")
     ranked = quality.channel_quality(staged, CONFIG)
     fills = impute.fill_channels(ranked, staged, CONFIG)
-    rows = features.wafer_features_wide(raw_matrix(spark, sf_dir), fills, CONFIG)
+    rows = stage_table(
+        features.wafer_features_wide(raw_matrix(spark, sf_dir), fills, CONFIG), "features"
+    )
     return dq.run_suite(
         {
             "staged_readings": staged,
@@ -494,7 +500,8 @@ def text_search(spark, sf_dir) -> DataFrame:
         F.create_map(F.lit("lang"), F.col("lang")).alias("metadata"),
     )
     questions = spark.createDataFrame(list(enumerate(QUESTIONS)), "query_id int, text string")
-    return search.search(docs, questions, search.fit_encoder(docs)).drop("metadata")
+    encoder = search.fit_encoder(docs)
+    return search.search(search.embed_text(docs, encoder), questions, encoder).drop("metadata")
 
 
 QUERIES: dict[str, Query] = {
