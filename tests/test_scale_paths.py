@@ -258,7 +258,7 @@ def test_plans_shuffle_only_what_they_must(spark):
     assert "SortMergeJoin" not in imputed and "hashpartitioning" not in imputed
     profile = plan(quality.channel_profile(staged))
     assert profile.count("Exchange") == 1 and "SinglePartition" not in profile
-    long = plan(queries.long_features(spark, sf))
+    long = plan(queries.wafer_features(spark, sf))
     assert "SinglePartition" not in long
     # Only the columns a query needs are read.
     docs = plan(queries.evaluation(spark, sf))

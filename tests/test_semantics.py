@@ -201,7 +201,7 @@ def test_median_interpolates_and_missing_channel_stays_missing(spark):
     rows = channel(spark, 1, [1.0, 2.0, 4.0, 10.0, None]) + channel(spark, 2, [None, None])
     staged = readings(spark, rows)
     config = PipelineConfig(top_sensors=2, max_null_fraction=1.0)
-    fills = impute.fill_channels(quality.channel_quality(staged, config), staged, config)
+    fills = impute.fill_channels(quality.channel_quality(staged, config), staged)
     assert values_of(fills, "sensor_id", "sensor_median") == {1: (3.0,), 2: (None,)}
     filled = impute.median_impute(staged, fills, config)
     found = {(r["sensor_id"], r["wafer_id"]): (r["reading_value"], r["was_imputed"]) for r in filled.collect()}
@@ -236,7 +236,7 @@ def test_one_parameter_drives_selection_and_features(spark):
     staged = readings(spark, rows)
     for count in (2, 7, 9):
         config = PipelineConfig(top_sensors=count)
-        fills = impute.fill_channels(quality.channel_quality(staged, config), staged, config)
+        fills = impute.fill_channels(quality.channel_quality(staged, config), staged)
         long = features.wafer_features(
             impute.median_impute(staged, fills, config, keep_rank=True), config
         )
@@ -256,7 +256,7 @@ def test_imputed_output_has_no_gaps_unless_a_channel_is_empty(spark):
     rows = [(w, s, None if (w + s) % 3 == 0 else float(w)) for w in range(9) for s in (1, 2, 3)]
     staged = readings(spark, rows)
     config = PipelineConfig(top_sensors=3)
-    fills = impute.fill_channels(quality.channel_quality(staged, config), staged, config)
+    fills = impute.fill_channels(quality.channel_quality(staged, config), staged)
     assert impute.median_impute(staged, fills, config).where("reading_value is null").isEmpty()
 
 

@@ -42,14 +42,20 @@ def channel_median(
     """Exact interpolating median of the non-null readings of every channel.
 
     ``spread`` takes the ``value_spread`` columns of an earlier profile, which
-    saves a scan. Where channels are small the built-in median does it;
-    otherwise the median is narrowed down by counting, so a channel of any size
-    is spread over all tasks.
+    saves a scan; only its channels are computed. Where channels are small the
+    built-in median does it; otherwise the median is narrowed down by counting,
+    so a channel of any size is spread over all tasks.
     """
-    if spread is None:
+    given = spread is not None
+    if not given:
         spread = materialise(value_spread(readings, sensor, reading))
-    largest = spread.agg(F.max("non_null_readings")).first()[0] or 0
-    if largest <= in_memory_values:
+    sizes = spread.agg(F.max("non_null_readings"), F.count(F.lit(1))).first()
+    if (sizes[0] or 0) <= in_memory_values:
+        if given:
+            wanted = spread.select(sensor)
+            if sizes[1] <= BROADCAST_CHANNELS:
+                wanted = F.broadcast(wanted)
+            readings = readings.join(wanted, sensor, "left_semi")
         return readings.groupBy(sensor).agg(F.median(reading).alias(name))
     return counted_median(readings, spread, sensor, reading, name, single_task_rows)
 
@@ -182,7 +188,6 @@ def _narrowed(inside: DataFrame, state: DataFrame, sensor: str) -> DataFrame:
 def fill_channels(
     quality: DataFrame,
     staged: DataFrame,
-    config: PipelineConfig = PipelineConfig(),
     sensor: str = "sensor_id",
     reading: str = "reading_value",
 ) -> DataFrame:
@@ -191,8 +196,7 @@ def fill_channels(
     Fixed once, so imputation and pivoting do not recompute the medians.
     """
     selected = quality.where("is_selected_for_ml")
-    kept = join_channels(staged, selected.select(sensor), config, sensor, "left_semi")
-    medians = channel_median(kept, sensor, reading, spread=selected)
+    medians = channel_median(staged, sensor, reading, spread=selected)
     return materialise(
         selected.select(sensor, "sensor_rank").join(medians, sensor, "left")
     )

@@ -53,8 +53,12 @@ STEPS = {
     "chosen": f"""
         select sensor_id, sensor_rank from quality where sensor_rank <= {CONFIG.top_sensors}""",
     "kept": "select staged.* from staged semi join chosen using (sensor_id)",
+    # The two middle readings, added and halved: equal to the last bit on both sides.
     "medians": """
-        select sensor_id, median(reading_value) as sensor_median from staged group by sensor_id""",
+        select sensor_id, (v[(len(v) + 1) // 2] + v[(len(v) + 2) // 2]) / 2 as sensor_median
+        from (select sensor_id,
+                     list_sort(list(reading_value) filter (where reading_value is not null)) as v
+              from staged group by sensor_id)""",
     "imputed": """
         select wafer_id, sensor_id, sensor_rank, ifnull(reading_value, sensor_median) as reading_value,
                reading_value is null as was_imputed
@@ -63,7 +67,7 @@ STEPS = {
         select wafer_id, max(was_imputed::int) as any_imputed_flag,
                count(*) filter (where was_imputed) as imputed_sensor_count, """
     + ", ".join(
-        f"round(max(reading_value) filter (where sensor_rank = {rank}), 9) as {name}"
+        f"max(reading_value) filter (where sensor_rank = {rank}) as {name}"
         for rank, name in enumerate(FEATURES, start=1)
     )
     + " from imputed group by wafer_id",
@@ -271,9 +275,7 @@ ORACLE_SQL: dict[str, str] = {
     "selected_channels": query([*RANKED, "chosen"], "from chosen"),
     "selected_readings": query([*RANKED, "chosen", "kept"], "from kept"),
     "median_impute": query(
-        IMPUTED,
-        """select wafer_id, sensor_id, round(reading_value, 9) as reading_value, was_imputed
-           from imputed""",
+        IMPUTED, "select wafer_id, sensor_id, reading_value, was_imputed from imputed"
     ),
     "wafer_features": query([*IMPUTED, "features"], "from features"),
     "wafer_features_wide": query([*IMPUTED, "features"], "from features"),
@@ -370,5 +372,5 @@ ORACLE_SQL: dict[str, str] = {
 for _name in ("channel_median", "channel_median_counted"):
     ORACLE_SQL[_name] = query(
         [*READINGS, "medians"],
-        "select sensor_id, round(sensor_median, 9) as sensor_median from medians",
+        "select sensor_id, sensor_median from medians",
     )

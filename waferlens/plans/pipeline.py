@@ -90,7 +90,7 @@ def build_silver(
     ranked = write_table(
         quality.channel_quality(readings, config), INTERMEDIATE, "sensor_quality", root
     )
-    fills = impute.fill_channels(ranked, readings, config)
+    fills = impute.fill_channels(ranked, readings)
     wide = features.wafer_features_wide(bronze.wide, fills, config)
     return SilverTables(
         readings,

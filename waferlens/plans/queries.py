@@ -137,11 +137,7 @@ def feature_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """(staged readings, selected channels with medians)."""
     staged = staged_readings(spark, sf_dir)
     ranked = quality.channel_quality(staged, CONFIG)
-    return staged, impute.fill_channels(ranked, staged, CONFIG)
-
-
-def show_features(df: DataFrame) -> DataFrame:
-    return df.withColumns(rounded(*CONFIG.feature_names, digits=9))
+    return staged, impute.fill_channels(ranked, staged)
 
 
 # --- sources ------------------------------------------------------------------------
@@ -210,49 +206,42 @@ def selected_readings(spark, sf_dir) -> DataFrame:
 
 
 def channel_median(spark, sf_dir) -> DataFrame:
-    return impute.channel_median(staged_readings(spark, sf_dir)).withColumns(
-        rounded("sensor_median", digits=9)
-    )
+    return impute.channel_median(staged_readings(spark, sf_dir))
 
 
 def channel_median_counted(spark, sf_dir) -> DataFrame:
     """The median of channels beyond one task's memory, forced on whatever size is given."""
     return impute.channel_median(
         staged_readings(spark, sf_dir), in_memory_values=0, single_task_rows=1_000
-    ).withColumns(rounded("sensor_median", digits=9))
+    )
 
 
 def median_impute(spark, sf_dir) -> DataFrame:
     staged, fills = feature_parts(spark, sf_dir)
-    return impute.median_impute(staged, fills, CONFIG).withColumns(
-        rounded("reading_value", digits=9)
-    )
+    return impute.median_impute(staged, fills, CONFIG)
 
 
-def long_features(spark, sf_dir) -> DataFrame:
+def wafer_features(spark, sf_dir) -> DataFrame:
     staged, fills = feature_parts(spark, sf_dir)
     return features.wafer_features(
         impute.median_impute(staged, fills, CONFIG, keep_rank=True), CONFIG
     )
 
 
-def wafer_features(spark, sf_dir) -> DataFrame:
-    return show_features(long_features(spark, sf_dir))
-
-
 def wafer_features_wide(spark, sf_dir) -> DataFrame:
     _, fills = feature_parts(spark, sf_dir)
-    return show_features(features.wafer_features_wide(raw_matrix(spark, sf_dir), fills, CONFIG))
+    return features.wafer_features_wide(raw_matrix(spark, sf_dir), fills, CONFIG)
 
 
 def feature_mart(spark, sf_dir) -> DataFrame:
+    """Features the way a run builds them, without a shuffle before the join."""
     return features.ml_features(
-        long_features(spark, sf_dir), staged_labels(spark, sf_dir), CONFIG
+        wafer_features_wide(spark, sf_dir), staged_labels(spark, sf_dir), CONFIG
     )
 
 
 def ml_features(spark, sf_dir) -> DataFrame:
-    return show_features(feature_mart(spark, sf_dir).drop("feature_set_built_at"))
+    return feature_mart(spark, sf_dir).drop("feature_set_built_at")
 
 
 # --- labels and quality checks ------------------------------------------------------------
@@ -283,15 +272,14 @@ def dq_accepted_values(spark, sf_dir) -> DataFrame:
 def dq_report(spark, sf_dir) -> DataFrame:
     """The whole suite over the derived tables, which fail some of its checks.
 
-    Labels and features are checked many times, so they are tables, as in a run.
+    Labels are checked many times, so they are a table, as in a run; of the
+    feature rows the checks read little more than the key.
     """
     staged = staged_readings(spark, sf_dir)
     tested = stage_table(staged_labels(spark, sf_dir), "labels")
     ranked = quality.channel_quality(staged, CONFIG)
-    fills = impute.fill_channels(ranked, staged, CONFIG)
-    rows = stage_table(
-        features.wafer_features_wide(raw_matrix(spark, sf_dir), fills, CONFIG), "features"
-    )
+    fills = impute.fill_channels(ranked, staged)
+    rows = features.wafer_features_wide(raw_matrix(spark, sf_dir), fills, CONFIG)
     return dq.run_suite(
         {
             "staged_readings": staged,
