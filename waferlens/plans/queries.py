@@ -81,6 +81,9 @@ def raw_readings(spark, sf_dir) -> DataFrame:
 
 
 def raw_labels(spark, sf_dir) -> DataFrame:
+    """One raw label per wafer, its time as a text with unpadded day and month."""
+    day = F.concat_ws("/", F.dayofmonth("ts"), F.month("ts"), F.year("ts"))
+    clock = F.substring(F.col("ts").cast("string"), 12, 8)
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("wafer_id"),
         F.when(F.col("event_type") == "error", -1)
@@ -88,7 +91,7 @@ def raw_labels(spark, sf_dir) -> DataFrame:
         .otherwise(1)
         .alias("pass_fail_raw"),
         F.when(F.col("event_id") % 97 == 0, "bad")
-        .otherwise(F.date_format("ts", "d/M/yyyy HH:mm:ss"))
+        .otherwise(F.concat_ws(" ", day, clock))
         .alias("timestamp_str"),
     )
 
