@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -11,7 +12,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waferlens.shared import materialise
@@ -27,6 +28,8 @@ TOP_FEATURES = 10
 HASH_DIGITS = 5
 # A target with more classes than this is not a classification target.
 MAX_CLASSES = 1_000
+# Training rows a task holds; small enough to cache, whatever the number of rows.
+ROWS_PER_PARTITION = 500_000
 
 
 def feature_columns(df: DataFrame) -> list[str]:
@@ -168,10 +171,13 @@ def train_forest(
     Every level passes over the rows for all trees, so the rows are spread
     evenly once, however few files they come from.
     """
-    weights = materialise(class_weights(train, target).select(target, "class_weight"))
-    if weights.count() > MAX_CLASSES:
+    weights = materialise(class_weights(train, target))
+    classes, rows = weights.agg(F.count(F.lit(1)), F.sum("class_rows")).first()
+    if classes > MAX_CLASSES:
         raise ValueError(f"{target} has too many classes to classify")
-    weighted = train.select(target, *features).join(F.broadcast(weights), target)
+    weighted = train.select(target, *features).join(
+        F.broadcast(weights.select(target, "class_weight")), target
+    )
     forest = RandomForestClassifier(
         labelCol=target,
         featuresCol="features",
@@ -181,7 +187,8 @@ def train_forest(
         seed=seed,
         maxMemoryInMB=1024,
     )
-    spread = weighted.repartition(int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    spread = weighted.repartition(max(cores, math.ceil((rows or 0) / ROWS_PER_PARTITION)))
     return forest.fit(assemble(spread, features))
 
 
@@ -198,15 +205,15 @@ def score_batch(
 
 
 def top_features(
+    spark: SparkSession,
     model: RandomForestClassificationModel,
-    df: DataFrame,
     features: Sequence[str],
     count: int = TOP_FEATURES,
 ) -> DataFrame:
-    """The most important features, ties in feature order; ``df`` only lends its session."""
+    """The most important features, ties in feature order."""
     rows = list(zip(features, model.featureImportances.toArray().tolist(), strict=True))
     return (
-        df.sparkSession.createDataFrame(rows, "feature string, importance double")
+        spark.createDataFrame(rows, "feature string, importance double")
         .orderBy(F.desc("importance"), "feature")
         .limit(count)
     )

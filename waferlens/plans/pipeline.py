@@ -144,7 +144,7 @@ def train_and_evaluate(
     scored = stage_table(
         train.score_batch(model, split.where("split = 'test'"), names), "scored"
     )
-    top = train.top_features(model, mart, names)
+    top = train.top_features(mart.sparkSession, model, names)
     return TrainingRun(model, scored, evaluate.metrics_record(split, scored, names, top))
 
 

@@ -361,9 +361,9 @@ def _trained(spark, sf_dir):
 
 def train_forest(spark, sf_dir) -> DataFrame:
     """The fitted trees: number, depth and size of each."""
-    model, split, _ = _trained(spark, sf_dir)
+    model, _, _ = _trained(spark, sf_dir)
     rows = [(i, tree.depth, tree.numNodes) for i, tree in enumerate(model.trees)]
-    return split.sparkSession.createDataFrame(rows, "tree int, depth int, nodes int")
+    return spark.createDataFrame(rows, "tree int, depth int, nodes int")
 
 
 def score_batch(spark, sf_dir) -> DataFrame:
@@ -373,8 +373,8 @@ def score_batch(spark, sf_dir) -> DataFrame:
 
 
 def top_features(spark, sf_dir) -> DataFrame:
-    model, split, names = _trained(spark, sf_dir)
-    return train.top_features(model, split, names)
+    model, _, names = _trained(spark, sf_dir)
+    return train.top_features(spark, model, names)
 
 
 # --- catalog and search -----------------------------------------------------------------------

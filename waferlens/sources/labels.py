@@ -22,32 +22,35 @@ def split_label_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     A quoted timestamp is everything after the first quote. Without quotes only
     the second word is kept, so a time after a date is lost.
     """
-    text = strip_blanks(F.col(line))
-    quoted = F.contains(text, F.lit('"'))
-    after_quote = F.substring(text, F.instr(text, '"') + 1, F.length(text))
-    words = F.split(text, r"\s+")
-    return lines.withColumns(
-        {
-            "label_text": F.when(
-                quoted, strip_blanks(F.substring_index(text, '"', 1))
-            ).otherwise(F.get(words, F.lit(0))),
-            "timestamp_str": F.when(
-                quoted, strip_blanks(F.replace(after_quote, F.lit('"'), F.lit("")))
-            ).otherwise(F.get(words, F.lit(1))),
-        }
+    text = F.col("_text")
+    quote = F.instr(text, '"')
+    after_quote = F.replace(F.substring(text, quote + 1, F.length(text)), F.lit('"'), F.lit(""))
+    words = F.split(text, r"\s+", 3)
+    return (
+        lines.withColumn("_text", strip_blanks(F.col(line)))
+        .withColumns(
+            {
+                "label_text": F.when(
+                    quote > 0, strip_blanks(F.substring_index(text, '"', 1))
+                ).otherwise(F.get(words, F.lit(0))),
+                "timestamp_str": F.when(quote > 0, strip_blanks(after_quote)).otherwise(
+                    F.get(words, F.lit(1))
+                ),
+            }
+        )
+        .drop("_text")
     )
 
 
 def parse_labels(numbered: DataFrame, wafer: str = "wafer_id", line: str = "value") -> DataFrame:
     """Label lines to (wafer, label, timestamp text); a line without an integer label raises."""
-    accepted, quarantined = parse_labels_quarantined(numbered, wafer, line)
     unreadable = F.raise_error(F.concat(F.lit("not an integer label: "), F.col(line)))
-    return accepted.unionByName(
-        quarantined.select(
-            wafer,
-            unreadable.cast("int").alias("pass_fail_raw"),
-            F.lit(None).cast("string").alias("timestamp_str"),
-        )
+    return split_label_lines(numbered, line).select(
+        wafer,
+        F.coalesce(F.col("label_text").try_cast("int"), unreadable.cast("int")).alias(
+            "pass_fail_raw"
+        ),
+        "timestamp_str",
     )
 
 

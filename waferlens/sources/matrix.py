@@ -17,18 +17,21 @@ MISSING_TOKENS = [
 
 
 def parse_values(line: Column) -> Column:
-    """``array<double>`` of a line; missing spellings become NULL, other non-numbers raise."""
-
-    def number(token: Column) -> Column:
-        parsed = nan_to_null(token.try_cast("double"))
-        unreadable = F.raise_error(F.concat(F.lit("not a number in matrix: "), token))
-        return (
-            F.when(token.isin(MISSING_TOKENS), F.lit(None).cast("double"))
-            .when(token.try_cast("double").isNull(), unreadable.cast("double"))
-            .otherwise(parsed)
-        )
-
-    return F.transform(F.split(strip_blanks(line), r"\s+"), number)
+    """``array<double>`` of a line; missing spellings become NULL, other non-numbers raise.
+
+    Only lines with a word that is no number are looked at word by word.
+    """
+    words = F.split(strip_blanks(line), r"\s+")
+    numbers = words.try_cast("array<double>")
+
+    def checked(word: Column) -> Column:
+        unreadable = F.raise_error(F.concat(F.lit("not a number in matrix: "), word))
+        number = F.coalesce(word.try_cast("double"), unreadable.cast("double"))
+        return F.when(~word.isin(MISSING_TOKENS), nan_to_null(number))
+
+    return F.when(
+        F.exists(numbers, lambda number: number.isNull()), F.transform(words, checked)
+    ).otherwise(F.transform(numbers, nan_to_null))
 
 
 def read_matrix(spark: SparkSession, path: str | list[str], wafer: str = "wafer_id") -> DataFrame:
