@@ -24,8 +24,9 @@ TREES = 300
 DEPTH = 12
 TOP_FEATURES = 10
 
-# 16**5 hash buckets keep the bucket that holds the split point small.
-HASH_DIGITS = 5
+# 16**4 hash buckets: few enough to count map-side, and the one that holds the split
+# point has a 65,536th of a class.
+HASH_DIGITS = 4
 # A target with more classes than this is not a classification target.
 MAX_CLASSES = 1_000
 # Training rows a task holds; small enough to cache, whatever the number of rows.
@@ -50,10 +51,12 @@ def with_target(df: DataFrame, target: str = "is_fail", drop_unlabelled: bool =
 
 def class_counts(df: DataFrame, target: str) -> DataFrame:
     """(target, class_rows, all_rows), one row per class."""
-    return (
-        df.groupBy(target)
-        .agg(F.count(F.lit(1)).alias("class_rows"))
-        .withColumn("all_rows", F.sum("class_rows").over(Window.partitionBy(F.lit(0))))
+    return with_all_rows(df.groupBy(target).agg(F.count(F.lit(1)).alias("class_rows")))
+
+
+def with_all_rows(classes: DataFrame) -> DataFrame:
+    return classes.withColumn(
+        "all_rows", F.sum("class_rows").over(Window.partitionBy(F.lit(0)))
     )
 
 
@@ -76,13 +79,18 @@ def stratified_split(
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
     hashed = df.select(key, target).withColumn("_hash", digest)
     bucket = F.substring("_hash", 1, HASH_DIGITS)
+    counted = materialise(
+        hashed.groupBy(target, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    if counted.select(target).distinct().count() > MAX_CLASSES:
+        raise ValueError(f"{target} has too many classes to stratify")
 
     share = F.col("class_rows") * F.col("test_rows") / F.col("all_rows")
     by_remainder = Window.partitionBy(F.lit(0)).orderBy(
         (share - F.floor(share)).desc(), F.col(target)
     )
     quotas = (
-        class_counts(df, target)
+        with_all_rows(counted.groupBy(target).agg(F.sum("_rows").alias("class_rows")))
         .withColumn("test_rows", F.ceil(F.col("all_rows") * F.lit(test_fraction)))
         .withColumn("_place", F.row_number().over(by_remainder))
         .withColumn("_floor", F.floor(share))
@@ -99,9 +107,7 @@ def stratified_split(
         Window.unboundedPreceding, 0
     )
     borders = (
-        hashed.groupBy(target, bucket.alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_upto", F.sum("_rows").over(in_class))
+        counted.withColumn("_upto", F.sum("_rows").over(in_class))
         .join(F.broadcast(quotas), target)
         .where(
             (F.col("_upto") - F.col("_rows") < F.col("_quota"))
