@@ -89,7 +89,9 @@ def test_training_scores_and_records(spark, marts, tmp_path):
     assert sum(map(sum, record["confusion_matrix"])) == 24
     assert 0.5 < record["roc_auc"] <= 1.0
     assert len(record["top_features"]) == 6
-    train.save_model(run.model, str(tmp_path / "model"))
+    pipeline.save_run(run, str(tmp_path))
+    pipeline.save_run(run, str(tmp_path))
+    assert spark.read.json(str(tmp_path / "metrics")).first()["rows_test"] == 24
     again = train.score_batch(
         train.load_model(str(tmp_path / "model")),
         run.scored.drop("prediction", "score"),
@@ -105,6 +107,8 @@ def test_index_answers_questions_about_the_tables(spark, marts, tmp_path):
     index, encoder = pipeline.build_index(spark, names, str(glossary))
     kinds = {r[0]: r[1] for r in index.groupBy(F.element_at("metadata", "type")).count().collect()}
     assert kinds["model"] == 3 and kinds["glossary"] == 3
+    manifest = spark.table("marts.catalog_manifest").first()
+    assert manifest["document_count"] == index.count()
     questions = spark.createDataFrame([(0, "wafers made together")], "query_id int, text string")
     hits = search.search(index, questions, encoder, k=3)
     best = hits.orderBy("rank").first()

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -121,23 +122,27 @@ def _nearest_of_partition(
         for batch in batches:
             if batch.num_rows == 0 or not numbers:
                 continue
-            ids = batch.column(document_id)
-            flat = batch.column(vector).flatten().to_numpy(zero_copy_only=False)
+            ids, vectors = batch.column(document_id), batch.column(vector)
             width = targets.shape[1]
-            if len(flat) != batch.num_rows * width:
+            if not pc.all(pc.equal(pc.list_value_length(vectors), width), skip_nulls=False).as_py():
                 raise ValueError(f"documents need vectors of {width} numbers like the queries")
+            flat = vectors.flatten().to_numpy(zero_copy_only=False)
             points = flat.reshape(-1, width).astype(np.float64)
             for place, target in enumerate(targets):
                 gaps = points - target
                 distance = np.einsum("ij,ij->i", gaps, gaps)
+                kept = best[place]
+                limit = np.inf
                 if len(distance) > k:
-                    near = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
-                else:
-                    near = np.arange(len(distance))
+                    limit = np.partition(distance, k - 1)[k - 1]
+                if kept is not None and kept.num_rows == k:
+                    limit = min(limit, kept["distance"][k - 1].as_py())
+                near = np.flatnonzero(distance <= limit)
+                if len(near) == 0:
+                    continue
                 found = pa.table(
                     {document_id: ids.take(pa.array(near)), "distance": distance[near]}
                 )
-                kept = best[place]
                 merged = found if kept is None else pa.concat_tables([kept, found])
                 best[place] = merged.sort_by(
                     [("distance", "ascending"), (document_id, "ascending")]

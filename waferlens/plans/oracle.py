@@ -36,6 +36,16 @@ STEPS = {
                case when (vec_id * 7 + c) % 11 = 0 then {CONFIG.sentinel}::double
                     else embedding[c]::double end as reading_value
         from embeddings, unnest(range(1, {CHANNELS + 1})) as channel(c)""",
+    "matrix": f"""
+        select vec_id as wafer_id, list_transform(
+                   range(1, {CHANNELS + 1}),
+                   lambda c: case when (vec_id * 7 + c) % 11 = 0 then {CONFIG.sentinel}::double
+                                  else embedding[c]::double end) as cells
+        from embeddings""",
+    "picks": """
+        select list(sensor_id order by sensor_rank) as ids,
+               list(sensor_median order by sensor_rank) as fills
+        from chosen join medians using (sensor_id)""",
     "staged": f"""
         select wafer_id, sensor_id, nullif(reading_value, {CONFIG.sentinel}::double) as reading_value,
                coalesce(reading_value = {CONFIG.sentinel}, false) as is_imputed_source_missing
@@ -218,14 +228,19 @@ def _suite() -> str:
 
 
 def _wide() -> str:
+    cells = ", ".join(f"cells[{i}] as {name}" for i, name in enumerate(sensor_names(CHANNELS), start=1))
+    return f"select row_number() over (order by wafer_id, cells) as wafer_id, {cells} from matrix"
+
+
+def _wide_features() -> str:
     cells = ", ".join(
-        f"max(reading_value) filter (where sensor_id = {i}) as {name}"
-        for i, name in enumerate(sensor_names(CHANNELS), start=1)
-    )
-    return (
-        f"select row_number() over (order by wafer_id) as wafer_id, {cells}"
-        " from raw group by raw.wafer_id"
+        f"ifnull(nullif(cells[ids[{rank}]], {CONFIG.sentinel}::double), fills[{rank}]) as {name}"
+        for rank, name in enumerate(FEATURES, start=1)
     )
+    gaps = f"len(list_filter(ids, lambda i: cells[i] = {CONFIG.sentinel}::double))"
+    return f"""
+        select wafer_id, ({gaps} > 0)::int as any_imputed_flag, {gaps} as imputed_sensor_count, {cells}
+        from matrix, picks"""
 
 
 def _averages() -> str:
@@ -244,7 +259,7 @@ _QUOTED = "case when pass_fail_raw = 0 then '' else '\"' end"
 _LINES = [*LABELS[:1]]
 
 ORACLE_SQL: dict[str, str] = {
-    "read_matrix": query(["raw"], _wide()),
+    "read_matrix": query(["matrix"], _wide()),
     "row_ordinal": query(
         _LINES,
         f"""select row_number() over (order by wafer_id) as row_number,
@@ -278,7 +293,7 @@ ORACLE_SQL: dict[str, str] = {
         IMPUTED, "select wafer_id, sensor_id, reading_value, was_imputed from imputed"
     ),
     "wafer_features": query([*IMPUTED, "features"], "from features"),
-    "wafer_features_wide": query([*IMPUTED, "features"], "from features"),
+    "wafer_features_wide": query([*RANKED, "chosen", "medians", "picks", "matrix"], _wide_features()),
     "ml_features": query(MART, "from mart"),
     "mart_read": query(MART, "from mart order by wafer_id"),
     "label_staging": query(LABELS, "from tested"),

@@ -16,6 +16,7 @@ from waferlens.shared import stage_table
 from waferlens.sources import documents, labels, matrix, tables
 from waferlens.sources.tables import BRONZE, INTERMEDIATE, MARTS, STAGING, write_table
 
+ENCODER_NAME = "hashed-tfidf"
 COLUMN_COMMENTS = {
     "ml_features": {
         "wafer_id": "Key of the table: position of the wafer in its source file.",
@@ -159,9 +160,18 @@ def build_index(
     if corpus.isEmpty():
         raise RuntimeError("no documents to index")
     encoder = catalog_search.fit_encoder(corpus)
-    return write_table(
+    index = write_table(
         catalog_search.embed_text(corpus, encoder), MARTS, "catalog_index", root
-    ), encoder
+    )
+    manifest = documents.index_manifest(index, "catalog_index", ENCODER_NAME)
+    write_table(manifest, MARTS, "catalog_manifest", root)
+    return index, encoder
+
+
+def save_run(run: TrainingRun, folder: str) -> None:
+    """The metrics as JSON and the model, replacing those of an earlier run."""
+    tables.write_json(run.metrics, f"{folder}/metrics")
+    train.save_model(run.model, f"{folder}/model")
 
 
 def run_pipeline(

@@ -28,6 +28,7 @@ from waferlens.operators import (
     yields,
 )
 from waferlens.plans.checks import PIPELINE_CHECKS
+from waferlens.plans.pipeline import ENCODER_NAME
 from waferlens.shared import scratch_path, stage_table
 from waferlens.sources import documents, labels, matrix, ordinals, tables
 
@@ -36,7 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # About 9.1 % of the derived readings are missing, so this limit parts the channels.
 CONFIG = PipelineConfig(max_null_fraction=0.09)
 LINE = "\n"
-COLLECTION, ENCODER = "catalog", "hashed-tfidf"
+COLLECTION, ENCODER = "catalog", ENCODER_NAME
 QUESTIONS = [
     "which documents describe the training table",
     "la question et la ouelle",
@@ -108,7 +109,8 @@ def matrix_file(spark, sf_dir) -> str:
     """The raw matrix as text files, lines in wafer order."""
     path = scratch_path(spark, "matrix")
     line = F.concat_ws(" ", F.col("values").cast("array<string>"))
-    raw_matrix(spark, sf_dir).orderBy("wafer_id").select(line.alias("value")).write.text(path)
+    rows = raw_matrix(spark, sf_dir).orderBy("wafer_id", "values")
+    rows.select(line.alias("value")).write.text(path)
     return path
 
 
@@ -237,9 +239,9 @@ def wafer_features_wide(spark, sf_dir) -> DataFrame:
 
 
 def feature_mart(spark, sf_dir) -> DataFrame:
-    """Features the way a run builds them, without a shuffle before the join."""
+    """From long readings, as the given ids are not row numbers and may repeat."""
     return features.ml_features(
-        wafer_features_wide(spark, sf_dir), staged_labels(spark, sf_dir), CONFIG
+        wafer_features(spark, sf_dir), staged_labels(spark, sf_dir), CONFIG
     )
 
 
@@ -282,7 +284,9 @@ def dq_report(spark, sf_dir) -> DataFrame:
     tested = stage_table(staged_labels(spark, sf_dir), "labels")
     ranked = quality.channel_quality(staged, CONFIG)
     fills = impute.fill_channels(ranked, staged)
-    rows = features.wafer_features_wide(raw_matrix(spark, sf_dir), fills, CONFIG)
+    rows = features.wafer_features(
+        impute.median_impute(staged, fills, CONFIG, keep_rank=True), CONFIG
+    )
     return dq.run_suite(
         {
             "staged_readings": staged,
