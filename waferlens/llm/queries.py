@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferlens.llm import packing
+from waferlens.llm import decontaminate, fingerprint, packing, secret_scan, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +15,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the four rules."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every text."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_secret_scan": op3_secret_scan,
+    "op7_decontaminate": op7_decontaminate,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Hashes, compressed sizes and tokenisers have no SQL form; those queries are tested by brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": url_filter.SQL,
+}
