@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waferlens.llm import decontaminate, fingerprint, packing, secret_scan, url_filter
+from waferlens.llm import (
+    decontaminate,
+    fingerprint,
+    ngram_join,
+    packing,
+    secret_scan,
+    substring,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +45,16 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its shingle set and its near-duplicate component."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows that occur elsewhere too."""
+    return substring.digest(substring.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -47,6 +65,8 @@ QUERIES: dict[str, Query] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_secret_scan": op3_secret_scan,
     "op7_decontaminate": op7_decontaminate,
+    "op8_ngram_join": op8_ngram_join,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
