@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from waferlens.llm import (
     decontaminate,
     fingerprint,
+    html_text,
+    language_id,
     ngram_join,
     packing,
     secret_scan,
+    site_quality,
     substring,
     url_filter,
 )
@@ -38,6 +41,22 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from documents that are not held out."""
+    return language_id.language_of_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's evidence, the rate of its section, and whether it stays."""
+    judged = site_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "source", "lang", "p_text", "p_site", "p_reject", "keep")
+
+
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, without its site's templates."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     return decontaminate.contamination(
@@ -64,6 +83,9 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_fingerprints": op2_fingerprints,
     "op3_secret_scan": op3_secret_scan,
+    "op4_language_id": op4_language_id,
+    "op5_quality": op5_quality,
+    "op6_page_text": op6_page_text,
     "op7_decontaminate": op7_decontaminate,
     "op8_ngram_join": op8_ngram_join,
     "op9_repeated_passages": op9_repeated_passages,
