@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -111,3 +112,30 @@ def join_bounded(
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder, so that a lost executor costs no recomputation."""
     return stage_table(df, f"llm-{name}")
+
+
+def squeezed(docs: DataFrame) -> DataFrame:
+    """The other columns, and ``text`` compressed as ``small``, for the way through a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            small = [pack(text or b"") for text in text_bytes(batch.column(0))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(small, pa.binary())],
+                names=[*batch.schema.names[1:], "small"],
+            )
+
+    others = [name for name in docs.columns if name != "text"]
+    chosen = docs.select("text", *others)
+    schema = T.StructType([*chosen.schema.fields[1:], T.StructField("small", T.BinaryType())])
+    return chosen.mapInArrow(run, schema)
+
+
+@lru_cache(maxsize=1)
+def unsqueezer() -> Callable[[bytes], bytes]:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress

@@ -33,10 +33,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-from waferlens.llm.common import shingle_hashes, signed, staged, text_bytes, word_hashes
+from pyspark.sql import types as T
+
+from waferlens.llm.common import (
+    append_columns,
+    fresh_name,
+    shingle_hashes,
+    signed,
+    squeezed,
+    staged,
+    text_bytes,
+    unsqueezer,
+    word_hashes,
+)
 from waferlens.llm.components import Forest, components
 
 FAN = 8  # children of a node
@@ -50,10 +61,10 @@ class JoinSettings:
     shingle: int = 5
     numerator: int = 3
     denominator: int = 4
-    # Shingles found at least so often go to the end of the order, the most
-    # frequent first if there are more than that many. Any choice is correct.
-    frequent: int = 30
-    most_frequent: int = 100_000
+    # Shingles found at least so often go to the end of the order, rarer ones first; if
+    # there are more than that many, the most frequent. Any choice is correct.
+    frequent: int = 4
+    most_frequent: int = 1_000_000
     bucket_rows: int = 1_024
     block_shingles: int = 2_000_000
 
@@ -79,14 +90,18 @@ def links(left: int, right: int, both: int, s: JoinSettings) -> bool:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """A bitmap of two to four bits for each shingle, as 64-bit words."""
-    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    """A bitmap of one to two bits for each shingle, as 64-bit words."""
+    bits = max(64, 1 << (len(shingles) - 1).bit_length())
     place = shingles & np.uint64(bits - 1)
     flags = np.zeros(bits, np.uint8)
     flags[place.astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").view("<u8").astype(np.uint64)
 
 
+def bitmap_bytes(shingles: np.ndarray) -> bytes:
+    return signature(shingles).astype("<u8").tobytes()
+
+
 def fold(bitmap: np.ndarray, width: int) -> np.ndarray:
     """The same set in a bitmap of ``width`` words: upper halves go over lower ones."""
     while bitmap.shape[-1] > width:
@@ -217,7 +232,7 @@ def _sets(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
 
 
 def profile(docs: DataFrame, s: JoinSettings) -> DataFrame:
-    """Size and class of each document, and, in rows of their own, counts of shingles.
+    """Size, class and bitmap of each document, and, in rows of their own, counts of shingles.
 
     A row with ``seen`` lists the shingles that came more than once in a batch
     of documents, with their counts: summed up they show the frequent ones.
@@ -234,36 +249,46 @@ def profile(docs: DataFrame, s: JoinSettings) -> DataFrame:
                     pa.concat_arrays([batch.column(0).cast(pa.int64()), pa.nulls(1, pa.int64())]),
                     pa.array([*map(len, sets), None], pa.int64()),
                     pa.array([*(set_class(x) if len(x) else None for x in sets), None], pa.int64()),
+                    pa.array([*(bitmap_bytes(x) if len(x) else None for x in sets), None], pa.binary()),
                     pa.array([None] * rows + [signed(seen)], pa.list_(pa.int64())),
                     pa.array([None] * rows + [counts.astype(np.int64)], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "class", "seen", "counts"],
+                names=["doc_id", "n_shingles", "class", "bitmap", "seen", "counts"],
             )
 
     return docs.mapInArrow(
-        run, "doc_id long, n_shingles long, class long, seen array<long>, counts array<long>"
+        run,
+        "doc_id long, n_shingles long, class long, bitmap binary,"
+        " seen array<long>, counts array<long>",
     )
 
 
-def frequent_shingles(profiled: DataFrame, s: JoinSettings) -> np.ndarray:
-    """At most ``most_frequent`` shingles that come often, sorted; they only set the order."""
+def frequent_shingles(profiled: DataFrame, s: JoinSettings) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``most_frequent`` shingles that come often, sorted, and how often.
+
+    They only set the order, so it does not matter which are found.
+    """
     counted = (
         profiled.where(F.col("seen").isNotNull())
         .select(F.explode(F.arrays_zip("seen", "counts")).alias("pair"))
         .groupBy(F.col("pair.seen").alias("shingle"))
-        .agg(F.sum("pair.counts").alias("count"))
-        .where(F.col("count") >= s.frequent)
+        .agg(F.sum("pair.counts").cast("int").alias("times"))
+        .where(F.col("times") >= s.frequent)
     )
-    rows = counted.orderBy(F.desc("count"), "shingle").limit(s.most_frequent).collect()
-    return np.sort(np.array([row.shingle for row in rows], np.int64).view(np.uint64))
+    found = counted.orderBy(F.desc("times"), "shingle").limit(s.most_frequent).toArrow()
+    shingles = found.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], found.column(1).to_numpy()[order]
 
 
-def prefixes(docs: DataFrame, frequent: np.ndarray, s: JoinSettings) -> DataFrame:
+def prefixes(
+    docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], s: JoinSettings
+) -> DataFrame:
     """(shingle, size, class) for the first shingles of each set, in the common order."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value
+        often, times = shared.value
         for whole in batches:
             done: set[int] = set()  # copies within a batch go once
             for at in range(0, whole.num_rows, 512):
@@ -275,7 +300,8 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, s: JoinSettings) -> DataFram
                     if len(often):
                         place = np.minimum(np.searchsorted(often, shingles), len(often) - 1)
                         last = often[place] == shingles
-                        shingles = np.concatenate([shingles[~last], shingles[last]])
+                        rarer = np.argsort(times[place[last]], kind="stable")
+                        shingles = np.concatenate([shingles[~last], shingles[last][rarer]])
                     parts.append(shingles[: prefix_length(len(shingles), s)])
                     sizes.append(len(shingles))
                     classes.append(own)
@@ -359,31 +385,31 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
 def class_sets(docs: DataFrame, wanted: DataFrame, s: JoinSettings) -> DataFrame:
     """Size, bitmap and shingles of each wanted class, from the document that stands for it.
 
-    ``wanted`` has ``class`` and ``doc_id``. A repeated document id can give a
-    class twice.
+    ``wanted`` has ``class``, ``doc_id`` and ``component``. A repeated document
+    id can give a class twice. Texts go through the shuffle compressed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = unsqueezer()
         for batch in batches:
-            rows = [
-                (own, len(x), signature(x).astype("<u8").tobytes(), x.astype("<u8").tobytes())
-                for own, x in zip(batch.column(2).to_pylist(), _sets(batch, s.shingle), strict=True)
-                if len(x) and set_class(x) == own
-            ]
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+            rows = []
+            for component, own, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = shingle_set(unpack(blob), s.shingle)
+                if len(found) and set_class(found) == own:
+                    shingles = found.astype("<u8").tobytes()
+                    rows.append((component, own, len(found), bitmap_bytes(found), shingles))
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(columns[0], pa.int64()),
-                    pa.array(columns[1], pa.int32()),
-                    pa.array(columns[2], pa.binary()),
-                    pa.array(columns[3], pa.binary()),
-                ],
-                names=["class", "size", "bitmap", "shingles"],
+                [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)],
+                names=["component", "class", "size", "bitmap", "shingles"],
             )
 
-    ids = wanted.select(F.col("doc_id").alias("_id"), "class").hint("shuffle_hash")
-    chosen = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "text", "class")
-    return chosen.mapInArrow(run, "class long, size int, bitmap binary, shingles binary")
+    ids = wanted.select(F.col("doc_id").alias("_id"), "class", "component").hint("shuffle_hash")
+    chosen = squeezed(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return chosen.select("component", "class", "small").mapInArrow(
+        run, "component long, class long, size int, bitmap binary, shingles binary"
+    )
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple]:
@@ -415,7 +441,7 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def possible_edges(lists: DataFrame, sets: DataFrame, s: JoinSettings) -> DataFrame:
+def possible_edges(lists: DataFrame, classes: DataFrame, s: JoinSettings) -> DataFrame:
     """A spanning forest of the possible links of every bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,7 +462,7 @@ def possible_edges(lists: DataFrame, sets: DataFrame, s: JoinSettings) -> DataFr
         F.col("members")[0].alias("left"), F.explode("members").alias("right")
     )
     dealt = (
-        rows.join(sets.select("class", "size", "bitmap"), "class")
+        rows.join(classes.select("class", "size", "bitmap"), "class")
         .select("bucket", "class", "size", "bitmap")
         .repartition("bucket")
         .sortWithinPartitions("bucket")
@@ -462,11 +488,10 @@ def _proof(rows: list[tuple], group: Group, label: np.ndarray, s: JoinSettings):
     return [(rows[a][0], rows[b][0]) for a, b in group.forest(label, proves)]
 
 
-def proven_blocks(grouped: DataFrame, s: JoinSettings) -> DataFrame:
+def proven_blocks(sets: DataFrame, s: JoinSettings) -> DataFrame:
     """Verified links inside blocks of a group, and the block of each class.
 
-    ``grouped`` has (component, size, class, bitmap, shingles). A row with
-    ``right`` is a link; one without tells the block of class ``left``.
+    ``sets`` has (component, class, size, bitmap, shingles). A row with ``right`` is a link; one without tells the block of class ``left``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -498,7 +523,7 @@ def proven_blocks(grouped: DataFrame, s: JoinSettings) -> DataFrame:
         yield _blocks(out)
 
     dealt = (
-        grouped.select("component", "size", "class", "bitmap", "shingles")
+        sets.select("component", "size", "class", "bitmap", "shingles")
         .repartition("component")
         .sortWithinPartitions("component", "size", "class")
     )
@@ -567,12 +592,20 @@ def link_classes(docs: DataFrame, profiled: DataFrame, s: JoinSettings) -> DataF
     """(class, label) of all classes that have a link; linked ones share a label."""
     frequent = frequent_shingles(profiled, s)
     lists = staged(buckets(prefixes(docs, frequent, s), s), "buckets")
-    met = lists.select(F.explode("members").alias("class")).distinct()
-    stands = profiled.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    sets = staged(class_sets(docs, stands.join(met, "class"), s), "class-sets")
-    groups = staged(components(possible_edges(lists, sets, s)), "groups")
-    grouped = sets.join(groups.withColumnRenamed("node", "class"), "class")
-    proven = staged(proven_blocks(grouped, s), "proven")
+    classes = staged(
+        profiled.where(F.col("class").isNotNull())
+        .groupBy("class")
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.first("n_shingles").cast("int").alias("size"),
+            F.first("bitmap").alias("bitmap"),
+        ),
+        "classes",
+    )
+    groups = staged(components(possible_edges(lists, classes, s)), "groups")
+    wanted = classes.select("class", "doc_id").join(groups.withColumnRenamed("node", "class"), "class")
+    sets = staged(class_sets(docs, wanted, s), "class-sets")
+    proven = staged(proven_blocks(sets, s), "proven")
     found = proven.where(F.col("right").isNotNull()).select("left", "right")
     labels = staged(components(found), "labels").toDF("class", "label")
 
@@ -585,17 +618,19 @@ def link_classes(docs: DataFrame, profiled: DataFrame, s: JoinSettings) -> DataF
         .select("component", "block", F.col("left").alias("class"), "size")
         .join(several, "component", "left_semi")
     )
-    more = links_between_blocks(placed, labels, sets, s)
+    more = links_between_blocks(placed, labels, sets.drop("component"), s)
     joined = labels.select(F.col("class").alias("left"), F.col("label").alias("right")).union(more)
     return staged(components(joined), "labels").toDF("class", "label")
 
 
-def near_duplicates(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
-    """One row for each row of ``docs`` (``doc_id``, ``text``): size of its set, component."""
-    s = settings or JoinSettings()
+def labelled_rows(docs: DataFrame, s: JoinSettings) -> DataFrame:
+    """For each row of ``docs`` its id, set size, class, the label and id of its component.
+
+    Rows with empty sets have no class and no label, and are their own component.
+    """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profiled = staged(profile(plain, s), "profile")
-    rows = profiled.where(F.col("seen").isNull())
+    rows = profiled.where(F.col("seen").isNull()).select("doc_id", "n_shingles", "class")
     labels = link_classes(plain, profiled, s)
     classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("low"))
     labelled = staged(
@@ -603,9 +638,66 @@ def near_duplicates(docs: DataFrame, settings: JoinSettings | None = None) -> Da
         "labelled",
     )
     lowest = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = staged(labelled.join(lowest, "label").select("class", "component_id"), "named")
+    named = staged(labelled.join(lowest, "label").select("class", "label", "component_id"), "named")
     linked = rows.where(F.col("class").isNotNull()).join(named, "class")
-    empty = rows.where(F.col("class").isNull())
-    return linked.select("doc_id", "n_shingles", "component_id").union(
-        empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    columns = ["doc_id", "n_shingles", "class", "label", "component_id"]
+    empty = rows.where(F.col("class").isNull()).select(
+        "doc_id", "n_shingles", "class", F.lit(None).cast("long").alias("label"),
+        F.col("doc_id").alias("component_id"),
+    )
+    return linked.select(columns).union(empty)
+
+
+def near_duplicates(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
+    """One row for each row of ``docs`` (``doc_id``, ``text``): size of its set, component."""
+    return labelled_rows(docs, settings or JoinSettings()).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+def keep_first(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
+    """One row of each component of ``docs``, with all its columns.
+
+    The row with the component's id stays: if several rows have that id, the
+    one with the smallest class, and of equal sets the first by text. Rows with
+    empty sets are components of their own and all stay.
+    """
+    s = settings or JoinSettings()
+    light = ["_id", "_class", "_copies"]
+    taken = docs.columns
+    own_id, own_class, copies = (fresh_name(taken, name) for name in light)
+    order = fresh_name(taken, "_order")
+
+    found = labelled_rows(docs, s)
+    stands = (
+        found.where(F.col("class").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("label", "doc_id", "class")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .groupBy("label", "doc_id")
+        .agg(F.min(F.struct("class", "copies")).alias("first"))
+    )
+    stands = staged(
+        stands.select(
+            F.col("doc_id").alias(own_id),
+            F.col("first.class").alias(f"{own_class}_"),
+            F.col("first.copies").alias(copies),
+        ),
+        "kept-classes",
+    )
+
+    def compute(columns: list[pa.Array]) -> list[pa.Array]:
+        sets = (shingle_set(text, s.shingle) for text in text_bytes(columns[0]))
+        return [pa.array([set_class(x) if len(x) else None for x in sets], pa.int64())]
+
+    rows = append_columns(docs, ["text"], [T.StructField(own_class, T.LongType())], compute)
+    kept = rows.where(F.col(own_class).isNotNull()).join(
+        stands.hint("shuffle_hash"),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(own_id))
+        & (F.col(own_class) == F.col(f"{own_class}_")),
     )
+    if stands.where(F.col(copies) > 1).limit(1).count():
+        # Several rows of one id and one set, which is the exception.
+        window = Window.partitionBy("doc_id", own_class).orderBy("text")
+        kept = kept.withColumn(order, F.row_number().over(window)).where(F.col(order) == 1)
+    empty = rows.where(F.col(own_class).isNull())
+    return kept.select(docs.columns).union(empty.select(docs.columns))

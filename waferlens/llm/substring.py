@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +34,10 @@ from waferlens.llm.common import (
     join_bounded,
     shingle_hashes,
     signed,
+    squeezed,
     staged,
     text_bytes,
+    unsqueezer,
     word_hashes,
 )
 
@@ -95,6 +96,10 @@ def super_kmers(words: list[bytes], s: RepeatSettings) -> tuple[np.ndarray, ...]
     return minimisers, cuts.astype(np.int32), (ends - cuts).astype(np.int32), weight
 
 
+def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    return docs.select("text", *columns, *_keys(docs))
+
+
 def _keys(docs: DataFrame) -> tuple[Column, Column]:
     """Two numbers that tell apart rows with other ids or texts; nulls have values too."""
     return (
@@ -122,31 +127,6 @@ def find_super_kmers(docs: DataFrame, s: RepeatSettings) -> DataFrame:
     )
 
 
-def squeezed(docs: DataFrame, *columns: str) -> DataFrame:
-    """Keys, ``columns`` and the text compressed for the way through a shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            small = pa.array([pack(t or b"") for t in text_bytes(batch.column(0))], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], small], names=[*batch.schema.names[1:], "small"]
-            )
-
-    chosen = docs.select("text", *columns, *_keys(docs))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[1:])
-    return chosen.mapInArrow(run, f"{kinds}, small binary")
-
-
-@lru_cache(maxsize=1)
-def _unsqueezer():
-    import zstandard
-
-    return zstandard.ZstdDecompressor().decompress
-
-
 def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[]] * 8
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
@@ -183,7 +163,7 @@ def pack_candidates(small: DataFrame, hits: DataFrame, s: RepeatSettings) -> Dat
         for key, text_key, blob, found in zip(
             *keys, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
         ):
-            words = words_of(_unsqueezer()(blob))
+            words = words_of(unsqueezer()(blob))
             # A repeated row has its places twice in the list.
             for start, windows, mini in {(h["start"], h["windows"], h["mini"]) for h in found}:
                 packed = b" ".join(words[start : start + windows + s.window - 1])
@@ -334,7 +314,7 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings | None = None) -> D
     s = settings or RepeatSettings()
     plain = docs.select("doc_id", "text")
     runs = (
-        repeated_windows(plain, squeezed(plain), s)
+        repeated_windows(plain, squeezed(_keyed(plain)), s)
         .groupBy("key", "text_key")
         .agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
     )
@@ -344,7 +324,7 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings | None = None) -> D
         for batch in batches:
             total, removed, texts = [], [], []
             for blob, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = words_of(_unsqueezer()(blob))
+                words = words_of(unsqueezer()(blob))
                 kept = words
                 if found:
                     kept = kept_words(words, [(f["start"], f["windows"]) for f in found], s.window)
@@ -361,7 +341,7 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings | None = None) -> D
                 names=["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    joined = squeezed(plain, "doc_id").join(staged(runs, "runs"), ["key", "text_key"], "left")
+    joined = squeezed(_keyed(plain, "doc_id")).join(staged(runs, "runs"), ["key", "text_key"], "left")
     return joined.select("doc_id", "small", "runs").mapInArrow(
         run, f"doc_id {kind}, n_words long, n_removed long, kept string"
     )
