@@ -48,8 +48,9 @@ class RepeatSettings:
     mer: int = 8
     # Longer super-k-mers are cut, so that no string is long.
     most_windows: int = 256
-    # A minimiser with more strings than that is split by window.
-    bucket_rows: int = 2_000
+    # A minimiser with more strings than that is split by window. So many strings
+    # have about 150,000 windows, which a task sorts in some 50 MB.
+    bucket_rows: int = 10_000
 
 
 PACKED = (
