@@ -11,6 +11,7 @@ DEFAULT_TOP_SENSORS = 50
 DEFAULT_STATUS_BY_LABEL = {1: "pass", -1: "fail"}
 DEFAULT_FAIL_BY_LABEL = {1: 0, -1: 1}
 UNKNOWN_STATUS = "unknown"
+FEATURE_PREFIX = "feature_"
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,7 @@ class PipelineConfig:
 
 def feature_names(count: int) -> list[str]:
     """``feature_001`` ... for ranks 1..count."""
-    return [f"feature_{rank:03d}" for rank in range(1, count + 1)]
+    return [f"{FEATURE_PREFIX}{rank:03d}" for rank in range(1, count + 1)]
 
 
 def sensor_names(count: int) -> list[str]:

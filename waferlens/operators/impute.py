@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waferlens.config import PipelineConfig
 from waferlens.operators.ordering import SINGLE_TASK_ROWS, running_sum
 from waferlens.operators.quality import BROADCAST_CHANNELS, join_channels
-from waferlens.shared import materialise
+from waferlens.shared import materialise, stage_table
 
 # The built-in median holds a channel's distinct values in one task's memory.
 IN_MEMORY_VALUES = 100_000
@@ -76,10 +76,18 @@ def counted_median(
     included, carries its own extremes, so a poor first guess costs a pass but
     never exactness. Readings of the last range are counted by value, and the
     middle ranks are looked up in running counts. Every step combines map-side.
+
+    The readings of the wanted channels are written out once, as channel and
+    value; all passes after that read this copy and not the whole table.
     """
     values = readings.select(sensor, F.col(reading).cast("double").alias("_value")).where(
         F.col("_value").isNotNull()
     )
+    wanted = spread.select(sensor)
+    bounded = spread.count() <= BROADCAST_CHANNELS
+    values = stage_table(
+        values.join(F.broadcast(wanted) if bounded else wanted, sensor, "left_semi"), "channel-values"
+    )
     spare = F.coalesce("reading_stddev", F.lit(0.0))
     state = materialise(
         spread.select(
@@ -129,7 +137,11 @@ def counted_median(
         )
     )
     return ranks.join(picked, sensor, "left").select(
-        sensor, ((F.col("_left") + F.col("_right")) / 2).alias(name)
+        # Halved first, as the sum of two large readings is no double; equal ones stay exact.
+        sensor,
+        F.when(F.col("_left") == F.col("_right"), F.col("_left"))
+        .otherwise(F.col("_left") * 0.5 + F.col("_right") * 0.5)
+        .alias(name),
     )
 
 

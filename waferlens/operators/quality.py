@@ -67,6 +67,7 @@ def rank_channels(
     selected = F.col("sensor_rank") <= config.top_sensors
     if config.strict_null_filter:
         selected = selected & (over_limit == 0)
+    ranked = ranked.withColumn("sensor_rank", F.col("sensor_rank").cast("int"))
     return ranked.withColumn("is_selected_for_ml", selected)
 
 

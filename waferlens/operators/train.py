@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import math
-import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import (
     RandomForestClassificationModel,
@@ -15,6 +14,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from waferlens.config import FEATURE_PREFIX
+from waferlens.operators.impute import channel_median
+from waferlens.operators.ordering import global_rank
 from waferlens.shared import materialise
 
 # The recorded training setup.
@@ -27,16 +29,21 @@ TOP_FEATURES = 10
 # 16**4 hash buckets: few enough to count map-side, and the one that holds the split
 # point has a 65,536th of a class.
 HASH_DIGITS = 4
-# A target with more classes than this is not a classification target.
-MAX_CLASSES = 1_000
-# Training rows a task holds; small enough to cache, whatever the number of rows.
+# Up to this many classes their thresholds are broadcast; more are joined by shuffle.
+BROADCAST_CLASSES = 10_000
+# Training rows a task holds; small enough to cache, whatever the number of rows. Rows
+# below that many partitions are spread all the same. Both fix the draws of the forest.
 ROWS_PER_PARTITION = 500_000
+PARTITIONS = 32
+# Class weights are multiples of this, so that sums of them are exact in any order.
+WEIGHT_STEP = 2.0**-24
 
 
-def feature_columns(df: DataFrame) -> list[str]:
-    """``feature_NNN`` columns in numeric order."""
-    names = [c for c in df.columns if re.fullmatch(r"feature_\d{3}", c)]
-    return sorted(names, key=lambda c: int(c.rsplit("_", 1)[1]))
+def feature_columns(df: DataFrame, prefix: str = FEATURE_PREFIX) -> list[str]:
+    """The feature columns of a table by rank, however many digits a rank has."""
+    ranks = {name: name.removeprefix(prefix) for name in df.columns if name.startswith(prefix)}
+    numbered = [(int(rank), name) for name, rank in ranks.items() if rank.isdecimal()]
+    return [name for _, name in sorted(numbered)]
 
 
 def with_target(df: DataFrame, target: str = "is_fail", drop_unlabelled: bool = False) -> DataFrame:
@@ -49,15 +56,11 @@ def with_target(df: DataFrame, target: str = "is_fail", drop_unlabelled: bool =
     )
 
 
-def class_counts(df: DataFrame, target: str) -> DataFrame:
-    """(target, class_rows, all_rows), one row per class."""
-    return with_all_rows(df.groupBy(target).agg(F.count(F.lit(1)).alias("class_rows")))
-
-
-def with_all_rows(classes: DataFrame) -> DataFrame:
-    return classes.withColumn(
-        "all_rows", F.sum("class_rows").over(Window.partitionBy(F.lit(0)))
-    )
+def class_counts(df: DataFrame, target: str) -> tuple[DataFrame, int, int]:
+    """Rows per class (``class_rows``), computed once; rows of all, and classes."""
+    counted = materialise(df.groupBy(target).agg(F.count(F.lit(1)).alias("class_rows")))
+    classes, rows = counted.agg(F.count(F.lit(1)), F.sum("class_rows")).first()
+    return counted, rows or 0, classes
 
 
 def stratified_split(
@@ -74,41 +77,33 @@ def stratified_split(
     largest remainder. Within a class the rows with the smallest seeded key
     hashes are taken. The hash that separates the two sets is found from bucket
     counts and one small bucket per class; assigning rows is then a map-side
-    comparison, so no class is ever sorted.
+    comparison, so no class is ever sorted. Rows without a target are in
+    neither set and count for none: their ``name`` is NULL.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
-    hashed = df.select(key, target).withColumn("_hash", digest)
+    labelled = df.select(key, target).where(F.col(target).isNotNull())
+    hashed = labelled.withColumn("_hash", digest)
     bucket = F.substring("_hash", 1, HASH_DIGITS)
     counted = materialise(
         hashed.groupBy(target, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
     )
-    if counted.select(target).distinct().count() > MAX_CLASSES:
-        raise ValueError(f"{target} has too many classes to stratify")
-
-    share = F.col("class_rows") * F.col("test_rows") / F.col("all_rows")
-    by_remainder = Window.partitionBy(F.lit(0)).orderBy(
-        (share - F.floor(share)).desc(), F.col(target)
-    )
-    quotas = (
-        with_all_rows(counted.groupBy(target).agg(F.sum("_rows").alias("class_rows")))
-        .withColumn("test_rows", F.ceil(F.col("all_rows") * F.lit(test_fraction)))
-        .withColumn("_place", F.row_number().over(by_remainder))
-        .withColumn("_floor", F.floor(share))
-        .withColumn(
-            "_spare",
-            F.col("test_rows") - F.sum("_floor").over(Window.partitionBy(F.lit(0))),
-        )
-        .select(
-            target,
-            (F.col("_floor") + (F.col("_place") <= F.col("_spare")).cast("int")).alias("_quota"),
-        )
+    sizes = materialise(counted.groupBy(target).agg(F.sum("_rows").alias("class_rows")))
+    classes, rows = sizes.agg(F.count(F.lit(1)), F.sum("class_rows")).first()
+    test_rows = math.ceil((rows or 0) * test_fraction)
+    share = F.col("class_rows") * F.lit(test_rows) / F.lit(max(rows or 0, 1))
+    least = sizes.withColumn("_floor", F.floor(share)).withColumn("_rest", share - F.col("_floor"))
+    spare = test_rows - (least.agg(F.sum("_floor")).first()[0] or 0)
+    placed = global_rank(least, [F.col("_rest").desc(), F.col(target)], "_place")
+    quotas = placed.select(
+        target, (F.col("_floor") + (F.col("_place") <= spare).cast("int")).alias("_quota")
     )
+    bounded = F.broadcast if classes <= BROADCAST_CLASSES else lambda side: side
     in_class = Window.partitionBy(target).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, 0
     )
     borders = (
         counted.withColumn("_upto", F.sum("_rows").over(in_class))
-        .join(F.broadcast(quotas), target)
+        .join(bounded(quotas), target)
         .where(
             (F.col("_upto") - F.col("_rows") < F.col("_quota"))
             & (F.col("_quota") <= F.col("_upto"))
@@ -128,7 +123,7 @@ def stratified_split(
     # Rows are counted per key first, so a repeated key weighs nothing and stays together.
     thresholds = materialise(
         hashed.withColumn("_bucket", bucket)
-        .join(F.broadcast(borders), [target, "_bucket"])
+        .join(bounded(borders), [target, "_bucket"])
         .groupBy(target, "_hash", key, "_take")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_upto", F.sum("_rows").over(in_border))
@@ -140,28 +135,61 @@ def stratified_split(
     )
     return (
         df.withColumn("_hash", digest)
-        .join(F.broadcast(thresholds), target, "left")
-        .withColumn(name, F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
+        .join(bounded(thresholds), target, "left")
+        .withColumn(
+            name,
+            F.when(in_test, F.lit("test")).when(F.col(target).isNotNull(), F.lit("train")),
+        )
         .select(*df.columns, name)
     )
 
 
 def class_weights(df: DataFrame, target: str = "is_fail") -> DataFrame:
-    """(target, weight) with ``rows / (classes * class rows)``."""
-    every = Window.partitionBy(F.lit(0))
-    counted = class_counts(df, target).withColumn("_classes", F.count(F.lit(1)).over(every))
-    return counted.select(
-        target,
-        "class_rows",
-        (F.col("all_rows") / (F.col("_classes") * F.col("class_rows"))).alias("class_weight"),
+    """(target, class_rows, class_weight) with ``rows / (classes * class rows)``."""
+    counted, rows, classes = class_counts(df, target)
+    weight = F.lit(rows) / (F.lit(classes) * F.col("class_rows"))
+    return counted.select(target, "class_rows", weight.alias("class_weight"))
+
+
+def fill_values(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """For every feature with gaps the median of its values, 0.0 where it has none.
+
+    Only features with gaps are looked at again, as rows of (feature, value).
+    """
+    if not features:
+        return {}
+    gap = lambda name: F.col(name).isNull() | F.isnan(name)
+    missing = df.agg(*(F.count(F.when(gap(name), 1)).alias(name) for name in features)).first()
+    gaps = [name for name in features if missing[name]]
+    if not gaps:
+        return {}
+    cells = [
+        F.struct(F.lit(name).alias("sensor_id"), F.col(name).cast("double").alias("value"))
+        for name in gaps
+    ]
+    long = df.select(F.inline(F.array(*cells))).select(
+        "sensor_id", F.when(~F.isnan("value"), F.col("value")).alias("reading_value")
     )
+    found = {row["sensor_id"]: row["sensor_median"] for row in channel_median(long).collect()}
+    return {name: 0.0 if found.get(name) is None else found[name] for name in gaps}
 
 
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Add the feature vector; a channel without any reading becomes a constant."""
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(
-        df.fillna(0.0, subset=list(features))
+def assemble(
+    df: DataFrame, features: Sequence[str], fills: Mapping[str, float] | None = None
+) -> DataFrame:
+    """Add the feature vector, gaps filled with the feature's own value of ``fills``.
+
+    A gap in a feature that had none in training is an error.
+    """
+    fills = fills or {}
+    filled = df.withColumns(
+        {
+            name: F.coalesce(F.when(~F.isnan(name), F.col(name)), F.lit(fills[name]))
+            for name in features
+            if name in fills
+        }
     )
+    return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled)
 
 
 def train_forest(
@@ -171,18 +199,22 @@ def train_forest(
     trees: int = TREES,
     depth: int = DEPTH,
     seed: int = SEED,
+    fills: Mapping[str, float] | None = None,
+    partitions: int = PARTITIONS,
 ) -> RandomForestClassificationModel:
     """Class-balanced random forest, grown level by level over all executors.
 
     Every level passes over the rows for all trees, so the rows are spread
-    evenly once, however few files they come from.
+    evenly once, however few files they come from. Their partitions depend on
+    the rows alone, and class weights are rounded to binary fractions, whose
+    sums are exact: the same rows and seed give the same trees on any cluster.
     """
     weights = materialise(class_weights(train, target))
     classes, rows = weights.agg(F.count(F.lit(1)), F.sum("class_rows")).first()
-    if classes > MAX_CLASSES:
-        raise ValueError(f"{target} has too many classes to classify")
+    rounded = F.round(F.col("class_weight") / WEIGHT_STEP) * WEIGHT_STEP
+    weights = weights.select(target, F.greatest(rounded, F.lit(WEIGHT_STEP)).alias("class_weight"))
     weighted = train.select(target, *features).join(
-        F.broadcast(weights.select(target, "class_weight")), target
+        F.broadcast(weights) if classes <= BROADCAST_CLASSES else weights, target
     )
     forest = RandomForestClassifier(
         labelCol=target,
@@ -193,16 +225,20 @@ def train_forest(
         seed=seed,
         maxMemoryInMB=1024,
     )
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    spread = weighted.repartition(max(cores, math.ceil((rows or 0) / ROWS_PER_PARTITION)))
-    return forest.fit(assemble(spread, features))
+    count = max(partitions, math.ceil((rows or 0) / ROWS_PER_PARTITION))
+    every = [target, *features]
+    spread = weighted.repartition(count, F.xxhash64(*every)).sortWithinPartitions(*every)
+    return forest.fit(assemble(spread, features, fills))
 
 
 def score_batch(
-    model: RandomForestClassificationModel, df: DataFrame, features: Sequence[str]
+    model: RandomForestClassificationModel,
+    df: DataFrame,
+    features: Sequence[str],
+    fills: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """Add the predicted class and the probability of the positive class."""
-    scored = model.transform(assemble(df, features))
+    scored = model.transform(assemble(df, features, fills))
     return scored.select(
         *df.columns,
         F.col("prediction").cast("int").alias("prediction"),
