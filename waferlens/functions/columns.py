@@ -41,7 +41,7 @@ def nullify_sentinel(value: Column, sentinel: float) -> Column:
 def clean_reading(value: Column, sentinel: float) -> Column:
     """Both spellings of a missing reading, NaN and the sentinel, become NULL."""
     number = value.cast("double")
-    return F.when(~F.isnan(number) & (number != F.lit(sentinel)), number)
+    return F.when(~F.isnan(number), nullify_sentinel(number, sentinel))
 
 
 def round_half_away(value: Column, digits: int) -> Column:

@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 
 from waferlens.functions.columns import percentage, safe_ratio
 from waferlens.operators.ordering import SINGLE_TASK_ROWS, running_sum
+from waferlens.shared import materialise
 
 BINARY = (0, 1)
 
 
-def _cell(truth: str, prediction: str, actual: int, predicted: int) -> Column:
-    hit = (F.col(truth) == actual) & (F.col(prediction) == predicted)
-    return F.count(F.when(hit, 1))
+def _tally(hit: Column, weight: str | None) -> Column:
+    """How many rows hit, where a row stands for ``weight`` rows."""
+    if weight is None:
+        return F.count(F.when(hit, 1))
+    return F.coalesce(F.sum(F.when(hit, F.col(weight))), F.lit(0).cast("long"))
+
+
+def _cell(truth: str, prediction: str, actual: int, predicted: int, weight: str | None) -> Column:
+    return _tally((F.col(truth) == actual) & (F.col(prediction) == predicted), weight)
 
 
 def confusion_matrix(
@@ -23,13 +30,14 @@ def confusion_matrix(
     truth: str = "truth",
     prediction: str = "prediction",
     classes: Sequence[int] = BINARY,
+    weight: str | None = None,
 ) -> DataFrame:
     """(truth, prediction, n) over the full class grid, zero cells included."""
     cells = [
         F.struct(
             F.lit(actual).alias("truth"),
             F.lit(predicted).alias("prediction"),
-            _cell(truth, prediction, actual, predicted).alias("n"),
+            _cell(truth, prediction, actual, predicted, weight).alias("n"),
         )
         for actual in classes
         for predicted in classes
@@ -46,13 +54,14 @@ def binary_prf(
     truth: str = "truth",
     prediction: str = "prediction",
     positive: int = 1,
+    weight: str | None = None,
 ) -> DataFrame:
     """Precision, recall and F1 of the positive class in one row; 0/0 counts as 0."""
     is_truth, is_predicted = F.col(truth) == positive, F.col(prediction) == positive
     counts = scored.agg(
-        F.count(F.when(is_truth & is_predicted, 1)).alias("hits"),
-        F.count(F.when(is_predicted, 1)).alias("predicted"),
-        F.count(F.when(is_truth, 1)).alias("actual"),
+        _tally(is_truth & is_predicted, weight).alias("hits"),
+        _tally(is_predicted, weight).alias("predicted"),
+        _tally(is_truth, weight).alias("actual"),
     )
     return counts.select(
         safe_ratio(F.col("hits"), F.col("predicted")).alias("precision"),
@@ -65,6 +74,7 @@ def classification_report(
     truth: str = "truth",
     prediction: str = "prediction",
     classes: Sequence[int] = BINARY,
+    weight: str | None = None,
 ) -> DataFrame:
     """Per-class scores plus accuracy, macro and weighted averages, one row each.
 
@@ -75,9 +85,9 @@ def classification_report(
     for c in classes:
         is_truth, is_predicted = F.col(truth) == c, F.col(prediction) == c
         measures += [
-            F.count(F.when(is_truth & is_predicted, 1)).alias(f"hits_{c}"),
-            F.count(F.when(is_predicted, 1)).alias(f"predicted_{c}"),
-            F.count(F.when(is_truth, 1)).alias(f"actual_{c}"),
+            _tally(is_truth & is_predicted, weight).alias(f"hits_{c}"),
+            _tally(is_predicted, weight).alias(f"predicted_{c}"),
+            _tally(is_truth, weight).alias(f"actual_{c}"),
         ]
     counts = scored.agg(*measures)
     scores = counts.select(
@@ -133,6 +143,7 @@ def roc_auc(
     score: str = "score",
     positive: int = 1,
     single_task_rows: int = SINGLE_TASK_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve in one row; tied scores count half.
 
@@ -142,8 +153,8 @@ def roc_auc(
     """
     is_positive = F.col(truth) == positive
     per_score = scored.groupBy(F.col(score).alias("_score")).agg(
-        F.count(F.when(is_positive, 1)).alias("_positives"),
-        F.count(F.when(~is_positive, 1)).alias("_negatives"),
+        _tally(is_positive, weight).alias("_positives"),
+        _tally(~is_positive, weight).alias("_negatives"),
     )
     ranked = running_sum(per_score, ["_score"], "_negatives", "_upto", single_task_rows)
     beaten = F.col("_upto") - F.col("_negatives") / 2
@@ -154,16 +165,18 @@ def roc_auc(
 
 
 def label_profile(
-    df: DataFrame, target: str = "is_fail", split: str | None = None
+    df: DataFrame, target: str = "is_fail", split: str | None = None, weight: str | None = None
 ) -> DataFrame:
     """Row count and positive share in percent; train and test counts if split."""
-    parts = [F.count(F.lit(1)).alias("rows_total")]
+    parts = [_tally(F.lit(True), weight).alias("rows_total")]
     if split is not None:
         parts += [
-            F.count(F.when(F.col(split) == "train", 1)).alias("rows_train"),
-            F.count(F.when(F.col(split) == "test", 1)).alias("rows_test"),
+            _tally(F.col(split) == "train", weight).alias("rows_train"),
+            _tally(F.col(split) == "test", weight).alias("rows_test"),
         ]
-    parts.append(percentage(F.sum(target), F.count(target)).alias("positive_rate_pct"))
+    positives = F.sum(target) if weight is None else F.sum(F.col(target) * F.col(weight))
+    known = _tally(F.col(target).isNotNull(), weight)
+    parts.append(percentage(positives, known).alias("positive_rate_pct"))
     return df.agg(*parts)
 
 
@@ -179,16 +192,26 @@ def metrics_record(
 ) -> DataFrame:
     """Everything recorded about one training run, as one nested row.
 
-    All inputs of the final aggregation are one-row or class-grid tables.
+    The scored rows are read once: they are counted by score, truth and
+    prediction, and all measures come from these counts. The profile too, where
+    the dataset is those very rows. All inputs of the final aggregation are
+    one-row or class-grid tables.
     """
-    profile = label_profile(dataset, target, split)
-    prf = binary_prf(scored, target, prediction).select(
+    weight = "_times"
+    counted = materialise(
+        scored.groupBy(score, target, prediction).agg(F.count(F.lit(1)).alias(weight))
+    )
+    if dataset is scored and split is None:
+        profile = label_profile(counted, target, None, weight)
+    else:
+        profile = label_profile(dataset, target, split)
+    prf = binary_prf(counted, target, prediction, weight=weight).select(
         F.round("f1_score", 4).alias("f1_fail_class"),
         F.round("precision", 4).alias("precision_fail"),
         F.round("recall", 4).alias("recall_fail"),
     )
-    auc = roc_auc(scored, target, score).select(F.round("roc_auc", 4).alias("roc_auc"))
-    cells = confusion_matrix(scored, target, prediction).groupBy("truth").agg(
+    auc = roc_auc(counted, target, score, weight=weight).select(F.round("roc_auc", 4).alias("roc_auc"))
+    cells = confusion_matrix(counted, target, prediction, weight=weight).groupBy("truth").agg(
         F.sort_array(F.collect_list(F.struct("prediction", "n"))).alias("row")
     )
     matrix = cells.agg(
@@ -197,7 +220,7 @@ def metrics_record(
             lambda line: F.transform(line["row"], lambda cell: cell["n"]),
         ).alias("confusion_matrix")
     )
-    report = classification_report(scored, target, prediction).agg(
+    report = classification_report(counted, target, prediction, weight=weight).agg(
         F.map_from_entries(
             F.collect_list(
                 F.struct("label", F.struct("precision", "recall", "f1_score", "support"))

@@ -34,12 +34,16 @@ def _tallies(config: PipelineConfig):
     return tested, failed, tested - failed
 
 
-def daily_yield(staged: DataFrame, config: PipelineConfig = PipelineConfig()) -> DataFrame:
+def daily_yield(
+    staged: DataFrame, config: PipelineConfig = PipelineConfig(), stored: bool = False
+) -> DataFrame:
     """Yield KPIs per test date, in date order; untimed labels are left out.
 
-    The group without a date is dropped after counting: a filter before it
-    would have a not yet stored timestamp parsed twice per row.
+    Of ``stored`` labels the untimed are left out at the scan. Otherwise their
+    group is dropped after counting, as a filter would parse each time twice.
     """
+    if stored:
+        staged = staged.where(F.col("tested_at").isNotNull())
     tested, failed, passed = _tallies(config)
     return (
         staged.select(F.col("tested_at").cast("date").alias("test_date"), "is_fail")
