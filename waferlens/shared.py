@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+# Paths staged inside each open ``staging`` block.
+_staging: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -52,5 +58,26 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for paths in _staging:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that were staged inside the block when it ends.
+
+    For work whose results are stored by then; a DataFrame that still reads a
+    staged table cannot be used after it.
+    """
+    paths: list[str] = []
+    _staging.append(paths)
+    try:
+        yield
+    finally:
+        _staging.remove(paths)
+        for path in paths:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            settings = spark.sparkContext._jsc.hadoopConfiguration()
+            place.getFileSystem(settings).delete(place, True)

@@ -69,10 +69,10 @@ def parse_labels_quarantined(
 
 
 def read_labels(spark: SparkSession, path: str | list[str], wafer: str = "wafer_id") -> DataFrame:
-    return parse_labels(number_rows(read_lines(spark, path), wafer), wafer)
+    return parse_labels(number_rows(read_lines(spark, path), wafer, path), wafer)
 
 
 def read_labels_quarantined(
     spark: SparkSession, path: str | list[str], wafer: str = "wafer_id"
 ) -> ParsedLabels:
-    return parse_labels_quarantined(number_rows(read_lines(spark, path), wafer), wafer)
+    return parse_labels_quarantined(number_rows(read_lines(spark, path), wafer, path), wafer)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waferlens.config import sensor_names
 from waferlens.functions.columns import nan_to_null, strip_blanks
-from waferlens.sources.ordinals import number_rows, read_lines
+from waferlens.sources.ordinals import number_rows, place_blocks, read_lines
 
 # Spellings of a missing number in a text file.
 MISSING_TOKENS = [
@@ -42,18 +42,27 @@ def read_matrix(spark: SparkSession, path: str | list[str], wafer: str = "wafer_
     how many channels there are: shorter lines are padded with NULL, longer
     ones are an error.
     """
-    lines = read_lines(spark, path).withColumn("values", parse_values(F.col("value")))
-    numbered = number_rows(
-        lines.withColumn("channels", F.size("values")).drop("value"), wafer
+    lines = read_lines(spark, path)
+    channels = F.size(F.split(strip_blanks(F.col("value")), r"\s+"))
+    placed = place_blocks(
+        lines,
+        path,
+        {
+            "_least": F.min(channels),
+            "_most": F.max(channels),
+            "_width": F.min_by(channels, F.col("place")),
+        },
     )
-    sizes = numbered.agg(
-        F.min_by("channels", wafer).alias("first"),
-        F.min("channels").alias("least"),
-        F.max("channels").alias("most"),
+    sizes = placed.agg(
+        F.min_by("_width", F.col("_first") + F.col("_shift")).alias("first"),
+        F.min("_least").alias("least"),
+        F.max("_most").alias("most"),
     ).first()
     width = sizes["first"]
     if sizes["most"] is not None and sizes["most"] > width:
         raise ValueError(f"a matrix line has {sizes['most']} numbers, the first has {width}")
+    parsed = lines.withColumn("values", parse_values(F.col("value"))).drop("value")
+    numbered = number_rows(parsed, wafer, placed=placed)
     values = F.col("values")
     if sizes["least"] != width:
         padding = F.array_repeat(F.lit(None).cast("double"), F.lit(width) - F.size(values))
