@@ -96,6 +96,7 @@ def test_training_scores_and_records(spark, marts, tmp_path):
         train.load_model(str(tmp_path / "model")),
         run.scored.drop("prediction", "score"),
         CONFIG.feature_names,
+        run.fills,
     )
     assert again.select("wafer_id", "score").exceptAll(run.scored.select("wafer_id", "score")).isEmpty()
 
@@ -114,5 +115,41 @@ def test_index_answers_questions_about_the_tables(spark, marts, tmp_path):
     best = hits.orderBy("rank").first()
     assert best["id"] == "glossary::2"
     assert best["headline"].startswith("[glossary] Lot")
+    asked = spark.createDataFrame([(1, "what is the ML training table")], "query_id int, text string")
+    assert search.search(index, asked, encoder).orderBy("rank").first()["id"] == "model::marts.ml_features"
+    assert index.where("text like '%: '").where("metadata['type'] = 'model'").isEmpty()
     with pytest.raises(RuntimeError, match="no documents"):
         search.search(index.limit(0), questions, encoder)
+
+
+def test_staged_readings_are_a_view_and_candidates_are_gone(spark, marts):
+    from waferlens.operators import quality
+
+    kind = {t.name: t.tableType for t in spark.catalog.listTables("staging")}
+    assert kind["readings"] == "VIEW"
+    view = spark.table("staging.readings")
+    built = quality.stage_readings(spark.table("bronze.sensor_readings_long"), CONFIG)
+    assert view.schema == built.schema and view.exceptAll(built).isEmpty() and built.exceptAll(view).isEmpty()
+    assert {t.name for t in spark.catalog.listTables("marts")} >= {"ml_features", "daily_yield"}
+    assert not [t.name for t in spark.catalog.listTables("marts") if "__" in t.name]
+
+
+def test_queries_leave_tables_of_the_session_alone(spark, marts):
+    from waferlens.plans import queries
+
+    before = {n: spark.table(n).count() for n in ("marts.ml_features", "bronze.labels_raw")}
+    for name in ("mart_read", "bronze_write"):
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert {n: spark.table(n).count() for n in before} == before
+
+
+def test_staged_tables_are_removed_after_a_run(spark, tmp_path):
+    from pathlib import Path
+
+    from waferlens.shared import shared_dir, stage_table, staging
+
+    with staging(spark):
+        stage_table(spark.range(3), "to-go")
+        folder = Path(shared_dir(spark).removeprefix("file:")) / "tables"
+        assert [p for p in folder.iterdir() if p.name.startswith("to-go")]
+    assert not [p for p in folder.iterdir() if p.name.startswith("to-go")]

@@ -1,15 +1,19 @@
 """The ways taken when data outgrow one task, against brute force on small data."""
 
 import math
+import os
 import random
 import re
 import statistics
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from waferlens.config import PipelineConfig
+from waferlens.config import PipelineConfig, feature_names
 from waferlens.operators import evaluate, features, impute, ordering, quality, search, train
 from waferlens.sources import labels, matrix, ordinals
 
@@ -196,20 +200,145 @@ def test_nearest_neighbours_equal_brute_force_in_one_or_many_passes(spark):
         search.knn_search(docs.withColumn("embedding", F.slice("embedding", 1, 3)), asked).collect()
 
 
+def test_many_queries_pass_blocks_of_documents(spark):
+    rng = np.random.default_rng(7)
+    points = rng.integers(0, 4, size=(120, 3)).astype(float)
+    docs = spark.createDataFrame(
+        [(i, p.tolist()) for i, p in enumerate(points)], "id long, embedding array<float>"
+    )
+
+    def asked(count):
+        queries = np.random.default_rng(8).integers(0, 4, size=(count, 3)).astype(float)
+        rows = [(i, q.tolist()) for i, q in enumerate(queries)]
+        return queries, spark.createDataFrame(rows, "query_id long, embedding array<float>")
+
+    queries, many = asked(10_500)
+    found = search.knn_search(docs, many, 2, rows_per_block=50)
+    distances = ((points[None] - queries[:, None]) ** 2).sum(axis=2)
+    order = np.argsort(distances, axis=1, kind="stable")[:, :2]
+    expected = {
+        (q, rank, int(i), distances[q, i])
+        for q in range(len(queries))
+        for rank, i in enumerate(order[q], start=1)
+    }
+    assert {tuple(r) for r in found.collect()} == expected
+    _, fewer = asked(1_500)
+    small = search.knn_search(docs, fewer, 2, rows_per_block=50)
+    sizes = [len(plan(df).splitlines()) for df in (found, small)]
+    assert sizes[0] == sizes[1]
+
+
+def test_medians_of_huge_readings_are_the_same_on_both_ways(spark):
+    rows = [(0, 1, 1.7e308), (1, 1, 1.7e308), (0, 2, 1.6e308), (1, 2, 1.7e308), (0, 3, -1.7e308), (1, 3, 1.7e308)]
+    df = spark.createDataFrame(rows, "wafer_id long, sensor_id int, reading_value double")
+    small = {r[0]: r[1] for r in impute.channel_median(df).collect()}
+    large = {r[0]: r[1] for r in impute.channel_median(df, in_memory_values=0).collect()}
+    assert small == large and small[1] == 1.7e308 and small[3] == 0.0
+
+
+def test_counted_median_reads_the_table_twice_at_most(spark):
+    rng = random.Random(9)
+    rows = [(i, i % 40, rng.expovariate(1) ** 9) for i in range(20_000)]
+    plain = spark.createDataFrame(rows, "wafer_id long, sensor_id int, reading_value double")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = plain.mapInArrow(counted, plain.schema)
+    spread = impute.value_spread(plain).where("sensor_id < 5")
+    spread = spread.cache()
+    spread.count()
+    found = impute.channel_median(df, spread=spread, in_memory_values=0, single_task_rows=100)
+    assert found.count() == 5
+    assert len(rows) <= read.value <= 2 * len(rows)
+
+
+def test_files_are_numbered_in_the_given_or_the_natural_order(spark, tmp_path):
+    folder = write_files(
+        tmp_path / "f", {f"log-{n}.txt": [f"{n}\n"] for n in (2, 10, 1, 99999, 100000)}
+    )
+
+    def numbers(path):
+        rows = ordinals.number_rows(ordinals.read_lines(spark, path), "n", path).collect()
+        return [r["value"] for r in sorted(rows, key=lambda r: r["n"])]
+
+    assert numbers(folder) == ["1", "2", "10", "99999", "100000"]
+    listed = [f"{folder}/log-{n}.txt" for n in (10, 2, 100000)]
+    assert numbers(listed) == ["10", "2", "100000"]
+    write_files(tmp_path / "g", {"log-1.txt": ["a\n"], "log-01.txt": ["b\n"]})
+    with pytest.raises(ValueError, match="no order"):
+        numbers(str(tmp_path / "g"))
+
+
 def test_embedding_equals_hand_computed_tfidf(spark):
     texts = ["Wafer yield by day", "yield, yield and wafer", "no match here", ""]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     encoder = search.fit_encoder(df, dimensions=4096)
     found = {r["id"]: np.array(r["embedding"]) for r in search.embed_text(df, encoder).collect()}
-    hashing = encoder.stages[1]
     words = [re.findall(r"\w+", t.lower()) for t in texts]
-    slots = [[hashing.indexOf(w) for w in ws] for ws in words]
+    slots = [[search.word_slot(w, 4096) for w in ws] for ws in words]
     for i, ws in enumerate(slots):
         vector = np.zeros(4096)
         for slot in ws:
             vector[slot] += math.log((len(texts) + 1) / (sum(slot in s for s in slots) + 1))
         norm = np.linalg.norm(vector)
         assert np.allclose(found[i], vector / norm if norm else vector, atol=1e-6)
+    both, same = search.fit_and_embed(df, 4096)
+    assert same == encoder
+    assert both.exceptAll(search.embed_text(df, encoder)).isEmpty()
+
+
+def test_rows_without_a_target_are_in_neither_set(spark):
+    rows = [(i, None if i < 20 else i % 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "wafer_id long, is_fail int")
+    counts = {r[0]: r[1] for r in train.stratified_split(df).groupBy("split").count().collect()}
+    assert counts == {None: 20, "test": 16, "train": 64}
+
+
+def test_all_features_are_found_whatever_their_number(spark):
+    names = feature_names(1_200)
+    df = spark.range(1).select("id", *(F.lit(0.5).alias(n) for n in reversed(names)), F.lit(1).alias("feature_set"))
+    assert train.feature_columns(df) == names
+
+
+def test_gaps_are_filled_with_medians_of_training_rows(spark):
+    rows = [(1.0, None, 5.0), (2.0, None, 6.0), (None, None, 7.0), (9.0, None, 8.0)]
+    df = spark.createDataFrame(rows, "feature_001 double, feature_002 double, feature_003 double")
+    names = train.feature_columns(df)
+    fills = train.fill_values(df, names)
+    assert fills == {"feature_001": 2.0, "feature_002": 0.0}
+    vectors = [list(map(float, r["features"].toArray())) for r in train.assemble(df, names, fills).collect()]
+    assert vectors == [[1.0, 0.0, 5.0], [2.0, 0.0, 6.0], [2.0, 0.0, 7.0], [9.0, 0.0, 8.0]]
+
+
+FOREST = """
+import sys
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from waferlens.operators import train
+spark = (SparkSession.builder.master(f"local[{sys.argv[1]}]").config("spark.ui.enabled", "false")
+    .config("spark.checkpoint.dir", sys.argv[2]).config("spark.sql.shuffle.partitions", sys.argv[1]).getOrCreate())
+rows = spark.range(2000).select((F.col("id") % 3 == 0).cast("int").alias("is_fail"),
+    *(((F.xxhash64("id", F.lit(i)) % 1000) / 7.0 + F.col("id") % 3 * i).alias(f"feature_{i:03d}") for i in range(1, 6)))
+model = train.train_forest(rows.repartition(int(sys.argv[1])), [f"feature_{i:03d}" for i in range(1, 6)], trees=6, depth=5)
+print("TREES", hash(model.toDebugString.split("\\n", 1)[1]), model.featureImportances)
+"""
+
+
+def test_the_forest_does_not_depend_on_cores(tmp_path):
+    root = str(Path(__file__).resolve().parent.parent)
+    env = os.environ | {"PYTHONPATH": root, "PYTHONHASHSEED": "0"}
+    said = []
+    for cores in ("2", "4"):
+        run = subprocess.run(
+            [sys.executable, "-c", FOREST, cores, str(tmp_path / cores)],
+            env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300,
+        )
+        said.append(run.stdout[run.stdout.index("TREES") :])
+    assert said[0] == said[1]
 
 
 def test_a_repeated_key_stays_on_one_side_of_the_split(spark):

@@ -9,7 +9,9 @@ from __future__ import annotations
 from waferlens.config import feature_names, sensor_names
 from waferlens.functions.columns import BLANK_CHARACTERS
 from waferlens.plans.checks import PIPELINE_CHECKS
-from waferlens.plans.queries import COLLECTION, CONFIG, ENCODER
+from waferlens.operators.search import DIMENSIONS
+from waferlens.operators.train import DEPTH, TREES
+from waferlens.plans.queries import BUILT_AT, COLLECTION, CONFIG, ENCODER, QUESTIONS
 
 CHANNELS = 64
 FEATURES = feature_names(CONFIG.top_sensors)
@@ -175,6 +177,63 @@ STEPS = {
                                              lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as distance
               from centres, (select vec_id, embedding::double[] as v from embeddings))
         qualify rank <= 5""",
+    "labelled": "select wafer_id, is_fail from mart where is_fail is not null",
+    "parted": """
+        select wafer_id, is_fail,
+               case when row_number() over (partition by is_fail order by md5('42:' || wafer_id), wafer_id)
+                         <= quota then 'test' else 'train' end as split
+        from labelled join (
+            select is_fail, least_rows
+                   + (row_number() over (order by share - least_rows desc, is_fail)
+                      <= test_rows - sum(least_rows) over ())::int as quota
+            from (select is_fail, test_rows, n * test_rows / total as share,
+                         floor(n * test_rows / total) as least_rows
+                  from (select is_fail, count(*) as n, sum(count(*)) over () as total,
+                               ceil(sum(count(*)) over () * 0.2::double) as test_rows
+                        from labelled group by is_fail))) as quotas using (is_fail)""",
+    # Words as both engines find them, hashed by the first 32 bits of MD5.
+    "slots": f"""
+        select doc_id, ('0x' || substr(md5(word), 1, 8))::bigint % {DIMENSIONS} as slot, count(*) as n
+        from (select doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) as word
+              from documents) group by all""",
+    "idf": """
+        select slot, ln(((select count(*) from documents) + 1.0::double) / (count(*) + 1)) as w
+        from slots group by slot""",
+    "vectors": """
+        select doc_id, slot, (n * w / sqrt(sum(n * w * n * w) over (partition by doc_id)))::float as weight
+        from slots join idf using (slot) where w <> 0""",
+    "asked": " union all ".join(
+        f"select {number}::int as query_id, '{question}' as question"
+        for number, question in enumerate(QUESTIONS)
+    ),
+    "asked_slots": f"""
+        select query_id, slot, n * w as weight
+        from (select query_id, ('0x' || substr(md5(word), 1, 8))::bigint % {DIMENSIONS} as slot,
+                     count(*) as n
+              from (select query_id,
+                           unnest(regexp_extract_all(lower(question), '[\\p{{L}}\\p{{N}}_]+')) as word
+                    from asked) group by all) join idf using (slot)""",
+    "asked_vectors": """
+        select query_id, slot,
+               (weight / sqrt(sum(weight * weight) over (partition by query_id)))::float::double as weight
+        from asked_slots""",
+    # The squared distance from the parts of both vectors and of their product.
+    "text_hits": """
+        select query_id, (row_number() over (partition by query_id order by round(distance, 9), id))::int
+                   as rank, id, doc_id, distance
+        from (select query_id, 'doc::' || doc_id as id, doc_id,
+                     any_value(asked_square) + coalesce(any_value(square), 0)
+                         - 2 * coalesce(any_value(product), 0) as distance
+              from documents
+              cross join (select query_id, sum(weight * weight) as asked_square
+                          from asked_vectors group by query_id)
+              left join (select doc_id, sum(weight::double * weight::double) as square
+                         from vectors group by doc_id) using (doc_id)
+              left join (select query_id, doc_id, sum(a.weight * v.weight::double) as product
+                         from asked_vectors a join vectors v using (slot) group by all)
+                  using (query_id, doc_id)
+              group by query_id, doc_id)
+        qualify rank <= 5""",
 }
 
 READINGS = ["raw", "staged"]
@@ -384,6 +443,57 @@ ORACLE_SQL: dict[str, str] = {
            from neighbours join documents on doc_id = id""",
     ),
 }
+TRAINED = [*MART, "labelled", "parted"]
+EMBEDDED = ["slots", "idf", "vectors"]
+ORACLE_SQL |= {
+    "feature_stamp": query(MART, f"select wafer_id, timestamp '{BUILT_AT}' as feature_set_built_at from mart"),
+    "feature_columns": query(
+        MART,
+        " union all ".join(
+            f"select {place}::int as place, '{name}' as feature, count({name}) as filled from mart"
+            for place, name in enumerate(FEATURES, start=1)
+        ),
+    ),
+    "published_marts": f"""
+        with log as (
+            select row_number() over (order by event_id) as wafer_id, ts::date as test_date,
+                   (event_type = 'error')::int as is_fail from events),
+        both_known as (select * from log where wafer_id <= (select count(*) from embeddings))
+        select test_date, count(*) as wafer_count, sum(is_fail)::bigint as fail_count,
+               (count(*) - sum(is_fail))::bigint as pass_count,
+               {pct("sum(is_fail)", "count(*)")} as fail_rate_pct,
+               {pct("count(*) - sum(is_fail)", "count(*)")} as yield_rate_pct,
+               (select count(*) from both_known) as feature_rows,
+               (select sum(is_fail)::bigint from both_known) as feature_fails,
+               (select count(*) from log) as total_wafers
+        from log group by test_date""",
+    "train_forest": query(
+        TRAINED,
+        f"""select count(*) filter (where split = 'train') as train_rows, {TREES}::bigint as trees,
+                   count(distinct is_fail) as classes, {len(FEATURES)}::bigint as features,
+                   true as within_depth from parted""",
+    ),
+    "score_batch": query(
+        TRAINED,
+        """select wafer_id, is_fail, true as is_probability, true as agrees
+           from parted where split = 'test'""",
+    ),
+    "top_features": query(
+        MART,
+        """select count(distinct wafer_id) * 0 + 10 as names, true as all_features,
+                  true as all_shares, true as descending, true as parts_of_one from mart""",
+    ),
+    "embed_text": query(
+        EMBEDDED,
+        "select doc_id, slot::int as place, round(weight::double, 5) as weight from vectors where weight <> 0",
+    ),
+    "text_search": query(
+        [*EMBEDDED, "asked", "asked_slots", "asked_vectors", "text_hits"],
+        """select query_id, rank, id, text as document, round(distance, 5) as distance,
+                  '[doc] ' || substring(text, 1, 220) || '...' as headline
+           from text_hits join documents using (doc_id)""",
+    ),
+}
 for _name in ("channel_median", "channel_median_counted"):
     ORACLE_SQL[_name] = query(
         [*READINGS, "medians"],

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -12,12 +12,44 @@ from waferlens.config import PipelineConfig
 from waferlens.operators import dq, evaluate, features, impute, quality, reshape, train, yields
 from waferlens.operators import search as catalog_search
 from waferlens.plans.checks import PIPELINE_CHECKS
-from waferlens.shared import stage_table
+from waferlens.shared import stage_table, staging
 from waferlens.sources import documents, labels, matrix, tables
 from waferlens.sources.tables import BRONZE, INTERMEDIATE, MARTS, STAGING, write_table
 
 ENCODER_NAME = "hashed-tfidf"
+DESCRIPTIONS = {
+    "sensor_readings_wide": "Raw readings as they came, one row for each wafer, all channels in one array.",
+    "sensor_readings_long": "Raw readings, one row for each wafer and channel.",
+    "labels_raw": "Raw pass/fail log lines, one for each wafer, with the time still a text.",
+    "readings": "Readings with the sentinel and NaN turned into NULL, and a flag for the sentinel.",
+    "labels": "Test results with a readable status, a binary target and the time parsed.",
+    "sensor_quality": "Profile of every channel: counts, share of gaps, spread, and its rank by spread.",
+    "wafer_features": "The selected channels of every wafer as columns, gaps filled with channel medians.",
+    "ml_features": "The ML training table: wafer features and labels.",
+    "daily_yield": "Yield of each test day: wafers tested, passed and failed, and their rates.",
+    "yield_summary": "Yield over all tested wafers in a single row.",
+    "catalog_index": "Search index: documents about the published tables with their vectors.",
+    "catalog_manifest": "What the search index holds and which encoder made it.",
+}
 COLUMN_COMMENTS = {
+    "labels": {
+        "wafer_id": "Position of the wafer in its source file.",
+        "yield_status": "pass or fail as a word, unknown for any other label.",
+        "is_fail": "1 where the wafer failed, 0 where it passed, NULL where unknown.",
+        "tested_at": "Time of the test, NULL where the text is no time.",
+    },
+    "sensor_quality": {
+        "sensor_id": "Number of the channel, from 1.",
+        "null_pct": "Share of missing readings, in percent.",
+        "reading_stddev": "Sample standard deviation of the readings there are.",
+        "sensor_rank": "Place of the channel, widest spread first, gappy channels last.",
+        "is_selected_for_ml": "Whether the channel becomes a feature.",
+    },
+    "wafer_features": {
+        "wafer_id": "Position of the wafer in its source file.",
+        "any_imputed_flag": "1 if any feature of the wafer was filled.",
+        "imputed_sensor_count": "How many features of the wafer were filled.",
+    },
     "ml_features": {
         "wafer_id": "Key of the table: position of the wafer in its source file.",
         "is_fail": "Training target, 1 where the wafer failed its test and 0 where it passed.",
@@ -57,23 +89,53 @@ class TrainingRun:
     model: RandomForestClassificationModel
     scored: DataFrame
     metrics: DataFrame
+    fills: dict[str, float]
+
+
+def _write(df: DataFrame, layer: str, name: str, root: str | None, stored: str | None = None) -> DataFrame:
+    """Write a table with its description; ``stored`` is its name until it is published."""
+    return write_table(
+        df, layer, stored or name, root, COLUMN_COMMENTS.get(name), DESCRIPTIONS[name]
+    )
 
 
 def load_bronze(
-    spark: SparkSession, matrix_path: str, labels_path: str, root: str | None = None
+    spark: SparkSession,
+    matrix_path: str,
+    labels_path: str,
+    root: str | None = None,
+    prefix: str = "",
 ) -> BronzeTables:
-    """Read both files and replace the three raw tables."""
+    """Read both files and replace the three raw tables.
+
+    ``prefix`` stands before the names of all schemas of a run.
+    """
     tables.require_inputs(spark, matrix_path, labels_path)
-    wide = write_table(matrix.read_matrix(spark, matrix_path), BRONZE, "sensor_readings_wide", root)
+    layer = prefix + BRONZE
+    wide = _write(matrix.read_matrix(spark, matrix_path), layer, "sensor_readings_wide", root)
     return BronzeTables(
         wide,
-        write_table(reshape.melt_array(wide), BRONZE, "sensor_readings_long", root),
-        write_table(labels.read_labels(spark, labels_path), BRONZE, "labels_raw", root),
+        _write(reshape.melt_array(wide), layer, "sensor_readings_long", root),
+        _write(labels.read_labels(spark, labels_path), layer, "labels_raw", root),
     )
 
 
+def readings_view(config: PipelineConfig, prefix: str = "") -> str:
+    """``quality.stage_readings`` of the raw readings, as the SQL of a view."""
+    sentinel = f"{config.sentinel!r}D"
+    return f"""
+        SELECT wafer_id, sensor_id,
+            CASE WHEN NOT isnan(reading_value) AND reading_value <> {sentinel}
+                THEN reading_value END AS reading_value,
+            coalesce(reading_value = {sentinel}, false) AS is_imputed_source_missing
+        FROM {prefix}{BRONZE}.sensor_readings_long"""
+
+
 def build_silver(
-    bronze: BronzeTables, config: PipelineConfig = PipelineConfig(), root: str | None = None
+    bronze: BronzeTables,
+    config: PipelineConfig = PipelineConfig(),
+    root: str | None = None,
+    prefix: str = "",
 ) -> SilverTables:
     """Cleaned readings and labels, the ranked channels, one feature row per wafer.
 
@@ -83,22 +145,15 @@ def build_silver(
     it. Features come from the wide table, where a wafer is one row already and
     nothing is shuffled.
     """
-    readings = quality.stage_readings(bronze.long, config)
-    readings.createOrReplaceTempView(f"{STAGING}_readings")
-    staged_labels = write_table(
-        yields.stage_labels(bronze.labels, config), STAGING, "labels", root
-    )
-    ranked = write_table(
-        quality.channel_quality(readings, config), INTERMEDIATE, "sensor_quality", root
+    spark, layer = bronze.long.sparkSession, prefix + INTERMEDIATE
+    readings = tables.write_view(
+        spark, prefix + STAGING, "readings", readings_view(config, prefix), DESCRIPTIONS["readings"], root
     )
+    staged_labels = _write(yields.stage_labels(bronze.labels, config), prefix + STAGING, "labels", root)
+    ranked = _write(quality.channel_quality(readings, config), layer, "sensor_quality", root)
     fills = impute.fill_channels(ranked, readings)
     wide = features.wafer_features_wide(bronze.wide, fills, config)
-    return SilverTables(
-        readings,
-        staged_labels,
-        ranked,
-        write_table(wide, INTERMEDIATE, "wafer_features", root),
-    )
+    return SilverTables(readings, staged_labels, ranked, _write(wide, layer, "wafer_features", root))
 
 
 def build_gold(
@@ -106,17 +161,21 @@ def build_gold(
     config: PipelineConfig = PipelineConfig(),
     built_at: Column | None = None,
     root: str | None = None,
+    prefix: str = "",
 ) -> dict[str, DataFrame]:
-    """Build the marts as candidates, check everything, and only then publish them."""
+    """Build the marts as candidates, check everything, and only then publish them.
+
+    Candidates lie beside the marts, under names of this run, and are renamed.
+    """
+    spark, layer = silver.labels.sparkSession, prefix + MARTS
     candidates = {
-        "daily_yield": yields.daily_yield(silver.labels, config),
+        "daily_yield": yields.daily_yield(silver.labels, config, stored=True),
         "yield_summary": yields.yield_summary(silver.labels, config),
         "ml_features": features.ml_features(silver.features, silver.labels, config, built_at=built_at),
     }
-    built = {
-        name: write_table(df, INTERMEDIATE, f"{name}_candidate", root)
-        for name, df in candidates.items()
-    }
+    run = uuid.uuid4().hex[:12]
+    stored = {name: f"{name}__{run}" for name in candidates}
+    built = {name: _write(df, layer, name, root, stored[name]) for name, df in candidates.items()}
     report = dq.run_suite(
         {
             "staged_readings": silver.readings,
@@ -127,11 +186,14 @@ def build_gold(
         },
         PIPELINE_CHECKS,
     )
-    dq.require_clean(report)
-    return {
-        name: write_table(df, MARTS, name, root, COLUMN_COMMENTS[name])
-        for name, df in built.items()
-    }
+    try:
+        dq.require_clean(report)
+    except dq.DataQualityError:
+        for name in stored.values():
+            spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+        raise
+    tables.publish(spark, layer, stored)
+    return {name: spark.table(f"{layer}.{name}") for name in stored}
 
 
 def train_and_evaluate(
@@ -140,18 +202,20 @@ def train_and_evaluate(
     """Split, fit on the training rows, score the test rows, record the metrics."""
     names = train.feature_columns(mart)
     split = train.stratified_split(train.with_target(mart), seed=seed)
-    model = train.train_forest(split.where("split = 'train'"), names, trees=trees, depth=depth, seed=seed)
+    learned = split.where("split = 'train'")
+    fills = train.fill_values(learned, names)
+    model = train.train_forest(learned, names, trees=trees, depth=depth, seed=seed, fills=fills)
     # Scoring walks every tree, so it is done once for all metrics.
     scored = stage_table(
-        train.score_batch(model, split.where("split = 'test'"), names), "scored"
+        train.score_batch(model, split.where("split = 'test'"), names, fills), "scored"
     )
     top = train.top_features(mart.sparkSession, model, names)
-    return TrainingRun(model, scored, evaluate.metrics_record(split, scored, names, top))
+    return TrainingRun(model, scored, evaluate.metrics_record(split, scored, names, top), fills)
 
 
 def build_index(
     spark: SparkSession, table_names: list[str], glossary_path: str, root: str | None = None
-) -> tuple[DataFrame, PipelineModel]:
+) -> tuple[DataFrame, catalog_search.TextEncoder]:
     """Replace the search index: documents with vectors, and the encoder for queries."""
     corpus = documents.catalog_corpus(
         documents.catalog_docs(documents.tables_catalog(spark, table_names)),
@@ -159,12 +223,10 @@ def build_index(
     )
     if corpus.isEmpty():
         raise RuntimeError("no documents to index")
-    encoder = catalog_search.fit_encoder(corpus)
-    index = write_table(
-        catalog_search.embed_text(corpus, encoder), MARTS, "catalog_index", root
-    )
+    embedded, encoder = catalog_search.fit_and_embed(corpus)
+    index = _write(embedded, MARTS, "catalog_index", root)
     manifest = documents.index_manifest(index, "catalog_index", ENCODER_NAME)
-    write_table(manifest, MARTS, "catalog_manifest", root)
+    _write(manifest, MARTS, "catalog_manifest", root)
     return index, encoder
 
 
@@ -181,7 +243,10 @@ def run_pipeline(
     config: PipelineConfig = PipelineConfig(),
     built_at: Column | None = None,
     root: str | None = None,
+    prefix: str = "",
 ) -> dict[str, DataFrame]:
-    """Files to published marts."""
-    silver = build_silver(load_bronze(spark, matrix_path, labels_path, root), config, root)
-    return build_gold(silver, config, built_at, root)
+    """Files to published marts; what the run staged on the way is removed."""
+    with staging(spark):
+        bronze = load_bronze(spark, matrix_path, labels_path, root, prefix)
+        silver = build_silver(bronze, config, root, prefix)
+        return build_gold(silver, config, built_at, root, prefix)

@@ -8,11 +8,12 @@ query runs over its whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waferlens.config import PipelineConfig
@@ -27,6 +28,7 @@ from waferlens.operators import (
     train,
     yields,
 )
+from waferlens.plans import pipeline
 from waferlens.plans.checks import PIPELINE_CHECKS
 from waferlens.plans.pipeline import ENCODER_NAME
 from waferlens.shared import scratch_path, stage_table
@@ -37,6 +39,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # About 9.1 % of the derived readings are missing, so this limit parts the channels.
 CONFIG = PipelineConfig(max_null_fraction=0.09)
 LINE = "\n"
+BUILT_AT = "2024-01-02 03:04:05"
 COLLECTION, ENCODER = "catalog", ENCODER_NAME
 QUESTIONS = [
     "which documents describe the training table",
@@ -162,14 +165,17 @@ def parse_labels(spark, sf_dir) -> DataFrame:
     return labels.read_labels(spark, label_file(spark, sf_dir))
 
 
+def own_schemas() -> str:
+    """A prefix for schemas of this call alone, so that no table of the session is touched."""
+    return f"query_{uuid.uuid4().hex[:12]}_"
+
+
 def bronze_write(spark, sf_dir) -> DataFrame:
-    root = scratch_path(spark, "bronze")
+    root, layer = scratch_path(spark, "bronze"), own_schemas() + tables.BRONZE
     raw = raw_matrix(spark, sf_dir)
-    wide = tables.write_table(raw, tables.BRONZE, "sensor_readings_wide", root)
-    long = tables.write_table(
-        reshape.melt_array(wide), tables.BRONZE, "sensor_readings_long", root
-    )
-    logged = tables.write_table(raw_labels(spark, sf_dir), tables.BRONZE, "labels_raw", root)
+    wide = tables.write_table(raw, layer, "sensor_readings_wide", root)
+    long = tables.write_table(reshape.melt_array(wide), layer, "sensor_readings_long", root)
+    logged = tables.write_table(raw_labels(spark, sf_dir), layer, "labels_raw", root)
     return evaluate.one_row(
         tables.ingest_audit(wide, long), logged.agg(F.count(F.lit(1)).alias("label_count"))
     )
@@ -184,10 +190,38 @@ def melt_long(spark, sf_dir) -> DataFrame:
 
 
 def mart_read(spark, sf_dir) -> DataFrame:
-    tables.write_table(
-        ml_features(spark, sf_dir), tables.MARTS, "ml_features", scratch_path(spark, "marts")
+    layer = own_schemas() + tables.MARTS
+    tables.write_table(ml_features(spark, sf_dir), layer, "ml_features", scratch_path(spark, "marts"))
+    return tables.read_table(spark, f"{layer}.ml_features", "wafer_id")
+
+
+def clean_label_file(spark, sf_dir) -> str:
+    """All labels as a log that passes every check: events but errors passed, times as they are."""
+    path = scratch_path(spark, "labels")
+    day = F.concat_ws("/", F.dayofmonth("ts"), F.month("ts"), F.year("ts"))
+    clock = F.substring(F.col("ts").cast("string"), 12, 8)
+    label = F.when(F.col("event_type") == "error", "-1").otherwise("1")
+    line = F.concat(label, F.lit(' "'), day, F.lit(" "), clock, F.lit('"'))
+    events = table(spark, sf_dir, "events")
+    events.orderBy("event_id").select(line.alias("value")).write.text(path)
+    return path
+
+
+def published_marts(spark, sf_dir) -> DataFrame:
+    """Two text files through the whole pipeline; of its marts the daily yield and the row counts."""
+    marts = pipeline.run_pipeline(
+        spark,
+        matrix_file(spark, sf_dir),
+        clean_label_file(spark, sf_dir),
+        CONFIG,
+        prefix=own_schemas(),
+    )
+    rows = marts["ml_features"].agg(
+        F.count(F.lit(1)).alias("feature_rows"), F.sum("is_fail").alias("feature_fails")
     )
-    return tables.read_table(spark, f"{tables.MARTS}.ml_features", "wafer_id")
+    total = marts["yield_summary"].select("total_wafers")
+    # One row, which bounds the broadcast.
+    return marts["daily_yield"].join(F.broadcast(evaluate.one_row(rows, total)))
 
 
 # --- readings -------------------------------------------------------------------------
@@ -249,6 +283,29 @@ def ml_features(spark, sf_dir) -> DataFrame:
     return feature_mart(spark, sf_dir).drop("feature_set_built_at")
 
 
+def feature_stamp(spark, sf_dir) -> DataFrame:
+    """The build stamp of the feature mart, given as a parameter."""
+    mart = features.ml_features(
+        wafer_features(spark, sf_dir),
+        staged_labels(spark, sf_dir),
+        CONFIG,
+        built_at=F.lit(BUILT_AT).cast("timestamp_ntz"),
+    )
+    return mart.select("wafer_id", "feature_set_built_at")
+
+
+def feature_columns(spark, sf_dir) -> DataFrame:
+    """Names and order of the feature columns of the mart, with the values each one has."""
+    mart = ml_features(spark, sf_dir)
+    cells = [
+        F.struct(
+            F.lit(place).alias("place"), F.lit(name).alias("feature"), F.count(name).alias("filled")
+        )
+        for place, name in enumerate(train.feature_columns(mart), start=1)
+    ]
+    return mart.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
 # --- labels and quality checks ------------------------------------------------------------
 
 
@@ -360,25 +417,51 @@ def _trained(spark, sf_dir):
     mart = train.with_target(written, drop_unlabelled=True)
     split = train.stratified_split(mart)
     names = train.feature_columns(split)
-    return train.train_forest(split.where("split = 'train'"), names), split, names
+    learned = split.where("split = 'train'")
+    fills = train.fill_values(learned, names)
+    return train.train_forest(learned, names, fills=fills), split, names, fills
 
 
 def train_forest(spark, sf_dir) -> DataFrame:
-    """The fitted trees: number, depth and size of each."""
-    model, _, _ = _trained(spark, sf_dir)
-    rows = [(i, tree.depth, tree.numNodes) for i, tree in enumerate(model.trees)]
-    return spark.createDataFrame(rows, "tree int, depth int, nodes int")
+    """What is fixed about the fitted forest, whatever its random draws."""
+    model, split, _, _ = _trained(spark, sf_dir)
+    shape = F.lit(max(tree.depth for tree in model.trees) <= train.DEPTH)
+    return split.agg(
+        F.count(F.when(F.col("split") == "train", 1)).alias("train_rows"),
+        F.lit(len(model.trees)).cast("long").alias("trees"),
+        F.lit(model.numClasses).cast("long").alias("classes"),
+        F.lit(model.numFeatures).cast("long").alias("features"),
+        shape.alias("within_depth"),
+    )
 
 
 def score_batch(spark, sf_dir) -> DataFrame:
-    model, split, names = _trained(spark, sf_dir)
-    scored = train.score_batch(model, split.where("split = 'test'"), names)
-    return scored.select("wafer_id", "is_fail", "prediction", "score")
+    """The scored test rows: each score a probability, each prediction its larger side."""
+    model, split, names, fills = _trained(spark, sf_dir)
+    scored = train.score_batch(model, split.where("split = 'test'"), names, fills)
+    return scored.select(
+        "wafer_id",
+        "is_fail",
+        F.col("score").between(0, 1).alias("is_probability"),
+        ((F.col("score") > 0.5).cast("int") == F.col("prediction")).alias("agrees"),
+    )
 
 
 def top_features(spark, sf_dir) -> DataFrame:
-    model, _, names = _trained(spark, sf_dir)
-    return train.top_features(spark, model, names)
+    """What is fixed about the most important features."""
+    model, _, names, _ = _trained(spark, sf_dir)
+    top = train.top_features(spark, model, names)
+    later = F.lag("importance").over(Window.orderBy(F.desc("importance"), "feature"))
+    return (
+        top.withColumn("_before", later)
+        .agg(
+            F.count_distinct("feature").alias("names"),
+            F.bool_and(F.col("feature").isin(names)).alias("all_features"),
+            F.bool_and(F.col("importance").between(0, 1)).alias("all_shares"),
+            F.bool_and(F.coalesce(F.col("importance") <= F.col("_before"), F.lit(True))).alias("descending"),
+            (F.sum("importance") <= 1 + 1e-9).alias("parts_of_one"),
+        )
+    )
 
 
 # --- catalog and search -----------------------------------------------------------------------
@@ -443,8 +526,13 @@ def index_manifest(spark, sf_dir) -> DataFrame:
 
 
 def embed_text(spark, sf_dir) -> DataFrame:
+    """The vector of every text, as one row for each place that is not zero."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return search.embed_text(docs, search.fit_encoder(docs)).drop("text")
+    embedded, _ = search.fit_and_embed(docs)
+    places = embedded.select("doc_id", F.posexplode("embedding").alias("place", "weight"))
+    return places.where(F.col("weight") != 0).select(
+        "doc_id", "place", F.round(F.col("weight").cast("double"), 5).alias("weight")
+    )
 
 
 def label_centres(vectors: DataFrame) -> DataFrame:
@@ -495,8 +583,9 @@ def text_search(spark, sf_dir) -> DataFrame:
         F.create_map(F.lit("lang"), F.col("lang")).alias("metadata"),
     )
     questions = spark.createDataFrame(list(enumerate(QUESTIONS)), "query_id int, text string")
-    encoder = search.fit_encoder(docs)
-    return search.search(search.embed_text(docs, encoder), questions, encoder).drop("metadata")
+    index, encoder = search.fit_and_embed(docs)
+    hits = search.search(stage_table(index, "text-index"), questions, encoder)
+    return hits.drop("metadata").withColumns(rounded("distance", digits=5)).drop("distance_text")
 
 
 QUERIES: dict[str, Query] = {
@@ -516,6 +605,9 @@ QUERIES: dict[str, Query] = {
     "wafer_features": wafer_features,
     "wafer_features_wide": wafer_features_wide,
     "ml_features": ml_features,
+    "feature_stamp": feature_stamp,
+    "feature_columns": feature_columns,
+    "published_marts": published_marts,
     "mart_read": mart_read,
     "label_staging": staged_labels,
     "daily_yield": daily_yield,
