@@ -9,7 +9,8 @@ compared one by one. Nothing is decided by a hash.
 
 The benchmark is dealt into blocks of bounded size. Each block is broadcast and
 joined in a pass of its own over the same task's rows, so the documents are
-never shuffled, and a benchmark of any size fits.
+never shuffled, and a benchmark of any size fits: a few passes run one after the
+other in a task, and where there are more, rows are written out in between.
 
 Defined results: a null text has no words and is clean; a null item is skipped;
 an item without an id counts under the empty id; items with the same id count
@@ -20,17 +21,20 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waferlens.llm.common import append_columns, fresh_name, text_bytes
+from waferlens.llm.common import append_columns, fresh_name, staged, text_bytes
 
 WINDOW = 10
-# Text of the benchmark held by a task at a time, in bytes.
-BLOCK_BYTES = 32 << 20
+# Text of the benchmark in a block, in bytes, which takes about ten times that in memory,
+# and how many blocks a task goes through, each in a worker of its own.
+BLOCK_BYTES = 4 << 20
+PASSES = 4
 
 # Letters A-Z become small; other bytes below 0x80 but digits and small letters part words.
 _FOLD = bytes(
@@ -90,19 +94,17 @@ class Items:
 
 def item_blocks(
     benchmark: DataFrame, id_column: str, text_column: str, block_bytes: int
-) -> list[list[tuple[str, bytes]]]:
-    """The items in blocks of about ``block_bytes``: the sizes are summed first."""
+) -> Iterator[list[tuple[str, bytes]]]:
+    """The items in blocks of about ``block_bytes``, one at a time: the sizes are summed first."""
     items = benchmark.where(F.col(text_column).isNotNull()).select(
         F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("key"),
         F.col(text_column).alias("words"),
     )
     size = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    blocks = -(-size // block_bytes)
-    dealt = [
-        items.where(F.pmod(F.xxhash64("key", "words"), F.lit(blocks)) == block)
-        for block in range(blocks)
-    ]
-    return [[(row.key, row.words.encode()) for row in block.collect()] for block in dealt]
+    blocks = max(1, -(-size // block_bytes))
+    for number in range(blocks):
+        dealt = items.where(F.pmod(F.xxhash64("key", "words"), F.lit(blocks)) == number)
+        yield [(row.key, row.words.encode()) for row in dealt.collect()]
 
 
 def flag_contaminated(
@@ -113,6 +115,7 @@ def flag_contaminated(
     item_text: str = "text",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    passes: int = PASSES,
     names: tuple[str, str, str] = ("n_words", "hits", "items"),
 ) -> DataFrame:
     """All columns of ``docs``, the number of words, hit ranges and hit items.
@@ -137,13 +140,10 @@ def flag_contaminated(
                 flat += (start, end)
         return flat
 
+    own = [fresh_name(docs.columns, f"_{name}") for name in names]
     result = docs
-    previous: list[str] = []
-    for number, rows in enumerate(blocks or [[]]):
+    for number, rows in enumerate(item_blocks(benchmark, item_id, item_text, block_bytes)):
         block = session.sparkContext.broadcast(rows)
-        last = number == max(0, len(blocks) - 1)
-        taken = [c for c in result.columns]
-        own = names if last else tuple(fresh_name(taken, f"_{name}{number}") for name in names)
         cache: dict[str, Items] = {}
 
         def compute(columns, block=block, cache=cache):
@@ -167,12 +167,16 @@ def flag_contaminated(
                 pa.array(out[2], pa.list_(pa.string())),
             ]
 
-        named = [T.StructField(o, f.dataType) for o, f in zip(own, fields, strict=True)]
-        result = append_columns(result, [text_column, *previous], named, compute)
-        if previous:
-            result = result.select(*docs.columns, *own)
-        previous = list(own[1:])
-    return result
+        # What earlier passes found goes in, and is replaced by what is known now.
+        before = own[1:] if number else []
+        now = [f"{name}_" for name in own]
+        named = [T.StructField(n, f.dataType) for n, f in zip(now, fields, strict=True)]
+        result = append_columns(result, [text_column, *before], named, compute).select(
+            *docs.columns, *(F.col(n).alias(o) for n, o in zip(now, own, strict=True))
+        )
+        if number % passes == passes - 1:
+            result = staged(result, "contamination")
+    return result.select(*docs.columns, *(F.col(o).alias(n) for o, n in zip(own, names, strict=True)))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
-SIZE = 128
+SIZE = 256
 # Documents are dealt into ranges of about so many rows, in at most so many ranges.
 ROWS_PER_RANGE = 4_096
 MOST_RANGES = 10_000
