@@ -18,8 +18,8 @@ from waferlens.shared import stage_table
 BROADCAST_ROWS = 20_000
 # So many ways a hot key of a salted join is split.
 SALTS = 32
-# Rows of one Arrow batch are worked on in groups of about so many bytes of text.
-GROUP_BYTES = 8 << 20
+# Rows of an Arrow batch that are worked on together, whose texts are then copied.
+ROWS_AT_ONCE = 1024
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -72,7 +72,7 @@ def append_columns(
     fields: Sequence[T.StructField],
     compute: Callable[[list[pa.Array]], list[pa.Array]],
 ) -> DataFrame:
-    """All columns of ``df`` and ``fields``, computed batch by batch from ``inputs``.
+    """All columns of ``df`` and ``fields``, computed some rows at a time from ``inputs``.
 
     The rows stay where they are: nothing is shuffled, and other columns pass
     through whatever their types are.
@@ -80,12 +80,14 @@ def append_columns(
     places = [df.columns.index(name) for name in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            added = compute([batch.column(place) for place in places])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *added],
-                names=[*batch.schema.names, *(field.name for field in fields)],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                added = compute([batch.column(place) for place in places])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, *added],
+                    names=[*batch.schema.names, *(field.name for field in fields)],
+                )
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
 

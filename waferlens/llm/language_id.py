@@ -19,6 +19,7 @@ any labelled text all are ``und``. A row without an id is not learned from.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -47,8 +48,8 @@ class SampleSettings:
 
     rows: int = 200
     longest: int = 20_000
-    letters: int = 80_000
-    total_letters: int = 320_000
+    letters: int = 60_000
+    total_letters: int = 240_000
     alphabet: int = 120
 
 
@@ -85,38 +86,38 @@ class Automaton:
     """Suffix automaton of a sample as a table: state times symbols plus symbol."""
 
     def __init__(self, symbols: bytes, width: int):
-        moves: list[dict[int, int]] = [{}]
-        link, length = [-1], [0]
-        last = 0
+        # At most two states a symbol, and one more with no way out: it follows a symbol
+        # that the sample lacks.
+        moves = array("i", [-1]) * ((2 * len(symbols) + 2) * width)
+        link, length = array("i", [-1]), array("i", [0])
+        last, count = 0, 1
         for symbol in symbols:
-            state = len(moves)
-            moves.append({})
+            state, count = count, count + 1
             length.append(length[last] + 1)
             link.append(0)
             at = last
-            while at != -1 and symbol not in moves[at]:
-                moves[at][symbol] = state
+            while at != -1 and moves[at * width + symbol] < 0:
+                moves[at * width + symbol] = state
                 at = link[at]
             if at != -1:
-                after = moves[at][symbol]
+                after = moves[at * width + symbol]
                 if length[at] + 1 == length[after]:
                     link[state] = after
                 else:
-                    copy = len(moves)
-                    moves.append(moves[after].copy())
+                    copy, count = count, count + 1
+                    row = moves[after * width : (after + 1) * width]
+                    moves[copy * width : (copy + 1) * width] = row
                     length.append(length[at] + 1)
                     link.append(link[after])
-                    while at != -1 and moves[at].get(symbol) == after:
-                        moves[at][symbol] = copy
+                    while at != -1 and moves[at * width + symbol] == after:
+                        moves[at * width + symbol] = copy
                         at = link[at]
                     link[after] = link[state] = copy
             last = state
-        # One more state has no way out: it follows a symbol that the sample lacks.
-        dead = len(moves)
-        self.table = np.full((dead + 1) * width, -1, np.int32)
-        for state, ways in enumerate(moves):
-            for symbol, after in ways.items():
-                self.table[state * width + symbol] = after * width
+        dead = count
+        self.table = np.frombuffer(moves, np.int32)[: (dead + 1) * width].copy()
+        del moves
+        np.multiply(self.table, width, out=self.table, where=self.table >= 0)
         first = self.table[:width]
         self.start = np.where(first < 0, dead * width, first).astype(np.int32)
         self.bits = float(np.log2(len(symbols) + 2))
@@ -204,7 +205,7 @@ class LanguageModel:
         return names, scores
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def model_of(samples: tuple[tuple[str, str], ...], most: int) -> LanguageModel:
     return LanguageModel(samples, most)
 
