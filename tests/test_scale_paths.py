@@ -223,9 +223,8 @@ def test_many_queries_pass_blocks_of_documents(spark):
     }
     assert {tuple(r) for r in found.collect()} == expected
     _, fewer = asked(1_500)
-    small = search.knn_search(docs, fewer, 2, rows_per_block=50)
-    sizes = [len(plan(df).splitlines()) for df in (found, small)]
-    assert sizes[0] == sizes[1]
+    plans = [plan(search.knn_search(docs, some, 2, rows_per_block=50)) for some in (many, fewer)]
+    assert len(plans[0].splitlines()) == len(plans[1].splitlines())
 
 
 def test_medians_of_huge_readings_are_the_same_on_both_ways(spark):

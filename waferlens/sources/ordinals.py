@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +36,7 @@ def _location(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.makeQualified(place).toUri().toString()
+    return re.sub(r"^file:/+", "file:/", files.makeQualified(place).toUri().toString())
 
 
 def natural_order(text: Column) -> Column:
@@ -58,7 +59,7 @@ def _ordered_files(blocks: DataFrame, paths: str | Sequence[str] | None) -> Data
         given = [(_location(spark, path), number) for number, path in enumerate(paths)]
         listed = spark.createDataFrame(given, "_entry string, _given long")
         listed = listed.groupBy("_entry").agg(F.min("_given").alias("_given"))
-        parts = F.split("file_path", "/")
+        parts = F.split(F.regexp_replace("file_path", "^file:/+", "file:/"), "/")
         entries = F.transform(
             F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/")
         )
