@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -12,7 +13,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +38,8 @@ TEXTS_PER_TASK = 500
 # Words whose place a worker remembers.
 CACHED_WORDS = 500_000
 
-_WORD = regex.compile(r"[\p{L}\p{N}_]+")
+# Letters, numbers and underscores.
+_WORD = re.compile(r"\w+")
 
 
 @dataclass(frozen=True)

@@ -529,9 +529,10 @@ def embed_text(spark, sf_dir) -> DataFrame:
     """The vector of every text, as one row for each place that is not zero."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     embedded, _ = search.fit_and_embed(docs)
-    places = embedded.select("doc_id", F.posexplode("embedding").alias("place", "weight"))
-    return places.where(F.col("weight") != 0).select(
-        "doc_id", "place", F.round(F.col("weight").cast("double"), 5).alias("weight")
+    entry = lambda weight, place: F.when(weight != 0, F.struct(place, weight))
+    entries = F.array_compact(F.transform("embedding", entry))
+    return embedded.select("doc_id", F.inline(entries).alias("place", "weight")).withColumn(
+        "weight", F.round(F.col("weight").cast("double"), 5)
     )
 
 
