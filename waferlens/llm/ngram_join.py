@@ -13,11 +13,13 @@ join runs over classes.
    nodes hold the OR and the AND of their bitmaps and the range of sizes. A dual
    traversal drops pairs of nodes whose largest possible overlap is too small;
    what is left is tested class by class with the same bound, and only a
-   spanning forest of what is possible leaves the bucket: not all pairs.
+   spanning forest of what is possible leaves the bucket: not all pairs. A
+   shingle with more classes than a bucket holds is not gathered; it ties them.
 3. Proof. The forests of all buckets give groups that no link can leave. The
    shingles of each class travel once, to its group, where links are verified
    on whole sets until the group's true components are known. Large groups are
-   worked on in blocks, then in pairs of blocks that are still apart.
+   dealt into blocks over tasks; classes that are still apart then meet each
+   block.
 
 The result is exact up to the equality of 64-bit hashes. A document of fewer
 words than a shingle has one shingle of all of them; one without words has an
@@ -40,6 +42,7 @@ from pyspark.sql import types as T
 from waferlens.llm.common import (
     append_columns,
     fresh_name,
+    join_bounded,
     shingle_hashes,
     signed,
     squeezed,
@@ -52,6 +55,7 @@ from waferlens.llm.components import Forest, components
 
 FAN = 8  # children of a node
 SMALL_BUCKET = 32  # up to so many classes a tree saves nothing
+PROFILE_ROWS = 4_096  # documents whose shingles are counted together
 
 
 @dataclass(frozen=True)
@@ -65,8 +69,10 @@ class JoinSettings:
     # there are more than that many, the most frequent. Any choice is correct.
     frequent: int = 4
     most_frequent: int = 1_000_000
+    # Classes of a bucket; a shingle found more often ties its classes without a bucket.
     bucket_rows: int = 1_024
-    block_shingles: int = 2_000_000
+    # Shingles of a block of a group, which a task works on at a time.
+    block_shingles: int = 250_000
 
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
@@ -238,23 +244,31 @@ def profile(docs: DataFrame, s: JoinSettings) -> DataFrame:
     of documents, with their counts: summed up they show the frequent ones.
     """
 
+    def described(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = _sets(batch, s.shingle)
+        classes = [set_class(x) if len(x) else None for x in sets]
+        # Copies within a batch count once, as they are one class.
+        once = dict(zip(classes, sets, strict=True))
+        every = np.concatenate([np.empty(0, np.uint64), *once.values()])
+        seen, counts = np.unique(every, return_counts=True)
+        seen, counts = seen[counts > 1], counts[counts > 1].astype(np.int64)
+        rows = len(sets)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([batch.column(0).cast(pa.int64()), pa.nulls(1, pa.int64())]),
+                pa.array([*map(len, sets), None], pa.int64()),
+                pa.array([*classes, None], pa.int64()),
+                pa.array([*(bitmap_bytes(x) if len(x) else None for x in sets), None], pa.binary()),
+                pa.array([None] * rows + [signed(seen)], pa.list_(pa.int64())),
+                pa.array([None] * rows + [counts], pa.list_(pa.int64())),
+            ],
+            names=["doc_id", "n_shingles", "class", "bitmap", "seen", "counts"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = _sets(batch, s.shingle)
-            seen, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
-            seen, counts = seen[counts > 1], counts[counts > 1]
-            rows = len(sets)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([batch.column(0).cast(pa.int64()), pa.nulls(1, pa.int64())]),
-                    pa.array([*map(len, sets), None], pa.int64()),
-                    pa.array([*(set_class(x) if len(x) else None for x in sets), None], pa.int64()),
-                    pa.array([*(bitmap_bytes(x) if len(x) else None for x in sets), None], pa.binary()),
-                    pa.array([None] * rows + [signed(seen)], pa.list_(pa.int64())),
-                    pa.array([None] * rows + [counts.astype(np.int64)], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n_shingles", "class", "bitmap", "seen", "counts"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, PROFILE_ROWS):
+                yield described(whole.slice(at, PROFILE_ROWS))
 
     return docs.mapInArrow(
         run,
@@ -284,7 +298,10 @@ def frequent_shingles(profiled: DataFrame, s: JoinSettings) -> tuple[np.ndarray,
 def prefixes(
     docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], s: JoinSettings
 ) -> DataFrame:
-    """(shingle, size, class) for the first shingles of each set, in the common order."""
+    """(shingle, size, class, hot) for the first shingles of each set, in the common order.
+
+    A shingle known to come more often than a bucket holds is ``hot``.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +309,7 @@ def prefixes(
         for whole in batches:
             done: set[int] = set()  # copies within a batch go once
             for at in range(0, whole.num_rows, 512):
-                parts, sizes, classes = [], [], []
+                parts, sizes, classes, hot = [], [], [], []
                 for shingles in _sets(whole.slice(at, 512), s.shingle):
                     if not len(shingles) or (own := set_class(shingles)) in done:
                         continue
@@ -301,8 +318,14 @@ def prefixes(
                         place = np.minimum(np.searchsorted(often, shingles), len(often) - 1)
                         last = often[place] == shingles
                         rarer = np.argsort(times[place[last]], kind="stable")
+                        above = times[place[last]][rarer] > s.bucket_rows
+                        above = np.concatenate([np.zeros(len(shingles) - len(above), bool), above])
                         shingles = np.concatenate([shingles[~last], shingles[last][rarer]])
-                    parts.append(shingles[: prefix_length(len(shingles), s)])
+                    else:
+                        above = np.zeros(len(shingles), bool)
+                    length = prefix_length(len(shingles), s)
+                    parts.append(shingles[:length])
+                    hot.append(above[:length])
                     sizes.append(len(shingles))
                     classes.append(own)
                 if not parts:
@@ -313,11 +336,12 @@ def prefixes(
                         pa.array(signed(np.concatenate(parts))),
                         pa.array(np.repeat(np.array(sizes, np.int32), lengths)),
                         pa.array(np.repeat(np.array(classes, np.int64), lengths)),
+                        pa.array(np.concatenate(hot)),
                     ],
-                    names=["shingle", "size", "class"],
+                    names=["shingle", "size", "class", "hot"],
                 )
 
-    return docs.mapInArrow(run, "shingle long, size int, class long")
+    return docs.mapInArrow(run, "shingle long, size int, class long, hot boolean")
 
 
 def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
@@ -325,7 +349,8 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
 
     Rows of a shingle come by size, so a list ends where the next size is too
     far. Where it is full, another one goes on with its first class again; such
-    lists are ``overfull`` and count as joined as a whole until step 3.
+    lists are ``overfull`` and count as joined as a whole until step 3. So do
+    the classes of a hot shingle, which are not gathered at all (``ties``).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,10 +400,18 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
         flush()
         yield ready()
 
-    dealt = prefixed.repartition("shingle").sortWithinPartitions("shingle", "size", "class")
+    cool = prefixed.where(~F.col("hot")).select("shingle", "size", "class")
+    dealt = cool.repartition("shingle").sortWithinPartitions("shingle", "size", "class")
     return dealt.mapInArrow(run, "members array<long>, overfull boolean").distinct()
 
 
+def ties(prefixed: DataFrame) -> DataFrame:
+    """(left, right): each class with a number that stands for its hot shingle."""
+    return prefixed.where("hot").select(
+        F.xxhash64(F.lit("shingle"), "shingle").alias("left"), F.col("class").alias("right")
+    )
+
+
 # --- whole sets ------------------------------------------------------------------
 
 
@@ -488,44 +521,53 @@ def _proof(rows: list[tuple], group: Group, label: np.ndarray, s: JoinSettings):
     return [(rows[a][0], rows[b][0]) for a, b in group.forest(label, proves)]
 
 
+def in_blocks(sets: DataFrame, s: JoinSettings) -> DataFrame:
+    """Add ``block``: groups of more than ``block_shingles`` are dealt into several.
+
+    The smallest class of a group goes to all its blocks, so that classes
+    linked with it are found together whatever their block.
+    """
+    groups = staged(
+        sets.groupBy("component").agg(
+            F.ceil(F.sum(F.col("size").cast("long")) / s.block_shingles).cast("int").alias("blocks"),
+            F.min("class").alias("first"),
+        ),
+        "group-sizes",
+    )
+    several = groups.where(F.col("blocks") > 1)
+    spread = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.array(F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    block = F.when(F.col("class") == F.col("first"), spread).when(F.col("blocks") > 1, own)
+    dealt = join_bounded(sets, staged(several, "large-groups"), ["component"], "left")
+    return dealt.withColumn("block", F.explode(F.coalesce(block, F.array(F.lit(0))))).drop(
+        "blocks", "first"
+    )
+
+
 def proven_blocks(sets: DataFrame, s: JoinSettings) -> DataFrame:
     """Verified links inside blocks of a group, and the block of each class.
 
-    ``sets`` has (component, class, size, bitmap, shingles). A row with ``right`` is a link; one without tells the block of class ``left``.
+    ``sets`` has (component, class, size, bitmap, shingles). A row with ``right``
+    is a link; one without tells the block of class ``left``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def streamed() -> Iterator[tuple[int, int, list[tuple]]]:
-            key, block, rows, held, first = None, 0, [], 0, None
-            for batch in batches:
-                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    if row[0] != key:
-                        if rows:
-                            yield key, block, rows
-                        key, block, rows, held = row[0], 0, [], 0
-                    elif held >= s.block_shingles:
-                        yield key, block, rows
-                        block, rows, held = block + 1, [], 0
-                    rows.append((row[2], row[1], row[3], row[4]))
-                    held += row[1]
-            if rows:
-                yield key, block, rows
-
         out = []
-        for key, block, found in streamed():
+        for (component, block), found in _runs(batches, 2):
             rows, group = _group(found, s)
             links_found = _proof(rows, group, np.arange(len(rows)), s)
-            out += [(key, block, a, b, None) for a, b in links_found]
-            out += [(key, block, row[0], None, row[1]) for row in rows]
+            out += [(component, block, a, b, None) for a, b in links_found]
+            out += [(component, block, row[0], None, row[1]) for row in rows]
             if len(out) > 50_000:
                 yield _blocks(out)
                 out = []
         yield _blocks(out)
 
     dealt = (
-        sets.select("component", "size", "class", "bitmap", "shingles")
-        .repartition("component")
-        .sortWithinPartitions("component", "size", "class")
+        in_blocks(sets, s)
+        .select("component", "block", "class", "size", "bitmap", "shingles")
+        .repartition("component", "block")
+        .sortWithinPartitions("component", "block")
     )
     return dealt.mapInArrow(run, "component long, block int, left long, right long, size int")
 
@@ -542,38 +584,46 @@ def _blocks(rows: list[tuple]) -> pa.RecordBatch:
 def links_between_blocks(
     placed: DataFrame, labels: DataFrame, sets: DataFrame, s: JoinSettings
 ) -> DataFrame:
-    """Verified links between blocks of a group whose classes are still apart.
+    """Verified links between classes of several blocks of a group that are still apart.
 
     ``placed`` has (component, block, class, size), ``labels`` (class, label).
+    Most classes of a group have one label by now. Of two classes that are
+    apart, one has another label, so each block meets only those others, which
+    are dealt into parts like blocks.
     """
-    rows = placed.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    spans = rows.groupBy("component", "block").agg(
-        F.min("size").alias("low"),
-        F.max("size").alias("high"),
-        F.min("label").alias("first_label"),
-        F.max("label").alias("last_label"),
+    rows = staged(
+        placed.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")),
+        "block-labels",
     )
-    left = spans.select("component", *(F.col(c).alias(f"a_{c}") for c in spans.columns[1:]))
-    right = spans.select("component", *(F.col(c).alias(f"b_{c}") for c in spans.columns[1:]))
-    together = (
-        (F.col("a_first_label") == F.col("b_last_label"))
-        & (F.col("a_last_label") == F.col("b_first_label"))
+    main = (
+        rows.groupBy("component", "label")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("component")
+        .agg(F.max(F.struct("rows", "label"))["label"].alias("main"))
     )
-    pairs = left.join(right, "component").where(
-        (F.col("a_block") < F.col("b_block"))
-        & (F.col("a_high") * s.denominator >= F.col("b_low") * s.numerator)
-        & ~together
+    apart = rows.join(main, "component").where(F.col("label") != F.col("main")).drop("main", "block")
+    apart = staged(apart.distinct(), "apart")
+    parts = apart.groupBy("component").agg(
+        F.ceil(F.sum(F.col("size").cast("long")) / s.block_shingles).cast("int").alias("parts")
     )
-    ends = pairs.select(
-        "component", "a_block", "b_block", F.explode(F.array("a_block", "b_block")).alias("block")
+    blocks = rows.groupBy("component").agg((F.max("block") + 1).alias("blocks"))
+    shape = staged(parts.join(blocks, "component"), "block-shape")
+    counted = rows.join(shape, "component")
+    columns = ["component", "block", "part", "class", "label"]
+    ours = counted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    others = (
+        apart.join(shape, "component")
+        .withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     )
     shipped = (
-        rows.join(ends, ["component", "block"])
-        .select("component", "a_block", "b_block", "class", "label")
+        ours.select(columns)
+        .union(others.select(columns))
+        .distinct()
         .join(sets, "class")
-        .select("component", "a_block", "b_block", "class", "size", "bitmap", "shingles", "label")
-        .repartition("component", "a_block", "b_block")
-        .sortWithinPartitions("component", "a_block", "b_block")
+        .select("component", "block", "part", "class", "size", "bitmap", "shingles", "label")
+        .repartition("component", "block", "part")
+        .sortWithinPartitions("component", "block", "part")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -591,7 +641,8 @@ def links_between_blocks(
 def link_classes(docs: DataFrame, profiled: DataFrame, s: JoinSettings) -> DataFrame:
     """(class, label) of all classes that have a link; linked ones share a label."""
     frequent = frequent_shingles(profiled, s)
-    lists = staged(buckets(prefixes(docs, frequent, s), s), "buckets")
+    prefixed = prefixes(docs, frequent, s)
+    lists = staged(buckets(prefixed, s), "buckets")
     classes = staged(
         profiled.where(F.col("class").isNotNull())
         .groupBy("class")
@@ -602,7 +653,10 @@ def link_classes(docs: DataFrame, profiled: DataFrame, s: JoinSettings) -> DataF
         ),
         "classes",
     )
-    groups = staged(components(possible_edges(lists, classes, s)), "groups")
+    edges = possible_edges(lists, classes, s)
+    if len(frequent[1]) and frequent[1].max() > s.bucket_rows:
+        edges = edges.union(staged(ties(prefixed).distinct(), "ties"))
+    groups = staged(components(edges), "groups")
     wanted = classes.select("class", "doc_id").join(groups.withColumnRenamed("node", "class"), "class")
     sets = staged(class_sets(docs, wanted, s), "class-sets")
     proven = staged(proven_blocks(sets, s), "proven")
