@@ -77,7 +77,8 @@ class Items:
                 key, item = self.items[number]
                 length = min(self.window, len(item))
                 # A window holding this word starts at most so far before it and ends so far after.
-                before, after = min(length - 1, place, at), min(length - 1, len(item) - 1 - place, total - 1 - at)
+                before = min(length - 1, place, at)
+                after = min(length - 1, len(item) - 1 - place, total - 1 - at)
                 if before + after + 1 < length:
                     continue
                 left = 0

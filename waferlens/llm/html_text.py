@@ -50,7 +50,10 @@ BLOCKS = frozenset(
 TEXT_BLOCKS = frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr caption figcaption".split()
 )
-INLINE_TEXT = frozenset("a abbr b bdi bdo cite code del dfn em i ins kbd mark q s samp small span strong sub sup time u var br wbr".split())
+INLINE_TEXT = frozenset(
+    "a abbr b bdi bdo br cite code del dfn em i ins kbd mark q s samp small span strong sub sup time"
+    " u var wbr".split()
+)
 # A start tag ends an open element of these, up to the given boundaries.
 CLOSED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -188,9 +191,8 @@ def elements(node: Node) -> Iterator[Node]:
 
 def template_candidates(root: Node) -> set[int]:
     """Hashes of all elements but those that hold a whole page or its article."""
-    return {
-        node.hash for node in elements(root) if node.tag not in ("html", "body", "main", "article", "head", "br")
-    }
+    whole = ("html", "body", "main", "article", "head", "br")
+    return {node.hash for node in elements(root) if node.tag not in whole}
 
 
 def dropped(node: Node, inside: bool, by_name: bool = True) -> bool:

@@ -33,7 +33,7 @@ from waferlens.llm.common import staged, text_bytes
 TOKENIZER = "word_bpe_49k.json"
 SEPARATOR = 0
 # Words whose ids a worker remembers; others are tokenised again when they come.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 ROWS_PER_GROUP = 32_768
 # Marks that end a word and are a token group of their own after a letter or digit.
 END_MARKS = b".,;:!?%&$#*"
@@ -161,39 +161,52 @@ class Bins:
             self.open |= 1 << tokens
 
     def _score(self, left: tuple[int, int, int], need: tuple[int, int, int]) -> float:
-        """Smaller is better."""
+        """Smaller is better: the squared norm of what would be left, or minus the dot product."""
         c = self.capacity
         full = (c.tokens, c.documents, c.attention)
+        shares = [(x / f, n / f) for x, n, f in zip(left, need, full, strict=True)]
         if c.rule == "dot":
-            return -sum(w * (x / f) * (n / f) for w, x, n, f in zip(c.weights, left, need, full, strict=True))
-        return sum(w * ((x - n) / f) ** 2 for w, x, n, f in zip(c.weights, left, need, full, strict=True))
+            return -sum(w * x * n for w, (x, n) in zip(c.weights, shares, strict=True))
+        return sum(w * (x - n) ** 2 for w, (x, n) in zip(c.weights, shares, strict=True))
 
-    def add(self, length: int) -> tuple[int, int]:
-        """(bin, offset) for a piece of ``length`` tokens."""
-        cost = length * length
-        best, best_score = None, float("inf")
-        ascending = self.capacity.rule != "dot"
+    def _tightest(self, level: int, cost: int) -> tuple[int, int, int] | None:
+        """Of the bins with ``level`` tokens left the one whose attention just suffices."""
+        heap = self.levels[level]
+        if heap[0][0] >= cost:
+            return heap[0]
+        return min((entry for entry in heap if entry[0] >= cost), default=None)
+
+    def _choose(self, length: int, cost: int) -> tuple[int, tuple] | None:
+        """(tokens left, bin) of the best bin that has room in every respect.
+
+        Levels come nearest first (fullest last by the dot product); the search
+        ends where no further level can score better.
+        """
+        c, best, best_score = self.capacity, None, float("inf")
+        nearest_first = c.rule != "dot"
         mask = self.open >> length
         while mask:
-            step = (mask & -mask).bit_length() - 1 if ascending else mask.bit_length() - 1
-            level = length + step
+            step = (mask & -mask if nearest_first else mask).bit_length() - 1
             mask &= ~(1 << step)
-            floor = self.capacity.weights[0] * (step / self.capacity.tokens) ** 2
-            if ascending and floor >= best_score:
+            if nearest_first and c.weights[0] * (step / c.tokens) ** 2 >= best_score:
                 break
-            # Least attention left comes first, so this finds the tightest that is allowed.
-            for entry in sorted(self.levels[level]) if len(self.levels[level]) > 1 and self.levels[level][0][0] < cost else self.levels[level][:1]:
-                if entry[0] >= cost:
-                    score = self._score((level, entry[1], entry[0]), (length, 1, cost))
-                    if score < best_score:
-                        best, best_score = (level, entry), score
-                    break
-            if not ascending and best is not None:
+            entry = self._tightest(length + step, cost)
+            if entry is None:
+                continue
+            score = self._score((length + step, entry[1], entry[0]), (length, 1, cost))
+            if score < best_score:
+                best, best_score = (length + step, entry), score
+            if not nearest_first:
                 break
+        return best
+
+    def add(self, length: int) -> tuple[int, int]:
+        """(bin, offset) for a piece of ``length`` tokens."""
+        cost = length * length
+        best = self._choose(length, cost)
         if best is None:
-            number = len(self.used)
+            number, c = len(self.used), self.capacity
             self.used.append(length)
-            c = self.capacity
             self._put(c.tokens - length, c.attention - cost, c.documents - 1, number)
             return number, 0
         level, entry = best
