@@ -48,7 +48,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's evidence, the rate of its section, and whether it stays."""
-    judged = site_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    judged = site_quality.judge(docs, labels, with_text=False)
     return judged.select("doc_id", "source", "lang", "p_text", "p_site", "p_reject", "keep")
 
 

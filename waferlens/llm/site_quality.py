@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -80,6 +80,8 @@ class TargetModel:
     centre: np.ndarray = field(default_factory=lambda: np.zeros(0))
     scale: np.ndarray = field(default_factory=lambda: np.ones(0))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    # Beginnings of all indicators: most words have none of them.
+    starts: frozenset[bytes] = frozenset()
 
     def predict(self, features: np.ndarray) -> np.ndarray:
         if not len(self.weights):
@@ -124,13 +126,12 @@ def terms_of(word: bytes, stems: Sequence[int]) -> list[bytes]:
     return [word + b" ", *(word[:size] for size in stems if len(word) >= size)]
 
 
-def hints(words: set[bytes], indicators: dict[bytes, float], s: QualitySettings) -> list[float]:
+def hints(words: set[bytes], model: TargetModel, s: QualitySettings) -> list[float]:
     """What the indicators among a text's words say: the strongest, and how many."""
-    found = []
-    if indicators:
-        shortest = min(s.stems)
-        known = indicators.get
-        for word in words:
+    found, known, starts = [], model.indicators.get, model.starts
+    shortest = min(s.stems)
+    for word in words:
+        if word[:shortest] in starts:
             best = known(word + b" ", 0.0)
             for size in s.stems if len(word) >= shortest else ():
                 best = max(best, known(word[:size], 0.0))
@@ -174,24 +175,41 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, s: QualitySettings) -> D
     return staged(named, "labelled-texts")
 
 
-def _family_counts(rows: DataFrame, wanted: dict[bytes, int] | None, s: QualitySettings) -> DataFrame:
-    """Families of ``rows`` in which a term occurs; of the ``wanted`` terms or of all."""
+def _family_counts(rows: DataFrame, wanted: frozenset[bytes] | None, s: QualitySettings) -> DataFrame:
+    """Families of ``rows`` in which a term occurs; of the ``wanted`` terms or of all.
 
-    def run(batches):
-        for batch in batches:
-            met = set()
-            for text, family in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                for word in shape_of(text)[1]:
-                    for term in terms_of(word, s.stems):
-                        if wanted is None or term in wanted:
-                            met.add((term, family))
-            terms, families = zip(*met, strict=True) if met else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.binary()), pa.array(families, pa.int64())], names=["term", "family"]
-            )
+    The rows of a family come together, so a task counts families as they pass
+    and sends one number for each term.
+    """
 
-    found = rows.select("text", "family").mapInArrow(run, "term binary, family long").distinct()
-    return found.groupBy("term").agg(F.count(F.lit(1)).alias("families"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+        family, terms = None, set()
+        for batch in batches:
+            for text, own in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                if own != family:
+                    counts.update(terms)
+                    family, terms = own, set()
+                for word in set(text.translate(_FOLD).split()):
+                    terms.update(terms_of(word, s.stems))
+                if wanted is not None:
+                    terms &= wanted
+            if len(counts) > 200_000:
+                yield _counted(counts)
+                counts.clear()
+        counts.update(terms)
+        yield _counted(counts)
+
+    together = rows.select("text", "family").repartition("family").sortWithinPartitions("family")
+    found = together.mapInArrow(run, "term binary, families long")
+    return found.groupBy("term").agg(F.sum("families").alias("families"))
+
+
+def _counted(counts: Counter[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
+        names=["term", "families"],
+    )
 
 
 def find_indicators(sample: DataFrame, target: str, s: QualitySettings) -> dict[bytes, float]:
@@ -209,7 +227,7 @@ def find_indicators(sample: DataFrame, target: str, s: QualitySettings) -> dict[
     near = {bytes(row["term"]): row["families"] for row in rows}
     if not near or not outside:
         return {}
-    rows = _family_counts(sample.where(~F.col(target)), near, s).collect()
+    rows = _family_counts(sample.where(~F.col(target)), frozenset(near), s).collect()
     far = {bytes(row["term"]): row["families"] for row in rows}
     weights = {}
     for term, a in near.items():
@@ -221,11 +239,16 @@ def find_indicators(sample: DataFrame, target: str, s: QualitySettings) -> dict[
     return weights
 
 
+def model_with(indicators: dict[bytes, float], s: QualitySettings) -> TargetModel:
+    starts = frozenset(term.rstrip(b" ")[: min(s.stems)] for term in indicators)
+    return TargetModel(indicators, starts=starts)
+
+
 def describe(texts: list[bytes], models: Sequence[TargetModel], s: QualitySettings) -> list[np.ndarray]:
     """For each model the features of each text."""
     found = [shape_of(text) for text in texts]
     return [
-        np.array([shape + hints(words, model.indicators, s) for shape, words in found])
+        np.array([shape + hints(words, model, s) for shape, words in found])
         for model in models
     ]
 
@@ -255,7 +278,7 @@ def fit_target(features: np.ndarray, target: np.ndarray, model: TargetModel, s:
 def fit(docs: DataFrame, labels: DataFrame, s: QualitySettings) -> tuple[TargetModel, ...]:
     """Models of toxic and of low-quality documents from a bounded labelled sample."""
     sample = labelled_sample(docs, labels, s)
-    models = [TargetModel(find_indicators(sample, target, s)) for target in TARGETS]
+    models = [model_with(find_indicators(sample, target, s), s) for target in TARGETS]
 
     def compute(columns: list[pa.Array]) -> list[pa.Array]:
         found = describe(text_bytes(columns[0]), models, s)
@@ -368,9 +391,14 @@ def judge(
     text_column: str = "text",
     s: QualitySettings = QualitySettings(),
     names: tuple[str, str, str, str] = ("p_text", "p_site", "p_reject", "keep"),
+    with_text: bool = True,
 ) -> DataFrame:
     """All columns of ``docs`` and the evidence, the section's rate, the verdict.
 
+    Texts are read twice, for the rates and for the verdicts, and never move.
+    Without them in the result (``with_text``) they are read once, and their
+    evidence is written out with the other columns.
+
     ``host`` and ``path`` are expressions over ``docs``; by default the source
     up to its first slash, and the rest of it with the language as section.
     """
@@ -387,12 +415,15 @@ def judge(
         own_path, F.coalesce(path, F.lit("\x00"))
     )
     scored = with_evidence(named, models, text_column, evidence, s)
-    light = with_evidence(
-        named.select(F.col(text_column), F.col(own_host).alias("_host"), F.col(own_path).alias("_path")),
-        models,
-        text_column,
-        evidence,
-        s,
+    if with_text:
+        columns = docs.columns
+        sites = named.select(text_column, own_host, own_path)
+        light = with_evidence(sites, models, text_column, evidence, s)
+    else:
+        columns = [name for name in docs.columns if name != text_column]
+        light = scored = staged(scored.drop(text_column), "evidence")
+    light = light.select(
+        F.col(own_host).alias("_host"), F.col(own_path).alias("_path"), evidence
     )
     posteriors, prior = site_posteriors(light, evidence, s)
     site = posteriors.select(
@@ -402,5 +433,5 @@ def judge(
     odds = _log_odds(F.col(evidence)) + _log_odds(F.col(names[1])) - _log_odds(F.lit(prior))
     reject = 1 / (1 + F.exp(-odds))
     return joined.withColumn(names[2], reject).select(
-        *docs.columns, evidence, names[1], names[2], (F.col(names[2]) <= s.threshold).alias(names[3])
+        *columns, evidence, names[1], names[2], (F.col(names[2]) <= s.threshold).alias(names[3])
     )
