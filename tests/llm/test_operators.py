@@ -523,7 +523,7 @@ def test_every_piece_has_one_place(docs, rows, none, capacity):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    odd = [(900, "a<|endoftext|>b <|ENDOFTEXT|> don't. it's!! x́ ǅ 12.5% wow!!!%%%"), (901, "é" * 9)]
+    odd = [(2**62 + 1, "large id"), (900, "a<|endoftext|>b <|ENDOFTEXT|> don't. it's!! x́ ǅ 12.5% wow!!!%%%"), (901, "é" * 9)]
     more = docs.sparkSession.createDataFrame(odd, "doc_id long, text string")
     both = docs.select("doc_id", "text").union(more)
     found = packing.pack_documents(both, capacity, rows_per_group=50).collect()

@@ -23,7 +23,6 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -243,18 +242,22 @@ def pack_pieces(
     """Add ``sequence_id`` and ``offset`` to staged ``pieces`` (columns of ``PIECES``)."""
     groups = max(1, -(-pieces.count() // rows_per_group))
 
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["doc_id", "piece", "_row"], kind="stable")
-        number, offset = pack_group(frame["length"].to_numpy(), capacity)
-        return frame.assign(
-            sequence_id=frame["_group"].to_numpy() * (1 << 32) + number, offset=offset
-        ).drop(columns=["_group", "_row"])
+    def pack(table: pa.Table) -> pa.Table:
+        order = [(name, "ascending") for name in ("doc_id", "piece", "_row")]
+        table = table.sort_by(order)
+        number, offset = pack_group(table["length"].to_numpy(), capacity)
+        sequence = table["_group"].to_numpy() * (1 << 32) + number
+        return (
+            table.drop_columns(["_group", "_row"])
+            .append_column("sequence_id", pa.array(sequence, pa.int64()))
+            .append_column("offset", pa.array(offset, pa.int64()))
+        )
 
     # The place in the staged files spreads rows evenly, repeated ones too.
     dealt = pieces.withColumn("_row", F.monotonically_increasing_id()).withColumn(
         "_group", F.pmod(F.xxhash64("_row"), F.lit(groups))
     )
-    return dealt.groupBy("_group").applyInPandas(
+    return dealt.groupBy("_group").applyInArrow(
         pack, f"{PIECES}, sequence_id long, offset long"
     )
 
