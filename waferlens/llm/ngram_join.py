@@ -298,9 +298,9 @@ def frequent_shingles(profiled: DataFrame, s: JoinSettings) -> tuple[np.ndarray,
 def prefixes(
     docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], s: JoinSettings
 ) -> DataFrame:
-    """(shingle, size, class, hot) for the first shingles of each set, in the common order.
+    """(shingle, size, class) for the first shingles of each set, in the common order.
 
-    A shingle known to come more often than a bucket holds is ``hot``.
+    A shingle known to come more often than a bucket holds is hot: its size is negative.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -331,17 +331,17 @@ def prefixes(
                 if not parts:
                     continue
                 lengths = [len(p) for p in parts]
+                size = np.repeat(np.array(sizes, np.int32), lengths)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(signed(np.concatenate(parts))),
-                        pa.array(np.repeat(np.array(sizes, np.int32), lengths)),
+                        pa.array(np.where(np.concatenate(hot), -size, size)),
                         pa.array(np.repeat(np.array(classes, np.int64), lengths)),
-                        pa.array(np.concatenate(hot)),
                     ],
-                    names=["shingle", "size", "class", "hot"],
+                    names=["shingle", "size", "class"],
                 )
 
-    return docs.mapInArrow(run, "shingle long, size int, class long, hot boolean")
+    return docs.mapInArrow(run, "shingle long, size int, class long")
 
 
 def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
@@ -350,7 +350,8 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
     Rows of a shingle come by size, so a list ends where the next size is too
     far. Where it is full, another one goes on with its first class again; such
     lists are ``overfull`` and count as joined as a whole until step 3. So do
-    the classes of a hot shingle, which are not gathered at all (``ties``).
+    the classes of a hot shingle, which go to partitions by class and are listed
+    one by one with the shingle itself, as if it were a class.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,9 +383,12 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
             # Most shingles have one row; only runs, and the ends of the batch, are looked at.
             same = keys[1:] == keys[:-1]
             look = np.concatenate([[True], same]) | np.concatenate([same, [True]])
-            look = look[: len(keys)]
+            look = look[: len(keys)] | (batch.column(1).to_numpy() < 0)
             rows = (column.to_numpy()[look].tolist() for column in batch.columns)
             for next_shingle, next_size, next_own in zip(*rows, strict=True):
+                if next_size < 0:
+                    out.append(([next_shingle, next_own], True))
+                    continue
                 if next_shingle == shingle and next_own == own:
                     continue
                 if next_shingle != shingle or s.denominator * size < s.numerator * next_size:
@@ -400,18 +404,11 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
         flush()
         yield ready()
 
-    cool = prefixed.where(~F.col("hot")).select("shingle", "size", "class")
-    dealt = cool.repartition("shingle").sortWithinPartitions("shingle", "size", "class")
+    place = F.when(F.col("size") < 0, F.xxhash64("class")).otherwise(F.col("shingle"))
+    dealt = prefixed.repartition(place).sortWithinPartitions("shingle", "size", "class")
     return dealt.mapInArrow(run, "members array<long>, overfull boolean").distinct()
 
 
-def ties(prefixed: DataFrame) -> DataFrame:
-    """(left, right): each class with a number that stands for its hot shingle."""
-    return prefixed.where("hot").select(
-        F.xxhash64(F.lit("shingle"), "shingle").alias("left"), F.col("class").alias("right")
-    )
-
-
 # --- whole sets ------------------------------------------------------------------
 
 
@@ -641,8 +638,7 @@ def links_between_blocks(
 def link_classes(docs: DataFrame, profiled: DataFrame, s: JoinSettings) -> DataFrame:
     """(class, label) of all classes that have a link; linked ones share a label."""
     frequent = frequent_shingles(profiled, s)
-    prefixed = prefixes(docs, frequent, s)
-    lists = staged(buckets(prefixed, s), "buckets")
+    lists = staged(buckets(prefixes(docs, frequent, s), s), "buckets")
     classes = staged(
         profiled.where(F.col("class").isNotNull())
         .groupBy("class")
@@ -653,10 +649,7 @@ def link_classes(docs: DataFrame, profiled: DataFrame, s: JoinSettings) -> DataF
         ),
         "classes",
     )
-    edges = possible_edges(lists, classes, s)
-    if len(frequent[1]) and frequent[1].max() > s.bucket_rows:
-        edges = edges.union(staged(ties(prefixed).distinct(), "ties"))
-    groups = staged(components(edges), "groups")
+    groups = staged(components(possible_edges(lists, classes, s)), "groups")
     wanted = classes.select("class", "doc_id").join(groups.withColumnRenamed("node", "class"), "class")
     sets = staged(class_sets(docs, wanted, s), "class-sets")
     proven = staged(proven_blocks(sets, s), "proven")
