@@ -32,7 +32,7 @@ from waferlens.llm.common import staged, text_bytes
 TOKENIZER = "word_bpe_49k.json"
 SEPARATOR = 0
 # Words whose ids a worker remembers; others are tokenised again when they come.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 ROWS_PER_GROUP = 32_768
 # Marks that end a word and are a token group of their own after a letter or digit.
 END_MARKS = b".,;:!?%&$#*"
@@ -82,10 +82,10 @@ class WordEncoder(dict):
     def __missing__(self, word: bytes) -> bytes:
         stem = word.rstrip(END_MARKS)
         if stem and len(stem) < len(word) and stem[-1:].isalnum():
-            ids = self[stem] + self[word[len(stem) :]]
-        else:
-            one = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False)
-            ids = little_endian(one.ids)
+            # Put together each time, which leaves more room for stems.
+            return self[stem] + self[word[len(stem) :]]
+        one = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False)
+        ids = little_endian(one.ids)
         if len(self) < CACHED_WORDS:
             self[word] = ids
         return ids
