@@ -364,6 +364,33 @@ def test_templates_of_a_site_are_deleted(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    inner = "<div><h1>Copied</h1><div><p>first part</p><ul><li>point</li></ul></div></div>"
+    share = "<section><p>Read all about us</p></section>"
+    rows = []
+    for i in range(40):
+        rows.append((i, f"http://a.net/{i}", f"{share}<article><div><p>text {i}</p></div>{share}</article>"))
+        rows.append((100 + i, f"http://b.net/{i}", f"<body>{share}<div><p>text {i}</p></div></body>"))
+    for i in range(20):
+        head = f"<head><link rel=canonical href=/{i}></head>"
+        rows.append((200 + i, f"http://a.net/c{i}", f"{head}<body>{share}<article>{inner}{share}</article></body>"))
+        rows.append((300 + i, f"http://b.net/c{i}", f"{head}<body>{share}{inner}</body>"))
+        # A repeated row, and a host that has nothing but copies.
+        rows.append((400, "http://b.net/r", f"<body>{share}<div><p>said again</p></div></body>"))
+        rows.append((500 + i, f"http://c.net/{i}", f"<article>{inner}</article>"))
+        rows.append((600 + i, f"http://d.net/{i}", f"{head}{inner}"))
+        # All of one of a page's articles.
+        rows.append((700 + i, f"http://e.net/{i}", f"<article><div><p>same</p></div></article><article>text {i}</article>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = html_text.extract(df).collect()
+    found = {r["page_id"]: r["text"] for r in out}
+    copied = "Copied\n\nfirst part\n\npoint"
+    assert len(out) == len(rows) and found[400] == "said again"
+    assert {found[k + i] for k in (200, 300, 500, 600) for i in range(20)} == {copied}
+    assert all(found[i] == found[100 + i] == f"text {i}" for i in range(40))
+    assert found[703] == "same\n\ntext 3"
+
+
 # --- 7 benchmark -----------------------------------------------------------------------------------
 
 

@@ -2,17 +2,19 @@
 
 Every page is parsed into a tree and every element's subtree is hashed, texts
 and attributes included. The hashes are counted for each host: a subtree that
-is on many of a host's pages is part of its template and is deleted. Then the
+is on many of a host's pages is part of its template and is deleted. Pages of
+one text, be they repeated rows or copies under other URLs, count once. Then the
 article is taken (or the body, where a page has none), without the elements
 whose tag, role, class or id says what they are: menus, headers, footers, side
 bars, notices, adverts, forms, scripts, styles, comments.
 
 Within an article plain text blocks (paragraphs, headings, list items and the
-like) stay even if they recur, as a passage on several pages is still text.
+like) stay even if they recur, as a passage on several pages is still text, and
+so do elements that hold all of it.
 
 Defined results: null html is empty; an unclosed element ends where an element
 that cannot be inside it starts, or with its parent; an unclosed comment ends
-with the page; repeated rows count as pages each; a page without a host has no
+with the page; every row has its text, copies too; a page without a host has no
 template.
 """
 
@@ -225,6 +227,22 @@ def articles(root: Node, by_name: bool = True) -> list[Node]:
     return found["article"] or found["main"]
 
 
+def wrappers(top: Node, by_name: bool = True) -> set[int]:
+    """The ids of the elements that each hold all of an article."""
+    found: set[int] = set()
+    node = top
+    while True:
+        inner = [
+            child
+            for child in node.children
+            if (child.strip() if isinstance(child, str) else not dropped(child, True, by_name) and child.tag not in VOID)
+        ]
+        if len(inner) != 1 or isinstance(inner[0], str):
+            return found
+        node = inner[0]
+        found.add(id(node))
+
+
 def blocks_of(
     top: Node, inside: bool, templates: frozenset[int], by_name: bool = True
 ) -> list[str]:
@@ -239,6 +257,7 @@ def blocks_of(
                 blocks.append(text)
             open_block.clear()
 
+    whole = wrappers(top, by_name) if inside and templates else ()
     # Depth first with a stack of its own, so that no nesting is too deep.
     waiting: list[Node | str | None] = [top]
     while waiting:
@@ -250,7 +269,7 @@ def blocks_of(
         elif node is not top and (
             dropped(node, inside, by_name)
             or node.hash in templates
-            and not (inside and (node.tag in TEXT_BLOCKS or node.tag in INLINE_TEXT))
+            and not (inside and (node.tag in TEXT_BLOCKS or node.tag in INLINE_TEXT or id(node) in whole))
         ):
             open_block.append(" ")
         else:
@@ -281,6 +300,12 @@ def main_text(root: Node, templates: frozenset[int] = frozenset()) -> str:
     return "\n\n".join(parts)
 
 
+def page_identity(root: Node, page: str) -> int:
+    """The same for pages of one text; a page without a text is itself."""
+    text = main_text(root) or page
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def site_templates(pages: DataFrame, s: TemplateSettings) -> DataFrame:
     """For each host (``_host``) the hashes of its templates (``_templates``).
 
@@ -292,21 +317,28 @@ def site_templates(pages: DataFrame, s: TemplateSettings) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                hosts, hashes = [], []
+                hosts, identities, hashes = [], [], []
                 for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    own = template_candidates(parse(page))
+                    root = parse(page)
+                    own = template_candidates(root)
                     # The page itself counts under a hash that no element has.
                     hosts += [host] * (len(own) + 1)
+                    identities += [page_identity(root, page)] * (len(own) + 1)
                     hashes += [None, *own]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())],
-                    names=["_host", "_hash"],
+                    [
+                        pa.array(hosts, pa.string()),
+                        pa.array(identities, pa.int64()),
+                        pa.array(hashes, pa.int64()),
+                    ],
+                    names=["_host", "_page", "_hash"],
                 )
 
     usable = pages.where((F.col("_host") != "") & F.col("_html").isNotNull())
     counted = staged(
         usable.select("_host", "_html")
-        .mapInArrow(run, "_host string, _hash long")
+        .mapInArrow(run, "_host string, _page long, _hash long")
+        .distinct()
         .groupBy("_host", "_hash")
         .agg(F.count(F.lit(1)).alias("_pages"))
         .where(F.col("_hash").isNull() | (F.col("_pages") >= s.pages)),
