@@ -252,6 +252,46 @@ def test_phrases_equal_a_search_in_the_sample():
         assert round(bits / model.automata[0].bits) == language_id.phrase_count(clean, plain)
 
 
+def test_phrases_are_the_same_as_table_and_as_list():
+    """Of an alphabet of thousands of letters, none is merged with another."""
+    rng = random.Random(6)
+    common = [chr(0x4E00 + i) for i in range(3_000)]
+    sample = " ".join("".join(rng.choice(common) for _ in range(rng.randrange(1, 6))) for _ in range(1_500))
+    other = " ".join("".join(rng.choice("abc") for _ in range(rng.randrange(1, 6))) for _ in range(300))
+    for most in (120, 5_000, 0):
+        model = language_id.LanguageModel((("x", sample), ("y", other)), most)
+        assert [a.cells > 0 for a in model.automata] == [most == 5_000, most > 0]
+        texts = [sample[at : at + 90].strip() for at in range(0, 2_000, 97)] + ["".join(rng.choices(common, k=80)), "abc zz ca"]
+        found = model._parse([model.codes[language_id.normal_letters(text)] for text in texts])
+        for text, bits in zip(texts, found, strict=True):
+            for own, automaton, sampled in zip(bits, model.automata, (sample, other), strict=True):
+                assert round(own / automaton.bits) == language_id.phrase_count(sampled, text)
+
+
+def test_every_language_is_learned_whatever_their_number(spark):
+    """30 languages, of long rows only, of one word without an end, of many letters."""
+    rows = []
+    for number in range(30):
+        first = 0x4E00 + 600 * number if number % 2 else 0x61
+        rng = random.Random(number)
+        own = ["".join(chr(first + rng.randrange(400 if number % 2 else 26)) for _ in range(4)) for _ in range(3_000)]
+        for _ in range(4):
+            rows.append((f"l{number:02}", " ".join(rng.choice(own) for _ in range(4_500)), f"{number}"))
+    rows += [("long", "-" * 30_000 + "xyzäöü" * 10_000, "long"), ("tail", "-" * 25_000 + " ß", "tail")]
+    df = spark.createDataFrame(rows, "lang string, text string, doc_id string")
+    settings = language_id.SampleSettings()
+    learned = dict(language_id.learn(df, settings))
+    assert len(learned) == 32 and learned["tail"] == "ß" and len(learned["long"]) == settings.longest
+    for number in range(30):
+        sample = learned[f"l{number:02}"]
+        assert settings.letters - 10 <= len(sample) <= settings.letters
+        words_seen = {w for text in (r[1] for r in rows if r[0] == f"l{number:02}") for w in text.split()}
+        assert set(sample.split()) <= words_seen
+    usual = tuple((name, sample) for name, sample in sorted(learned.items()) if name != "tail")
+    judged = language_id.identify(df.where("doc_id < 'a'"), usual, settings)
+    assert judged.where("lang_pred = lang").count() == 120
+
+
 def test_languages_on_odd_rows(spark, docs, none):
     texts = {"en": "the cat and the dog went with this house of that", "de": "der hund und die katze gehen mit dem haus von dem"}
     rows = []

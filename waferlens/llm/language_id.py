@@ -7,6 +7,11 @@ needs few long phrases in its own language and many short ones in others, so the
 language with the fewest phrases, weighted by the bits a place in its sample
 costs, wins.
 
+Every language has as many letters of sample as its rows give, up to a bound that
+does not depend on how many languages there are, and every letter is a symbol of
+its own. An automaton is a table where its alphabet is small, else a sorted list
+of transitions; both parse alike.
+
 Texts are reduced to small letters with one blank between words, and parsed in
 blocks of fixed length, from the first to the last letter: blocks of many
 texts step through the automata together, so memory is bounded whatever the
@@ -19,10 +24,9 @@ any labelled text all are ``und``. A row without an id is not learned from.
 
 from __future__ import annotations
 
-from array import array
-from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,20 +40,23 @@ UNDETERMINED = "und"
 BLOCK = 512
 # Letters of texts parsed together by a task.
 LETTERS_AT_ONCE = 4 << 20
+# Cells of the tables of a model; automata beyond are lists of transitions.
+TABLE_CELLS = 60_000_000
 
 
 @dataclass(frozen=True)
 class SampleSettings:
-    """What is learned from: all bounds are for each language, but the total.
+    """What is learned from, for each language.
 
-    Rows of at most ``longest`` characters are taken in the order of a hash of
-    their text, as long as they fit.
+    Rows are taken in the order of a hash of their text, each from its first
+    letter for ``longest`` characters; the one that does not fit is cut between
+    words.
     """
 
     rows: int = 200
     longest: int = 20_000
     letters: int = 60_000
-    total_letters: int = 240_000
+    # The widest alphabet of a table; it changes no result.
     alphabet: int = 120
 
 
@@ -82,59 +89,91 @@ def normal_letters(text: str) -> np.ndarray:
     return small[keep]
 
 
+def _transitions(symbols: list[int]) -> list[dict[int, int]]:
+    """The suffix automaton of a sample: the next state by symbol, for each state."""
+    moves: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
+    last = 0
+    for symbol in symbols:
+        state = len(moves)
+        moves.append({})
+        length.append(length[last] + 1)
+        link.append(0)
+        at = last
+        while at != -1 and symbol not in moves[at]:
+            moves[at][symbol] = state
+            at = link[at]
+        if at != -1:
+            after = moves[at][symbol]
+            if length[at] + 1 == length[after]:
+                link[state] = after
+            else:
+                copy = len(moves)
+                moves.append(moves[after].copy())
+                length.append(length[at] + 1)
+                link.append(link[after])
+                while at != -1 and moves[at].get(symbol) == after:
+                    moves[at][symbol] = copy
+                    at = link[at]
+                link[after] = link[state] = copy
+        last = state
+    return moves
+
+
 class Automaton:
-    """Suffix automaton of a sample as a table: state times symbols plus symbol."""
-
-    def __init__(self, symbols: bytes, width: int):
-        # At most two states a symbol, and one more with no way out: it follows a symbol
-        # that the sample lacks.
-        moves = array("i", [-1]) * ((2 * len(symbols) + 2) * width)
-        link, length = array("i", [-1]), array("i", [0])
-        last, count = 0, 1
-        for symbol in symbols:
-            state, count = count, count + 1
-            length.append(length[last] + 1)
-            link.append(0)
-            at = last
-            while at != -1 and moves[at * width + symbol] < 0:
-                moves[at * width + symbol] = state
-                at = link[at]
-            if at != -1:
-                after = moves[at * width + symbol]
-                if length[at] + 1 == length[after]:
-                    link[state] = after
-                else:
-                    copy, count = count, count + 1
-                    row = moves[after * width : (after + 1) * width]
-                    moves[copy * width : (copy + 1) * width] = row
-                    length.append(length[at] + 1)
-                    link.append(link[after])
-                    while at != -1 and moves[at * width + symbol] == after:
-                        moves[at * width + symbol] = copy
-                        at = link[at]
-                    link[after] = link[state] = copy
-            last = state
-        dead = count
-        self.table = np.frombuffer(moves, np.int32)[: (dead + 1) * width].copy()
+    """Suffix automaton of a sample; a state is held as its number times the width.
+
+    ``symbols`` are below ``count``. Its own alphabet has one more symbol, for all
+    that the sample lacks: nothing leads on from there.
+    """
+
+    def __init__(self, symbols: np.ndarray, count: int, most: int, cells: int):
+        known = np.unique(symbols)
+        width = len(known) + 1
+        self.own = np.full(count, len(known), np.min_scalar_type(width))
+        self.own[known] = np.arange(len(known))
+        moves = _transitions(self.own[symbols].tolist())
+        dead = len(moves)
+        sizes = np.fromiter(map(len, moves), np.int64, dead)
+        total = int(sizes.sum())
+        keys = np.repeat(np.arange(dead) * width, sizes)
+        keys += np.fromiter(chain.from_iterable(moves), np.int64, total)
+        after = np.fromiter(chain.from_iterable(m.values() for m in moves), np.int64, total) * width
         del moves
-        np.multiply(self.table, width, out=self.table, where=self.table >= 0)
-        first = self.table[:width]
-        self.start = np.where(first < 0, dead * width, first).astype(np.int32)
+        self.start = np.full(width, dead * width, np.int64)
+        self.start[keys[: sizes[0]]] = after[: sizes[0]]
+        self.cells = (dead + 1) * width if len(known) <= most and (dead + 1) * width <= cells else 0
+        if self.cells:
+            self.table = np.full(self.cells, -1, np.int32)
+            self.table[keys] = after
+        else:
+            order = np.argsort(keys)
+            # The last key is past all others, so that every search ends at one.
+            self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+            self.after = np.append(after[order], -1)
         self.bits = float(np.log2(len(symbols) + 2))
 
+    def _follow(self, wanted: np.ndarray) -> np.ndarray:
+        """The states after state plus symbol, or -1."""
+        if self.cells:
+            return self.table[wanted]
+        at = np.searchsorted(self.keys, wanted)
+        return np.where(self.keys[at] == wanted, self.after[at], -1)
+
     def phrases(self, blocks: np.ndarray, active: np.ndarray) -> np.ndarray:
         """Phrases of each block; ``blocks`` is (letters, blocks), longest block first.
 
         ``active[i]`` is the number of blocks that have a letter ``i``.
         """
+        blocks = self.own[blocks]
         count = np.ones(blocks.shape[1], np.int64)
-        state = self.start[blocks[0]].astype(np.int64)
+        state = self.start[blocks[0]]
         for at in range(1, len(blocks)):
             some = active[at]
             if not some:
                 break
             symbol = blocks[at, :some]
-            after = self.table[state[:some] + symbol]
+            after = self._follow(state[:some] + symbol)
             new = after < 0
             count[:some] += new
             state[:some] = np.where(new, self.start[symbol], after)
@@ -145,14 +184,16 @@ class LanguageModel:
     def __init__(self, samples: tuple[tuple[str, str], ...], most: int):
         self.languages = [language for language, _ in samples]
         letters = [_points(sample) for _, sample in samples]
-        seen = Counter(point for own in letters for point in own.tolist() if point != 32)
-        known = sorted(point for point, _ in seen.most_common(most))
-        # 0 is the blank; the last symbol is every other letter, and no sample has it.
-        self.codes = np.zeros(0x110000, np.uint8)
+        known = np.unique(np.concatenate(letters)) if letters else np.zeros(0, np.uint32)
+        known = known[known != 32]
+        # 0 is the blank; the last symbol is every letter that no sample has.
+        self.codes = np.zeros(0x110000, np.min_scalar_type(len(known) + 1))
         self.codes[_letters()[1]] = len(known) + 1
         self.codes[known] = np.arange(1, len(known) + 1)
-        width = len(known) + 2
-        self.automata = [Automaton(self.codes[own].tobytes(), width) for own in letters]
+        self.automata, left = [], TABLE_CELLS
+        for own in letters:
+            self.automata.append(Automaton(self.codes[own], len(known) + 2, most, left))
+            left -= self.automata[-1].cells
 
     def _parse(self, texts: list[np.ndarray]) -> np.ndarray:
         """Bits of each text (rows) in each language (columns)."""
@@ -164,7 +205,7 @@ class LanguageModel:
                 lengths.append(len(rows[-1]))
         order = np.argsort(-np.array(lengths), kind="stable")
         sizes = np.array(lengths)[order]
-        table = np.zeros((len(rows), int(sizes[0])), np.uint8)
+        table = np.zeros((len(rows), int(sizes[0])), self.codes.dtype)
         for place, number in enumerate(order.tolist()):
             table[place, : lengths[number]] = rows[number]
         blocks = np.ascontiguousarray(table.T)
@@ -216,11 +257,9 @@ def learn(docs: DataFrame, s: SampleSettings) -> tuple[tuple[str, str], ...]:
     Rows are chosen by a small table of hashes first; only their texts are read
     on. ``docs`` has ``text`` and ``lang`` and holds nothing but rows to learn from.
     """
-    usable = docs.where(
-        F.col("lang").isNotNull()
-        & (F.char_length("text") <= s.longest)
-        & F.col("text").rlike(r"\p{L}")
-    ).select("lang", "text", F.xxhash64("text").alias("order"))
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", F.xxhash64("text").alias("order")
+    )
     order = Window.partitionBy("lang").orderBy("order")
     chosen = staged(
         usable.select("lang", "order")
@@ -230,22 +269,51 @@ def learn(docs: DataFrame, s: SampleSettings) -> tuple[tuple[str, str], ...]:
         .distinct(),
         "language-sample",
     )
-    rows = join_bounded(usable, chosen, ["lang", "order"], "inner").distinct().collect()
-    languages = sorted({row.lang for row in rows})
-    most = min(s.letters, s.total_letters // max(1, len(languages)))
+    # One character more than is taken tells whether the last word may be cut.
+    begun = F.substring(F.regexp_extract("text", r"(?s)\p{L}.*", 0), 1, s.longest + 1)
+    found = join_bounded(usable, chosen, ["lang", "order"], "inner").select(
+        "lang", "order", begun.alias("text")
+    )
+    plain = F.regexp_replace(F.substring("text", 1, s.longest), r"\P{L}+", " ")
+    earlier = Window.partitionBy("lang").orderBy("order", "text").rowsBetween(Window.unboundedPreceding, -1)
+    rows = (
+        found.distinct()
+        .withColumn("cut", F.substring("text", s.longest, 2).rlike(r"^\p{L}{2}$"))
+        .withColumn("plain", plain)
+        .withColumn("before", F.coalesce(F.sum(F.length("plain")).over(earlier), F.lit(0)))
+        .where(F.col("before") < s.letters)
+        .select("lang", "before", "plain", "cut")
+        .collect()
+    )
     samples = []
-    for language in languages:
-        parts, left = [], most
-        for row in sorted((r for r in rows if r.lang == language), key=lambda r: (r.order, r.text)):
-            points = normal_letters(row.text)
-            if len(points) < left:
+    for language in sorted({row.lang for row in rows}):
+        parts, left = [], s.letters
+        for row in sorted((r for r in rows if r.lang == language), key=lambda r: r.before):
+            points = _whole_words(normal_letters(row.plain), left, row.cut)
+            if len(points):
                 parts.append("".join(chr(p) if p else " " for p in points.tolist()))
                 left -= len(points) + 1
+            if left <= 0:
+                break
         if parts:
             samples.append((language, " ".join(parts)))
     return tuple(samples)
 
 
+def _whole_words(points: np.ndarray, most: int, cut: bool) -> np.ndarray:
+    """The first words of up to ``most`` points; ``cut`` if the last is a piece of one.
+
+    Where the first word alone is too long, or cut, a piece of it.
+    """
+    if len(points) > most:
+        cut = points[most] != 0
+        points = points[:most]
+    if cut:
+        ends = np.flatnonzero(points == 0)
+        points = points[: ends[-1]] if len(ends) else points
+    return points
+
+
 def identify(
     docs: DataFrame, learned: tuple[tuple[str, str], ...], s: SampleSettings = SampleSettings()
 ) -> DataFrame:
