@@ -292,6 +292,14 @@ def test_every_language_is_learned_whatever_their_number(spark):
     assert judged.where("lang_pred = lang").count() == 120
 
 
+def test_copies_take_one_place_of_a_sample(spark):
+    texts = [words(20, 900 + i) for i in range(60)]
+    rows = [("en", text) for text in texts] + [("en", text) for text in texts[:10] for _ in range(300)]
+    learned = language_id.learn(spark.createDataFrame(rows, "lang string, text string"), language_id.SampleSettings())
+    alone = language_id.learn(spark.createDataFrame(rows[:60], "lang string, text string"), language_id.SampleSettings())
+    assert learned == alone and len(learned[0][1]) > 60 * 20
+
+
 def test_languages_on_odd_rows(spark, docs, none):
     texts = {"en": "the cat and the dog went with this house of that", "de": "der hund und die katze gehen mit dem haus von dem"}
     rows = []

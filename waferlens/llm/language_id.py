@@ -263,10 +263,10 @@ def learn(docs: DataFrame, s: SampleSettings) -> tuple[tuple[str, str], ...]:
     order = Window.partitionBy("lang").orderBy("order")
     chosen = staged(
         usable.select("lang", "order")
+        .distinct()
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= s.rows)
-        .select("lang", "order")
-        .distinct(),
+        .select("lang", "order"),
         "language-sample",
     )
     # One character more than is taken tells whether the last word may be cut.
