@@ -496,6 +496,29 @@ def test_near_duplicates_equal_brute_force(docs, rows, number):
     assert collected(ngram_join.near_duplicates(docs, s)) == sorted(brute_components(rows, s), key=repr)
 
 
+def test_rows_of_one_id_meet_only_their_own_class(spark):
+    """100 near copies without an id, 100 with one id, each row three times: no pairs."""
+    rows = []
+    for i in range(100):
+        for first, own_id in ((0, None), (200, 7)):
+            text = words(90, 4).split()
+            text[(i + first) % 90] = f"own{first + i}"
+            rows += [(own_id, " ".join(text))] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2).localCheckpoint()
+    s = ngram_join.JoinSettings()
+    classes = {r["class"] for r in ngram_join.profile(df, s).where("class is not null").collect()}
+    wanted = (
+        ngram_join.profile(df, s).where("class is not null").select("class", "doc_id", "text_key").distinct()
+        .withColumn("component", F.lit(1).cast("long"))
+    )
+    assert len(classes) == 200 and wanted.count() == 200
+    assert ngram_join.class_texts(df, wanted).count() <= 400
+    sets = ngram_join.class_sets(df, wanted, s)
+    assert sets.count() == 200 and {r["class"] for r in sets.collect()} == classes
+    found = ngram_join.near_duplicates(df)
+    assert found.count() == 600 and found.where("component_id = 7").count() == 600
+
+
 def test_one_document_of_each_component_stays(docs, rows, none):
     kept = ngram_join.keep_first(docs)
     assert kept.columns == docs.columns

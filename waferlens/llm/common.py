@@ -116,14 +116,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage_table(df, f"llm-{name}")
 
 
-def squeezed(docs: DataFrame) -> DataFrame:
-    """The other columns, and ``text`` compressed as ``small``, for the way through a shuffle."""
+def squeezed(docs: DataFrame, once: Sequence[str] = ()) -> DataFrame:
+    """The other columns, and ``text`` compressed as ``small``, for the way through a shuffle.
+
+    Rows that are equal in the columns ``once`` go once from a task, or a few times.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=1).compress
+        gone: set[tuple] = set()
         for batch in batches:
+            if once:
+                first = []
+                for key in zip(*(batch.column(name).to_pylist() for name in once), strict=True):
+                    first.append(key not in gone)
+                    gone.add(key)
+                batch = batch.filter(pa.array(first, pa.bool_()))
+                if len(gone) > 200_000:
+                    gone.clear()
             small = [pack(text or b"") for text in text_bytes(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(small, pa.binary())],

@@ -261,8 +261,9 @@ def profile(docs: DataFrame, s: JoinSettings) -> DataFrame:
                 pa.array([*(bitmap_bytes(x) if len(x) else None for x in sets), None], pa.binary()),
                 pa.array([None] * rows + [signed(seen)], pa.list_(pa.int64())),
                 pa.array([None] * rows + [counts], pa.list_(pa.int64())),
+                pa.concat_arrays([batch.column(2), pa.nulls(1, pa.int64())]),
             ],
-            names=["doc_id", "n_shingles", "class", "bitmap", "seen", "counts"],
+            names=["doc_id", "n_shingles", "class", "bitmap", "seen", "counts", "text_key"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,10 +271,10 @@ def profile(docs: DataFrame, s: JoinSettings) -> DataFrame:
             for at in range(0, whole.num_rows, PROFILE_ROWS):
                 yield described(whole.slice(at, PROFILE_ROWS))
 
-    return docs.mapInArrow(
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
         run,
         "doc_id long, n_shingles long, class long, bitmap binary,"
-        " seen array<long>, counts array<long>",
+        " seen array<long>, counts array<long>, text_key long",
     )
 
 
@@ -412,20 +413,37 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
 # --- whole sets ------------------------------------------------------------------
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, s: JoinSettings) -> DataFrame:
-    """Size, bitmap and shingles of each wanted class, from the document that stands for it.
+def class_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(component, class, small): the text, compressed, that stands for each wanted class.
 
-    ``wanted`` has ``class``, ``doc_id`` and ``component``. A repeated document
-    id can give a class twice. Texts go through the shuffle compressed.
+    ``wanted`` has ``class``, ``doc_id``, ``text_key`` and ``component``. Rows meet a
+    class by id and hash of the text, so those without an id, or with one id, do not
+    meet all classes that have it. A repeated row can give a class once from each task.
     """
+    ids = wanted.select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "class", "component"
+    ).hint("shuffle_hash")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    chosen = squeezed(keyed, ("doc_id", "text_key")).join(
+        ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    )
+    return chosen.select("component", "class", "small")
+
+
+def class_sets(docs: DataFrame, wanted: DataFrame, s: JoinSettings) -> DataFrame:
+    """Size, bitmap and shingles of each wanted class, from the text that stands for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = unsqueezer()
+        done: set[int] = set()  # of repeated rows one is enough
         for batch in batches:
             rows = []
             for component, own, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own in done:
+                    continue
                 found = shingle_set(unpack(blob), s.shingle)
                 if len(found) and set_class(found) == own:
+                    done.add(own)
                     shingles = found.astype("<u8").tobytes()
                     rows.append((component, own, len(found), bitmap_bytes(found), shingles))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
@@ -435,9 +453,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, s: JoinSettings) -> DataFrame
                 names=["component", "class", "size", "bitmap", "shingles"],
             )
 
-    ids = wanted.select(F.col("doc_id").alias("_id"), "class", "component").hint("shuffle_hash")
-    chosen = squeezed(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return chosen.select("component", "class", "small").mapInArrow(
+    return class_texts(docs, wanted).mapInArrow(
         run, "component long, class long, size int, bitmap binary, shingles binary"
     )
 
@@ -643,14 +659,16 @@ def link_classes(docs: DataFrame, profiled: DataFrame, s: JoinSettings) -> DataF
         profiled.where(F.col("class").isNotNull())
         .groupBy("class")
         .agg(
-            F.min("doc_id").alias("doc_id"),
+            # Rows with an id first.
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("stands"),
             F.first("n_shingles").cast("int").alias("size"),
             F.first("bitmap").alias("bitmap"),
-        ),
+        )
+        .select("class", "stands.doc_id", "stands.text_key", "size", "bitmap"),
         "classes",
     )
     groups = staged(components(possible_edges(lists, classes, s)), "groups")
-    wanted = classes.select("class", "doc_id").join(groups.withColumnRenamed("node", "class"), "class")
+    wanted = classes.select("class", "doc_id", "text_key").join(groups.withColumnRenamed("node", "class"), "class")
     sets = staged(class_sets(docs, wanted, s), "class-sets")
     proven = staged(proven_blocks(sets, s), "proven")
     found = proven.where(F.col("right").isNotNull()).select("left", "right")
