@@ -360,6 +360,17 @@ def test_sparse_sites_shrink_to_their_parents(spark):
     assert abs(post["h0", "p"] - prior) < 0.05
 
 
+def test_labels_without_documents_take_no_place_of_the_sample(spark):
+    documents = [(i, f"text number {i}") for i in range(100)] + [(7, f"again {i}") for i in range(500)]
+    labels = [(i, i % 2, i % 3 % 2) for i in [*range(100), *range(1_000, 6_000)]] + [(5, 0, 1)] * 300
+    df = spark.createDataFrame(documents + [(200, None)], "doc_id long, text string")
+    given = spark.createDataFrame(labels + [(200, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for most, expected in ((50, 50), (300, 100)):
+        sample = site_quality.labelled_sample(df, given, site_quality.QualitySettings(sample_rows=most)).collect()
+        assert len(sample) == expected == len({r["_id"] for r in sample})
+    assert next(r for r in sample if r["_id"] == 5)["toxic"]
+
+
 def test_quality_on_odd_rows(spark, docs, none):
     labels = spark.createDataFrame(
         [(0, 1, 0), (3, 0, None), (6, None, 1), (None, 0, 1), (21, 1, 0), (21, 0, 0)],

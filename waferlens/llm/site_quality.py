@@ -156,17 +156,26 @@ def family_of(text: bytes) -> int:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, s: QualitySettings) -> DataFrame:
-    """Texts of at most ``sample_rows`` labelled documents with family and targets."""
+    """Texts of at most ``sample_rows`` labelled documents with family and targets.
+
+    Labels of ids that have no text are left out before the sample is taken. An id
+    counts once: with any of its labels, and the text whose hash is least.
+    """
     usable = labels.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("_id"),
         F.coalesce(F.col("toxic") == 1, F.lit(False)).alias("toxic"),
         F.coalesce(F.col("quality") == 0, F.lit(False)).alias("low"),
-    )
+    ).groupBy("_id").agg(*(F.max(target).alias(target) for target in TARGETS))
     order = [F.xxhash64("_id"), "_id", *TARGETS]
-    sample = staged(usable.orderBy(*order).limit(s.sample_rows), "label-sample")
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("text"))
-    # The sample has a fixed bound, so it may be broadcast. A repeated id counts once a row.
-    joined = texts.where(F.col("text").isNotNull()).join(F.broadcast(sample), "_id")
+    texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("_id"), "text")
+    present = texts.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.count(F.lit(1)).alias("_rows"))
+    found = usable.join(present, "_id").orderBy(*order).limit(s.sample_rows)
+    sample = staged(found, "label-sample")
+    # The sample has a fixed bound, so it may be broadcast.
+    joined = texts.join(F.broadcast(sample.drop("_rows")), "_id")
+    if sample.where(F.col("_rows") > 1).limit(1).count():
+        first = F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+        joined = joined.groupBy("_id", *TARGETS).agg(first).select("text", "_id", *TARGETS)
 
     def compute(columns: list[pa.Array]) -> list[pa.Array]:
         return [pa.array([family_of(text) for text in text_bytes(columns[0])], pa.int64())]
