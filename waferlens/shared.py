@@ -64,6 +64,13 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete what lies under a path of the shared folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    place.getFileSystem(settings).delete(place, True)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Remove the tables that were staged inside the block when it ends.
@@ -78,6 +85,4 @@ def staging(spark: SparkSession) -> Iterator[None]:
     finally:
         _staging.remove(paths)
         for path in paths:
-            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            settings = spark.sparkContext._jsc.hadoopConfiguration()
-            place.getFileSystem(settings).delete(place, True)
+            remove_path(spark, path)
