@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from waferlens.llm import (
+    bpe,
     decontaminate,
     fingerprint,
     html_text,
     language_id,
+    merkle,
     ngram_join,
     packing,
     secret_scan,
     site_quality,
     substring,
     url_filter,
+    vector_codes,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +83,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof against the manifest of all, after some were tampered with."""
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's token ids and of the text that they decode to."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code, its error, the error of its label, the codebooks' digest."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_fingerprints": op2_fingerprints,
@@ -91,9 +109,14 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_byte_pairs": op12_byte_pairs,
+    "op13_vector_codes": op13_vector_codes,
 }
 
-# Hashes, compressed sizes and tokenisers have no SQL form; those queries are tested by brute force.
+# Compressed sizes, tokenisers and fitted models have no SQL form; the rest is tested by brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": url_filter.SQL,
+    "op11_merkle_manifest": merkle.sql(),
+    "op13_vector_codes": vector_codes.sql(),
 }
