@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waferlens.config import UNKNOWN_STATUS, PipelineConfig
@@ -34,6 +34,18 @@ def _tallies(config: PipelineConfig):
     return tested, failed, tested - failed
 
 
+def daily_kpis(config: PipelineConfig) -> list[Column]:
+    """The aggregates of one test day, for batches and streams."""
+    tested, failed, passed = _tallies(config)
+    return [
+        tested.alias("wafer_count"),
+        failed.alias("fail_count"),
+        passed.alias("pass_count"),
+        percentage(failed, tested).alias("fail_rate_pct"),
+        percentage(passed, tested).alias("yield_rate_pct"),
+    ]
+
+
 def daily_yield(
     staged: DataFrame, config: PipelineConfig = PipelineConfig(), stored: bool = False
 ) -> DataFrame:
@@ -44,17 +56,12 @@ def daily_yield(
     """
     if stored:
         staged = staged.where(F.col("tested_at").isNotNull())
-    tested, failed, passed = _tallies(config)
     return (
         staged.select(F.col("tested_at").cast("date").alias("test_date"), "is_fail")
         .groupBy("test_date")
         .agg(
             F.count("test_date").alias("_timed"),
-            tested.alias("wafer_count"),
-            failed.alias("fail_count"),
-            passed.alias("pass_count"),
-            percentage(failed, tested).alias("fail_rate_pct"),
-            percentage(passed, tested).alias("yield_rate_pct"),
+            *daily_kpis(config),
         )
         .where("_timed > 0")
         .drop("_timed")

@@ -11,7 +11,7 @@ from waferlens.functions.columns import BLANK_CHARACTERS
 from waferlens.plans.checks import PIPELINE_CHECKS
 from waferlens.operators.search import DIMENSIONS
 from waferlens.operators.train import DEPTH, TREES
-from waferlens.plans.queries import BUILT_AT, COLLECTION, CONFIG, ENCODER, QUESTIONS
+from waferlens.plans.queries import BUILT_AT, COLLECTION, CONFIG, ENCODER, LATE_EVERY, QUESTIONS
 
 CHANNELS = 64
 FEATURES = feature_names(CONFIG.top_sensors)
@@ -95,6 +95,24 @@ STEPS = {
                case pass_fail_raw when 1 then 0 when -1 then 1 end as is_fail,
                try_strptime(timestamp_str, '%d/%m/%Y %H:%M:%S') as tested_at
         from log""",
+    "keyed": f"""
+        select *, wafer_id % 89 <> 0 as readable, wafer_id % {LATE_EVERY} = 0 as late from log""",
+    "timed": f"""
+        select tested.*, wafer_id % {LATE_EVERY} = 0 as late
+        from tested where tested_at is not null and wafer_id % 89 <> 0""",
+    # How far the stream had got after its first delivery, and after the last one.
+    "marks": """
+        select max(tested_at) filter (where not late) - interval 2 days as middle,
+               max(tested_at) - interval 2 days as final from timed""",
+    "in_time": """
+        select timed.* from timed, marks
+        where not late or tested_at::date + interval 1 day > middle""",
+    "closed": f"""
+        select tested_at::date as test_date, count(*) as wafer_count,
+               sum(is_fail)::bigint as fail_count, (count(*) - sum(is_fail))::bigint as pass_count,
+               {pct("sum(is_fail)", "count(*)")} as fail_rate_pct,
+               {pct("count(*) - sum(is_fail)", "count(*)")} as yield_rate_pct
+        from in_time group by all""",
     "daily": f"""
         select tested_at::date as test_date, count(*) as wafer_count,
                sum(is_fail)::bigint as fail_count, (count(*) - sum(is_fail))::bigint as pass_count,
@@ -357,6 +375,19 @@ ORACLE_SQL: dict[str, str] = {
     "mart_read": query(MART, "from mart order by wafer_id"),
     "label_staging": query(LABELS, "from tested"),
     "daily_yield": query([*LABELS, "daily"], "from daily order by test_date"),
+    "streamed_labels": query(
+        ["log", "keyed"],
+        """select case when readable then wafer_id end as wafer_id,
+                  case when readable then pass_fail_raw end as pass_fail_raw,
+                  case when readable then timestamp_str end as timestamp_str, readable,
+                  case when not readable
+                       then wafer_id || chr(9) || 'none "' || timestamp_str || '"' end as value
+           from keyed""",
+    ),
+    "streamed_daily_yield": query(
+        [*LABELS, "timed", "marks", "in_time", "closed"],
+        "select closed.* from closed, marks where test_date + interval 1 day <= final",
+    ),
     "yield_summary": query([*LABELS, "overall"], "from overall"),
     "dq_not_null": query(
         LABELS,

@@ -33,6 +33,8 @@ from waferlens.plans.checks import PIPELINE_CHECKS
 from waferlens.plans.pipeline import ENCODER_NAME
 from waferlens.shared import scratch_path, stage_table
 from waferlens.sources import documents, labels, matrix, ordinals, tables
+from waferlens.streaming import labels as label_streams
+from waferlens.streaming import yields as yield_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -358,6 +360,46 @@ def dq_report(spark, sf_dir) -> DataFrame:
     )
 
 
+# --- streams ----------------------------------------------------------------------------------
+
+# Deliveries of the streamed log: one label in so many comes after all others.
+LATE_EVERY = 50
+
+
+def deliver_labels(spark, sf_dir, folder: str, late: bool) -> None:
+    """Append one delivery of label log files with wafer keys; some labels are unreadable."""
+    label = F.when(F.col("wafer_id") % 89 == 0, "none").otherwise(F.col("pass_fail_raw").cast("string"))
+    line = F.concat(
+        F.col("wafer_id").cast("string"), F.lit("\t"), label, F.lit(' "'), "timestamp_str", F.lit('"')
+    )
+    delivered = raw_labels(spark, sf_dir).where((F.col("wafer_id") % LATE_EVERY == 0) == late)
+    delivered.select(line.alias("value")).write.mode("append").text(folder)
+
+
+def streamed_labels(spark, sf_dir) -> DataFrame:
+    """The label table that a stream appends to: ended after the first delivery, then resumed."""
+    folder, path, checkpoint = (
+        scratch_path(spark, name) for name in ("label-log", "streamed-labels", "label-checkpoint")
+    )
+    for late in (False, True):
+        deliver_labels(spark, sf_dir, folder, late)
+        label_streams.ingest_labels(spark, folder, path, checkpoint).awaitTermination()
+    return spark.read.parquet(path)
+
+
+def streamed_daily_yield(spark, sf_dir) -> DataFrame:
+    """The KPIs of closed days from the same deliveries; what comes for a closed day is late."""
+    folder, path, checkpoint = (
+        scratch_path(spark, name) for name in ("label-log", "streamed-yield", "yield-checkpoint")
+    )
+    for late in (False, True):
+        deliver_labels(spark, sf_dir, folder, late)
+        read = label_streams.accepted(label_streams.label_stream(spark, folder))
+        days = yield_streams.daily_yield_stream(yields.stage_labels(read, CONFIG), CONFIG)
+        label_streams.append_stream(days, path, checkpoint).awaitTermination()
+    return spark.read.parquet(path)
+
+
 # --- evaluation and training ----------------------------------------------------------------
 
 
@@ -617,6 +659,8 @@ QUERIES: dict[str, Query] = {
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted_values,
     "dq_report": dq_report,
+    "streamed_labels": streamed_labels,
+    "streamed_daily_yield": streamed_daily_yield,
     "confusion_matrix": confusion_matrix,
     "binary_prf": binary_prf,
     "classification_report": classification_report,
