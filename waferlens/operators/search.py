@@ -215,6 +215,13 @@ def knn_search(
         found = _nearest_of_blocks(
             documents, asked, k, document_id, query_id, vector, rows_per_block, schema
         )
+    return merge_hits(found, k, document_id, query_id)
+
+
+def merge_hits(
+    found: DataFrame, k: int, document_id: str = "id", query_id: str = "query_id"
+) -> DataFrame:
+    """The k least distances of each query, ranked in two steps, equal ones by document id."""
     by_query = Window.partitionBy(query_id).orderBy("distance", document_id)
     by_part = Window.partitionBy(query_id, "_part").orderBy("distance", document_id)
     parted = found.withColumn("_part", F.pmod(F.xxhash64(document_id), F.lit(MERGE_PARTS)))
@@ -223,7 +230,8 @@ def knn_search(
     return ranked.select(query_id, "rank", document_id, "distance")
 
 
-def _points(vectors: pa.Array, width: int) -> np.ndarray:
+def as_matrix(vectors: pa.Array, width: int) -> np.ndarray:
+    """Vectors of one width as the rows of a matrix."""
     if not pc.all(pc.equal(pc.list_value_length(vectors), width), skip_nulls=False).as_py():
         raise ValueError(f"documents need vectors of {width} numbers like the queries")
     return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width).astype(np.float64)
@@ -262,7 +270,7 @@ def _nearest_of_few(targets: list[tuple], k: int, schema: T.StructType):
         for batch in batches:
             if batch.num_rows == 0 or not targets:
                 continue
-            points = _points(batch.column(1), len(targets[0][1]))
+            points = as_matrix(batch.column(1), len(targets[0][1]))
             for place, (_, target) in enumerate(targets):
                 kept, limit = best[place], np.inf
                 if kept is not None and kept.num_rows == k:
@@ -332,10 +340,10 @@ def _nearest_of_blocks(
                     continue
                 if not parts:
                     continue
-                targets = _points(vectors, len(vectors[0]))
+                targets = as_matrix(vectors, len(vectors[0]))
                 if points is None:
                     documents_here = pa.concat_arrays(ids)
-                    points = np.concatenate([_points(p, targets.shape[1]) for p in parts])
+                    points = np.concatenate([as_matrix(p, targets.shape[1]) for p in parts])
                 for query, target in zip(rows.column("_query").to_pylist(), targets, strict=True):
                     found = _least(documents_here, points, target, k, np.inf)
                     if found.num_rows:

@@ -11,7 +11,7 @@ from waferlens.functions.columns import BLANK_CHARACTERS
 from waferlens.plans.checks import PIPELINE_CHECKS
 from waferlens.operators.search import DIMENSIONS
 from waferlens.operators.train import DEPTH, TREES
-from waferlens.plans.queries import BUILT_AT, COLLECTION, CONFIG, ENCODER, LATE_EVERY, QUESTIONS
+from waferlens.plans.queries import BUILT_AT, COLLECTION, CONFIG, ENCODER, LATE_EVERY, NEIGHBOURS, QUESTIONS
 
 CHANNELS = 64
 FEATURES = feature_names(CONFIG.top_sensors)
@@ -462,6 +462,10 @@ ORACLE_SQL: dict[str, str] = {
         f"""select '{COLLECTION}' as collection, count(*) as document_count,
                    '{ENCODER}' as embedding_model from corpus""",
     ),
+    "knn_approximate": f"""
+        select vec_id as query_id, least({NEIGHBOURS}, (select count(*) - 1 from embeddings)) as neighbours,
+               true as distances_hold, true as recall_reached
+        from embeddings where vec_id % 20 = 0""",
     "knn_search": query(
         SEARCH, "select query_id, rank, id, round(distance, 6) as distance from neighbours"
     ),

@@ -22,6 +22,7 @@ from waferlens.operators import (
     evaluate,
     features,
     impute,
+    neighbours,
     quality,
     reshape,
     search,
@@ -42,6 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONFIG = PipelineConfig(max_null_fraction=0.09)
 LINE = "\n"
 BUILT_AT = "2024-01-02 03:04:05"
+NEIGHBOURS = 10
 COLLECTION, ENCODER = "catalog", ENCODER_NAME
 QUESTIONS = [
     "which documents describe the training table",
@@ -597,6 +599,32 @@ def knn_search(spark, sf_dir) -> DataFrame:
     return _centre_neighbours(spark, sf_dir).withColumns(rounded("distance"))
 
 
+def knn_approximate(spark, sf_dir) -> DataFrame:
+    """Each twentieth vector's neighbours by hash tables: how many, and whether they hold.
+
+    Distances must be those of the vectors, and nine tenths of all exact
+    neighbours must be found, not counting the vector itself.
+    """
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    asked = vectors.where("id % 20 = 0").withColumnRenamed("id", "query_id")
+    others = F.col("id") != F.col("query_id")
+    found = neighbours.knn_approximate(vectors, asked, NEIGHBOURS + 1).where(others)
+    exact = search.knn_search(vectors, asked, NEIGHBOURS + 1).where(others)
+    first = F.col("rank") <= NEIGHBOURS + 1
+    share = neighbours.recall_of(found, exact.where(first)).first()["recall"]
+    target = asked.withColumnRenamed("embedding", "_target")
+    gap = F.zip_with("embedding", "_target", lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
+    again = F.aggregate(gap, F.lit(0.0), lambda total, part: total + part)
+    return (
+        found.join(vectors, "id")
+        .join(target, "query_id")
+        .withColumn("_holds", F.abs(again - F.col("distance")) < 1e-9)
+        .groupBy("query_id")
+        .agg(F.count(F.lit(1)).alias("neighbours"), F.bool_and("_holds").alias("distances_hold"))
+        .withColumn("recall_reached", F.lit(share >= 0.9))
+    )
+
+
 def search_hits(spark, sf_dir) -> DataFrame:
     entries = [F.lit("source"), F.col("source"), F.lit("lang"), F.col("lang")]
     typed = F.create_map(*entries, F.lit("type"), F.col("lang"))
@@ -678,6 +706,7 @@ QUERIES: dict[str, Query] = {
     "index_manifest": index_manifest,
     "embed_text": embed_text,
     "knn_search": knn_search,
+    "knn_approximate": knn_approximate,
     "search_hits": search_hits,
     "text_search": text_search,
 }
