@@ -14,6 +14,11 @@ from waferlens.shared import materialise, stage_table
 
 # The built-in median holds a channel's distinct values in one task's memory.
 IN_MEMORY_VALUES = 100_000
+# Values a quantile sketch keeps of a channel, and the share of ranks on each side of the
+# middle that its bracket takes: more than its error in 99 of 100 cases.
+SKETCH_VALUES, BRACKET = 400, 0.01
+# Up to this many channels are sketched; a sketch is some kilobytes for each channel and task.
+SKETCHED_CHANNELS = 10_000
 # Bins a channel's range is cut into, and how often the bin around the median is cut again.
 BINS = 256
 NARROWINGS = 4
@@ -38,13 +43,15 @@ def channel_median(
     spread: DataFrame | None = None,
     in_memory_values: int = IN_MEMORY_VALUES,
     single_task_rows: int = SINGLE_TASK_ROWS,
+    sketched_channels: int = SKETCHED_CHANNELS,
 ) -> DataFrame:
     """Exact interpolating median of the non-null readings of every channel.
 
     ``spread`` takes the ``value_spread`` columns of an earlier profile, which
     saves a scan; only its channels are computed. Where channels are small the
-    built-in median does it; otherwise the median is narrowed down by counting,
-    so a channel of any size is spread over all tasks.
+    built-in median does it; otherwise the median is bracketed by a sketch, or
+    by counts where there are too many channels, so a channel of any size is
+    spread over all tasks.
     """
     given = spread is not None
     if not given:
@@ -57,9 +64,77 @@ def channel_median(
                 wanted = F.broadcast(wanted)
             readings = readings.join(wanted, sensor, "left_semi")
         return readings.groupBy(sensor).agg(F.median(reading).alias(name))
+    if sizes[1] <= sketched_channels:
+        return sketched_median(readings, sensor, reading, name, spread, single_task_rows)
     return counted_median(readings, spread, sensor, reading, name, single_task_rows)
 
 
+def _copied(readings: DataFrame, wanted: DataFrame | None, sensor: str, reading: str) -> DataFrame:
+    """Channel and value of the wanted channels, written out once and read instead of the table."""
+    values = readings.select(sensor, F.col(reading).cast("double").alias("_value"))
+    if wanted is not None:
+        few = wanted.count() <= BROADCAST_CHANNELS
+        values = values.join(F.broadcast(wanted) if few else wanted, sensor, "left_semi")
+    return stage_table(values, "channel-values")
+
+
+def sketched_median(
+    readings: DataFrame,
+    sensor: str = "sensor_id",
+    reading: str = "reading_value",
+    name: str = "sensor_median",
+    wanted: DataFrame | None = None,
+    single_task_rows: int = SINGLE_TASK_ROWS,
+) -> DataFrame:
+    """Exact median of channels of any size: a sketch says where to look, counts decide.
+
+    The table is read once, to copy channel and value. One pass over the copy
+    gives each channel's size and a bracket around its middle, from a quantile
+    sketch that combines map-side. A second pass counts the values below the
+    bracket, and those in it one by one; the middle ranks are looked up in the
+    running counts. A channel whose middle was not in its bracket, or that holds
+    NaN, goes to ``counted_median``: a poor sketch costs passes, never exactness.
+    """
+    channels = None if wanted is None else wanted.select(sensor)
+    copy = _copied(readings, channels, sensor, reading)
+    sketch = F.kll_sketch_agg_double("_value", F.lit(SKETCH_VALUES))
+    sketched = copy.groupBy(sensor).agg(
+        F.count("_value").alias("_rows"),
+        F.count(F.when(F.isnan("_value"), 1)).alias("_nans"),
+        sketch.alias("_sketch"),
+    )
+    at = lambda rank: F.kll_sketch_get_quantile_double("_sketch", F.lit(rank))
+    usable = (F.col("_rows") > 0) & (F.col("_nans") == 0)
+    state = materialise(
+        sketched.select(
+            sensor,
+            "_rows",
+            F.floor((F.col("_rows") + 1) / 2).alias("_lower_rank"),
+            F.floor((F.col("_rows") + 2) / 2).alias("_upper_rank"),
+            F.lit(0).cast("long").alias("_before"),
+            F.when(usable, at(0.5 - BRACKET)).alias("_from"),
+            F.when(usable, at(0.5 + BRACKET)).alias("_to"),
+        )
+    )
+    few = state.count() <= BROADCAST_CHANNELS
+    bounds = state.select(sensor, "_from", "_to")
+    placed = copy.join(F.broadcast(bounds) if few else bounds, sensor).where(
+        F.col("_value") <= F.col("_to")
+    )
+    # All values below the bracket are one row, which comes first.
+    inside = F.when(F.col("_value") >= F.col("_from"), F.col("_value"))
+    counted = placed.groupBy(sensor, inside.alias("_value")).agg(F.count(F.lit(1)).alias("_times"))
+    found = materialise(_looked_up(counted, state, sensor, name, single_task_rows))
+    missed = state.join(found.where(F.col(name).isNull()), sensor, "left_semi").where("_rows > 0")
+    if missed.isEmpty():
+        return found
+    missed = missed.select(sensor)
+    again = copy.join(F.broadcast(missed) if few else missed, sensor, "left_semi")
+    spread = materialise(value_spread(again, sensor, "_value"))
+    counts = counted_median(again, spread, sensor, "_value", name, single_task_rows)
+    return found.join(missed, sensor, "left_anti").unionByName(counts)
+
+
 def counted_median(
     readings: DataFrame,
     spread: DataFrame,
@@ -80,14 +155,7 @@ def counted_median(
     The readings of the wanted channels are written out once, as channel and
     value; all passes after that read this copy and not the whole table.
     """
-    values = readings.select(sensor, F.col(reading).cast("double").alias("_value")).where(
-        F.col("_value").isNotNull()
-    )
-    wanted = spread.select(sensor)
-    bounded = spread.count() <= BROADCAST_CHANNELS
-    values = stage_table(
-        values.join(F.broadcast(wanted) if bounded else wanted, sensor, "left_semi"), "channel-values"
-    )
+    values = _copied(readings.where(F.col(reading).isNotNull()), spread.select(sensor), sensor, reading)
     spare = F.coalesce("reading_stddev", F.lit(0.0))
     state = materialise(
         spread.select(
@@ -117,6 +185,17 @@ def counted_median(
         state = materialise(_narrowed(inside(state), state, sensor))
 
     counted = inside(state).groupBy(sensor, "_value").agg(F.count(F.lit(1)).alias("_times"))
+    return _looked_up(counted, state, sensor, name, single_task_rows)
+
+
+def _looked_up(
+    counted: DataFrame, state: DataFrame, sensor: str, name: str, single_task_rows: int
+) -> DataFrame:
+    """The median of each channel of ``state``: the values at its middle ranks.
+
+    ``counted`` holds how often a value occurs, from the rank after ``_before``
+    on; NULL if the ranks are not there.
+    """
     upto = running_sum(counted, [sensor, "_value"], "_times", "_upto", single_task_rows)
     start = upto.groupBy(sensor).agg(
         F.min(F.col("_upto") - F.col("_times")).alias("_start")

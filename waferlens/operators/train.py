@@ -11,10 +11,11 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waferlens.config import FEATURE_PREFIX
+from waferlens.functions.columns import map_label
 from waferlens.operators.impute import channel_median
 from waferlens.operators.ordering import global_rank
 from waferlens.shared import materialise
@@ -63,6 +64,34 @@ def class_counts(df: DataFrame, target: str) -> tuple[DataFrame, int, int]:
     return counted, rows or 0, classes
 
 
+def _key_digest(key: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+
+
+def hashed_split(
+    df: DataFrame,
+    key: str = "wafer_id",
+    target: str = "is_fail",
+    test_fraction: float | Mapping[object, float] = TEST_FRACTION,
+    seed: int = SEED,
+    name: str = "split",
+) -> DataFrame:
+    """Add ``name`` (train/test) by a threshold on the seeded hash of the key alone.
+
+    One projection: nothing is counted, shuffled or run before. A key is always
+    on the same side, however many rows are added, and the sizes are those
+    wanted but for chance, overall and per class. ``test_fraction`` may give
+    each class a share of its own (0 for classes it lacks). Rows without a
+    target are in neither set, those without a key in the training set.
+    """
+    shares = test_fraction if isinstance(test_fraction, Mapping) else None
+    share = F.lit(float(test_fraction)) if shares is None else map_label(F.col(target), shares, 0.0)
+    place = F.conv(F.substring(_key_digest(key, seed), 1, 8), 16, 10).cast("long")
+    in_test = place < F.round(share * 2**32)
+    side = F.when(in_test, F.lit("test")).otherwise(F.lit("train"))
+    return df.withColumn(name, F.when(F.col(target).isNotNull(), side))
+
+
 def stratified_split(
     df: DataFrame,
     key: str = "wafer_id",
@@ -70,6 +99,7 @@ def stratified_split(
     test_fraction: float = TEST_FRACTION,
     seed: int = SEED,
     name: str = "split",
+    exact: bool = True,
 ) -> DataFrame:
     """Add ``name`` (train/test) with exact sizes overall and per class, for unique keys.
 
@@ -79,8 +109,12 @@ def stratified_split(
     counts and one small bucket per class; assigning rows is then a map-side
     comparison, so no class is ever sorted. Rows without a target are in
     neither set and count for none: their ``name`` is NULL.
+
+    Unless ``exact``, this is ``hashed_split``, without any job before.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    if not exact:
+        return hashed_split(df, key, target, test_fraction, seed, name)
+    digest = _key_digest(key, seed)
     labelled = df.select(key, target).where(F.col(target).isNotNull())
     hashed = labelled.withColumn("_hash", digest)
     bucket = F.substring("_hash", 1, HASH_DIGITS)

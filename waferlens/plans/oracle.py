@@ -424,6 +424,12 @@ ORACLE_SQL: dict[str, str] = {
                    {pct("sum(quality)", "count(quality)")} as positive_rate_pct from split""",
     ),
     "stratified_split": query(["split"], "from split"),
+    "hashed_split": """
+        select doc_id, quality,
+               case when quality is null then null
+                    when ('0x' || substr(md5('42:' || doc_id), 1, 8))::bigint < round(0.2 * 4294967296)
+                    then 'test' else 'train' end as split
+        from labels""",
     "class_weights": """
         select quality, count(*) as class_rows,
                round(sum(count(*)) over ()::double / (count(*) over () * count(*)), 6) as class_weight
@@ -481,6 +487,10 @@ ORACLE_SQL: dict[str, str] = {
 TRAINED = [*MART, "labelled", "parted"]
 EMBEDDED = ["slots", "idf", "vectors"]
 ORACLE_SQL |= {
+    "distinct_users": """
+        select ts::date as day, count(distinct user_id) as users, true as within_bound,
+               true as merged_equals_one_pass from events group by 1
+        union all select null, count(distinct user_id), true, true from events""",
     "feature_stamp": query(MART, f"select wafer_id, timestamp '{BUILT_AT}' as feature_set_built_at from mart"),
     "feature_columns": query(
         MART,
@@ -529,7 +539,7 @@ ORACLE_SQL |= {
            from text_hits join documents using (doc_id)""",
     ),
 }
-for _name in ("channel_median", "channel_median_counted"):
+for _name in ("channel_median", "channel_median_counted", "channel_median_sketched"):
     ORACLE_SQL[_name] = query(
         [*READINGS, "medians"],
         "select sensor_id, sensor_median from medians",

@@ -26,6 +26,7 @@ from waferlens.operators import (
     quality,
     reshape,
     search,
+    sketches,
     train,
     yields,
 )
@@ -189,6 +190,42 @@ def ingest_audit(spark, sf_dir) -> DataFrame:
     return tables.ingest_audit(raw_matrix(spark, sf_dir), raw_readings(spark, sf_dir))
 
 
+def distinct_users(spark, sf_dir) -> DataFrame:
+    """Users of each day, and of all days, from sketches stored day by day in three loads.
+
+    Next to the exact counts: whether the estimate is within its bound, and
+    whether merging gives what one pass over all events gives.
+    """
+    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("date").alias("day"))
+    path, odd = scratch_path(spark, "user-sketches"), F.dayofmonth("day") % 2 == 1
+    for load in (events.where(odd), events.where(~odd), events.where(F.dayofmonth("day") < 5)):
+        sketches.store_sketches(sketches.distinct_sketches(load, "user_id", ["day"]), path, "day")
+    stored = spark.read.parquet(path).select(F.col("day").cast("date"), sketches.SKETCH)
+    total = sketches.merge_sketches(stored).withColumn("day", F.lit(None).cast("date"))
+    one_pass = sketches.distinct_sketches(events, "user_id").unionByName(
+        sketches.distinct_sketches(events, "user_id", ["day"]), allowMissingColumns=True
+    )
+    # A row for each day, whatever the events.
+    estimates = (
+        stored.unionByName(total)
+        .select("day", sketches.distinct_estimate().alias("_estimate"))
+        .join(
+            one_pass.select(F.col("day").alias("_day"), sketches.distinct_estimate().alias("_once")),
+            F.col("day").eqNullSafe(F.col("_day")),
+        )
+    )
+    exact = events.rollup("day").agg(F.countDistinct("user_id").alias("users"))
+    apart = F.abs(F.col("_estimate") - F.col("users"))
+    return exact.withColumnRenamed("day", "_of").join(
+        estimates, F.col("_of").eqNullSafe(F.col("day"))
+    ).select(
+        "day",
+        "users",
+        (apart <= sketches.error_bound() * F.col("users")).alias("within_bound"),
+        (F.col("_estimate") == F.col("_once")).alias("merged_equals_one_pass"),
+    )
+
+
 def melt_long(spark, sf_dir) -> DataFrame:
     return reshape.melt_columns(matrix.widen(raw_matrix(spark, sf_dir)))
 
@@ -255,10 +292,18 @@ def channel_median(spark, sf_dir) -> DataFrame:
 def channel_median_counted(spark, sf_dir) -> DataFrame:
     """The median of channels beyond one task's memory, forced on whatever size is given."""
     return impute.channel_median(
-        staged_readings(spark, sf_dir), in_memory_values=0, single_task_rows=1_000
+        staged_readings(spark, sf_dir),
+        in_memory_values=0,
+        single_task_rows=1_000,
+        sketched_channels=0,
     )
 
 
+def channel_median_sketched(spark, sf_dir) -> DataFrame:
+    """The median of channels of any size, from a sketched bracket and one count."""
+    return impute.sketched_median(staged_readings(spark, sf_dir), single_task_rows=1_000)
+
+
 def median_impute(spark, sf_dir) -> DataFrame:
     staged, fills = feature_parts(spark, sf_dir)
     return impute.median_impute(staged, fills, CONFIG)
@@ -431,6 +476,12 @@ def split_labels(spark, sf_dir) -> DataFrame:
     )
 
 
+def hashed_split(spark, sf_dir) -> DataFrame:
+    """The split that needs no counting: each labelled document by the hash of its id."""
+    labelled = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return train.stratified_split(labelled, "doc_id", "quality", exact=False)
+
+
 def label_profile(spark, sf_dir) -> DataFrame:
     return evaluate.label_profile(split_labels(spark, sf_dir), "quality", "split")
 
@@ -665,6 +716,7 @@ QUERIES: dict[str, Query] = {
     "parse_labels": parse_labels,
     "bronze_write": bronze_write,
     "ingest_audit": ingest_audit,
+    "distinct_users": distinct_users,
     "melt_long": melt_long,
     "nullify_sentinel": staged_readings,
     "channel_quality": channel_quality,
@@ -672,6 +724,7 @@ QUERIES: dict[str, Query] = {
     "selected_readings": selected_readings,
     "channel_median": channel_median,
     "channel_median_counted": channel_median_counted,
+    "channel_median_sketched": channel_median_sketched,
     "median_impute": median_impute,
     "wafer_features": wafer_features,
     "wafer_features_wide": wafer_features_wide,
@@ -695,6 +748,7 @@ QUERIES: dict[str, Query] = {
     "roc_auc": roc_auc,
     "label_profile": label_profile,
     "stratified_split": split_labels,
+    "hashed_split": hashed_split,
     "class_weights": class_weights,
     "metrics_record": metrics_record,
     "train_forest": train_forest,
