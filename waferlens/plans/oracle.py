@@ -487,6 +487,11 @@ ORACLE_SQL: dict[str, str] = {
 TRAINED = [*MART, "labelled", "parted"]
 EMBEDDED = ["slots", "idf", "vectors"]
 ORACLE_SQL |= {
+    "index_rebuild": """
+        select lang, count(*) as documents, any_value(english) as first_seen, any_value(n) as last_seen,
+               any_value(english + n) as stored, 2::bigint as versions
+        from documents, (select count(*) as n, count(*) filter (where lang = 'en') as english from documents)
+        group by lang""",
     "distinct_users": """
         select ts::date as day, count(distinct user_id) as users, true as within_bound,
                true as merged_equals_one_pass from events group by 1

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel
@@ -13,10 +12,13 @@ from waferlens.operators import dq, evaluate, features, impute, quality, reshape
 from waferlens.operators import search as catalog_search
 from waferlens.plans.checks import PIPELINE_CHECKS
 from waferlens.shared import stage_table, staging
-from waferlens.sources import documents, labels, matrix, tables
+from waferlens.sources import documents, labels, matrix, tables, versions
 from waferlens.sources.tables import BRONZE, INTERMEDIATE, MARTS, STAGING, write_table
 
 ENCODER_NAME = "hashed-tfidf"
+# Tables that are published together, in the schema of the marts.
+MART_COLLECTION, MART_NAMES = "marts", ("daily_yield", "yield_summary", "ml_features")
+INDEX_COLLECTION, INDEX_NAMES = "catalog", ("catalog_index", "catalog_manifest")
 DESCRIPTIONS = {
     "sensor_readings_wide": "Raw readings as they came, one row for each wafer, all channels in one array.",
     "sensor_readings_long": "Raw readings, one row for each wafer and channel.",
@@ -92,11 +94,23 @@ class TrainingRun:
     fills: dict[str, float]
 
 
-def _write(df: DataFrame, layer: str, name: str, root: str | None, stored: str | None = None) -> DataFrame:
-    """Write a table with its description; ``stored`` is its name until it is published."""
-    return write_table(
-        df, layer, stored or name, root, COLUMN_COMMENTS.get(name), DESCRIPTIONS[name]
-    )
+def _write(df: DataFrame, layer: str, name: str, root: str | None) -> DataFrame:
+    """Write a table with its description."""
+    return write_table(df, layer, name, root, COLUMN_COMMENTS.get(name), DESCRIPTIONS[name])
+
+
+def _add(df: DataFrame, layer: str, name: str, version: str, root: str | None) -> DataFrame:
+    """Write a version of a table with its description; readers see it when it is published."""
+    return versions.add(df, layer, name, version, root, COLUMN_COMMENTS.get(name), DESCRIPTIONS[name])
+
+
+def _publish(
+    spark: SparkSession, layer: str, collection: str, version: str, built: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """Make the written tables those that readers see, all at once, and remove old ones."""
+    versions.switch(spark, layer, collection, version, {n: df.columns for n, df in built.items()})
+    versions.clean_up(spark, layer, collection, list(built))
+    return {name: spark.table(f"{layer}.{name}") for name in built}
 
 
 def load_bronze(
@@ -163,19 +177,15 @@ def build_gold(
     root: str | None = None,
     prefix: str = "",
 ) -> dict[str, DataFrame]:
-    """Build the marts as candidates, check everything, and only then publish them.
-
-    Candidates lie beside the marts, under names of this run, and are renamed.
-    """
+    """Build the marts unseen, check everything, and only then publish them by one switch."""
     spark, layer = silver.labels.sparkSession, prefix + MARTS
-    candidates = {
+    version = versions.begin(spark, layer, MART_COLLECTION, MART_NAMES, root)
+    marts = {
         "daily_yield": yields.daily_yield(silver.labels, config, stored=True),
         "yield_summary": yields.yield_summary(silver.labels, config),
         "ml_features": features.ml_features(silver.features, silver.labels, config, built_at=built_at),
     }
-    run = uuid.uuid4().hex[:12]
-    stored = {name: f"{name}__{run}" for name in candidates}
-    built = {name: _write(df, layer, name, root, stored[name]) for name, df in candidates.items()}
+    built = {name: _add(df, layer, name, version, root) for name, df in marts.items()}
     report = dq.run_suite(
         {
             "staged_readings": silver.readings,
@@ -189,11 +199,9 @@ def build_gold(
     try:
         dq.require_clean(report)
     except dq.DataQualityError:
-        for name in stored.values():
-            spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+        versions.clean_up(spark, layer, MART_COLLECTION, MART_NAMES)
         raise
-    tables.publish(spark, layer, stored)
-    return {name: spark.table(f"{layer}.{name}") for name in stored}
+    return _publish(spark, layer, MART_COLLECTION, version, built)
 
 
 def train_and_evaluate(
@@ -214,20 +222,37 @@ def train_and_evaluate(
 
 
 def build_index(
-    spark: SparkSession, table_names: list[str], glossary_path: str, root: str | None = None
+    spark: SparkSession,
+    table_names: list[str],
+    glossary_path: str,
+    root: str | None = None,
+    prefix: str = "",
 ) -> tuple[DataFrame, catalog_search.TextEncoder]:
-    """Replace the search index: documents with vectors, and the encoder for queries."""
+    """Replace the search index: documents with vectors, and the encoder for queries.
+
+    Index and manifest are published by one switch; searches that run go on
+    with the index they began with.
+    """
     corpus = documents.catalog_corpus(
         documents.catalog_docs(documents.tables_catalog(spark, table_names)),
         documents.read_chunks(spark, glossary_path),
     )
+    return publish_index(corpus, root, prefix)
+
+
+def publish_index(
+    corpus: DataFrame, root: str | None = None, prefix: str = ""
+) -> tuple[DataFrame, catalog_search.TextEncoder]:
+    """Index any documents (id, text, metadata) in place of those indexed before."""
     if corpus.isEmpty():
         raise RuntimeError("no documents to index")
+    spark, layer = corpus.sparkSession, prefix + MARTS
+    version = versions.begin(spark, layer, INDEX_COLLECTION, INDEX_NAMES, root)
     embedded, encoder = catalog_search.fit_and_embed(corpus)
-    index = _write(embedded, MARTS, "catalog_index", root)
+    index = _add(embedded, layer, "catalog_index", version, root)
     manifest = documents.index_manifest(index, "catalog_index", ENCODER_NAME)
-    _write(manifest, MARTS, "catalog_manifest", root)
-    return index, encoder
+    built = {"catalog_index": index, "catalog_manifest": _add(manifest, layer, "catalog_manifest", version, root)}
+    return _publish(spark, layer, INDEX_COLLECTION, version, built)["catalog_index"], encoder
 
 
 def save_run(run: TrainingRun, folder: str) -> None:

@@ -34,7 +34,7 @@ from waferlens.plans import pipeline
 from waferlens.plans.checks import PIPELINE_CHECKS
 from waferlens.plans.pipeline import ENCODER_NAME
 from waferlens.shared import scratch_path, stage_table
-from waferlens.sources import documents, labels, matrix, ordinals, tables
+from waferlens.sources import documents, labels, matrix, ordinals, tables, versions
 from waferlens.streaming import labels as label_streams
 from waferlens.streaming import yields as yield_streams
 
@@ -265,6 +265,42 @@ def published_marts(spark, sf_dir) -> DataFrame:
     return marts["daily_yield"].join(F.broadcast(evaluate.one_row(rows, total)))
 
 
+def _documents_by_lang(spark, sf_dir, langs: Column) -> DataFrame:
+    """Documents to index: text, and the language as metadata."""
+    docs = table(spark, sf_dir, "documents").where(langs)
+    return docs.select(
+        F.format_string("doc::%d", "doc_id").alias("id"),
+        "text",
+        F.create_map(F.lit("lang"), F.col("lang")).alias("metadata"),
+    )
+
+
+def index_rebuild(spark, sf_dir) -> DataFrame:
+    """A search index made twice, of English documents and then of all.
+
+    What readers see after each switch, what both published versions hold on
+    disk, and the documents of the second by language.
+    """
+    prefix, root = own_schemas(), scratch_path(spark, "index")
+    layer = prefix + tables.MARTS
+    seen = []
+    for langs in (F.col("lang") == "en", F.lit(True)):
+        pipeline.publish_index(_documents_by_lang(spark, sf_dir, langs), root, prefix)
+        seen.append(spark.table(f"{layer}.catalog_manifest").first()["document_count"])
+    index = spark.table(f"{layer}.catalog_index")
+    kept = spark.table(versions.stored_name(layer, "catalog_index"))
+    by_lang = index.groupBy(F.element_at("metadata", "lang").alias("lang")).agg(
+        F.count(F.lit(1)).alias("documents")
+    )
+    # One row, which bounds the broadcast.
+    sizes = kept.agg(F.count(F.lit(1)).alias("stored"), F.count_distinct(versions.VERSION).alias("versions"))
+    return by_lang.select(
+        "lang",
+        "documents",
+        *(F.lit(n).cast("long").alias(c) for c, n in zip(("first_seen", "last_seen"), seen, strict=True)),
+    ).join(F.broadcast(sizes))
+
+
 # --- readings -------------------------------------------------------------------------
 
 
@@ -733,6 +769,7 @@ QUERIES: dict[str, Query] = {
     "feature_columns": feature_columns,
     "published_marts": published_marts,
     "mart_read": mart_read,
+    "index_rebuild": index_rebuild,
     "label_staging": staged_labels,
     "daily_yield": daily_yield,
     "yield_summary": yield_summary,

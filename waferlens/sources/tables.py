@@ -48,16 +48,17 @@ def write_table(
         writer = writer.option("path", f"{root}/{layer}/{name}")
     writer.saveAsTable(f"{layer}.{name}")
     if description:
-        spark.sql(f"COMMENT ON TABLE {layer}.{name} IS {_quoted(description)}")
+        spark.sql(f"COMMENT ON TABLE {layer}.{name} IS {quoted(description)}")
     return spark.table(f"{layer}.{name}")
 
 
 def create_schema(spark: SparkSession, layer: str, root: str | None = None) -> None:
-    location = f" LOCATION {_quoted(f'{root}/{layer}')}" if root else ""
+    location = f" LOCATION {quoted(f'{root}/{layer}')}" if root else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}{location}")
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
+    """A text as SQL writes it."""
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
 
@@ -66,30 +67,11 @@ def write_view(spark: SparkSession, layer: str, name: str, query: str, descripti
     """Replace the view ``layer.name`` by an SQL query over tables."""
     create_schema(spark, layer, root)
     spark.sql(
-        f"CREATE OR REPLACE VIEW {layer}.{name} COMMENT {_quoted(description)} AS {query}"
+        f"CREATE OR REPLACE VIEW {layer}.{name} COMMENT {quoted(description)} AS {query}"
     )
     return spark.table(f"{layer}.{name}")
 
 
-def publish(spark: SparkSession, layer: str, candidates: Mapping[str, str]) -> None:
-    """Put checked candidates in the place of published tables, by name only.
-
-    ``candidates`` maps the name to publish to the candidate's name, both in
-    ``layer``. No row is written again; all old tables step aside before the
-    first new one comes in, and are dropped last.
-    """
-    set_aside = []
-    for name in candidates:
-        if spark.catalog.tableExists(f"{layer}.{name}"):
-            spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}__previous")
-            spark.sql(f"ALTER TABLE {layer}.{name} RENAME TO {layer}.{name}__previous")
-            set_aside.append(f"{layer}.{name}__previous")
-    for name, candidate in candidates.items():
-        spark.sql(f"ALTER TABLE {layer}.{candidate} RENAME TO {layer}.{name}")
-    for previous in set_aside:
-        spark.sql(f"DROP TABLE {previous}")
-
-
 def read_table(spark: SparkSession, name: str, order_by: str | None = None) -> DataFrame:
     """A published table by name; missing or empty tables are errors."""
     if not spark.catalog.tableExists(name):
