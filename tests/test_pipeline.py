@@ -99,6 +99,11 @@ def test_training_scores_and_records(spark, marts, tmp_path):
         run.fills,
     )
     assert again.select("wafer_id", "score").exceptAll(run.scored.select("wafer_id", "score")).isEmpty()
+    scorer = pipeline.load_scorer(spark, str(tmp_path))
+    assert (scorer.features, scorer.fills) == (CONFIG.feature_names, run.fills)
+    gap = run.scored.drop("prediction", "score").withColumn("feature_002", F.lit(None).cast("double"))
+    with pytest.raises(Exception, match="feature_002|null|NULL"):
+        scorer.score(gap).collect()
 
 
 def test_index_answers_questions_about_the_tables(spark, marts, tmp_path):

@@ -382,7 +382,7 @@ def test_plans_shuffle_only_what_they_must(spark):
     staged, fills = queries.feature_parts(spark, sf)
     wide = plan(features.wafer_features_wide(queries.raw_matrix(spark, sf), fills, config))
     assert "Exchange" not in wide and "Generate" not in wide
-    imputed = plan(impute.median_impute(staged, fills, config))
+    imputed = plan(impute.median_impute(staged, fills))
     assert "SortMergeJoin" not in imputed and "hashpartitioning" not in imputed
     profile = plan(quality.channel_profile(staged))
     assert profile.count("Exchange") == 1 and "SinglePartition" not in profile

@@ -203,7 +203,7 @@ def test_median_interpolates_and_missing_channel_stays_missing(spark):
     config = PipelineConfig(top_sensors=2, max_null_fraction=1.0)
     fills = impute.fill_channels(quality.channel_quality(staged, config), staged)
     assert values_of(fills, "sensor_id", "sensor_median") == {1: (3.0,), 2: (None,)}
-    filled = impute.median_impute(staged, fills, config)
+    filled = impute.median_impute(staged, fills)
     found = {(r["sensor_id"], r["wafer_id"]): (r["reading_value"], r["was_imputed"]) for r in filled.collect()}
     assert found[(1, 4)] == (3.0, True)
     assert found[(1, 0)] == (1.0, False)
@@ -238,7 +238,7 @@ def test_one_parameter_drives_selection_and_features(spark):
         config = PipelineConfig(top_sensors=count)
         fills = impute.fill_channels(quality.channel_quality(staged, config), staged)
         long = features.wafer_features(
-            impute.median_impute(staged, fills, config, keep_rank=True), config
+            impute.median_impute(staged, fills, keep_rank=True), config
         )
         assert train.feature_columns(long) == feature_names(count)
         arrays = staged.groupBy("wafer_id").agg(
@@ -257,7 +257,7 @@ def test_imputed_output_has_no_gaps_unless_a_channel_is_empty(spark):
     staged = readings(spark, rows)
     config = PipelineConfig(top_sensors=3)
     fills = impute.fill_channels(quality.channel_quality(staged, config), staged)
-    assert impute.median_impute(staged, fills, config).where("reading_value is null").isEmpty()
+    assert impute.median_impute(staged, fills).where("reading_value is null").isEmpty()
 
 
 def test_mart_keeps_labelled_wafers_only(spark):

@@ -7,7 +7,6 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waferlens.config import PipelineConfig
 from waferlens.operators.ordering import SINGLE_TASK_ROWS, running_sum
 from waferlens.operators.quality import BROADCAST_CHANNELS, join_channels
 from waferlens.shared import materialise, stage_table
@@ -296,7 +295,6 @@ def fill_channels(
 def median_impute(
     staged: DataFrame,
     fills: DataFrame,
-    config: PipelineConfig = PipelineConfig(),
     wafer: str = "wafer_id",
     sensor: str = "sensor_id",
     reading: str = "reading_value",
@@ -304,10 +302,11 @@ def median_impute(
 ) -> DataFrame:
     """Readings of the selected channels with NULL replaced by the channel median.
 
-    Selecting, adding the median and adding the rank are one map-side join.
+    Selecting, adding the median and adding the rank are one join, map-side
+    while ``fills``, a fixed table, is small.
     A channel without any reading has no median and stays NULL.
     """
-    joined = join_channels(staged.select(wafer, sensor, reading), fills, config, sensor)
+    joined = join_channels(staged.select(wafer, sensor, reading), fills, sensor)
     return joined.select(
         wafer,
         sensor,

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from waferlens.config import PipelineConfig
 from waferlens.functions.columns import clean_reading, is_sentinel, percentage
+from waferlens.operators.joins import bounded_join
 from waferlens.operators.ordering import SINGLE_TASK_ROWS, global_rank
+from waferlens.shared import materialise
 
 # A channel list longer than this is joined by shuffle instead of broadcast.
 BROADCAST_CHANNELS = 100_000
@@ -88,24 +90,19 @@ def selected_channels(quality: DataFrame) -> DataFrame:
 def join_channels(
     readings: DataFrame,
     channels: DataFrame,
-    config: PipelineConfig,
     sensor: str = "sensor_id",
     how: str = "inner",
+    most: int = BROADCAST_CHANNELS,
 ) -> DataFrame:
-    """Join readings to at most ``top_sensors`` channel rows.
-
-    That bound is what makes the broadcast safe; above it Spark chooses the join.
-    """
-    if config.top_sensors <= BROADCAST_CHANNELS:
-        channels = F.broadcast(channels)
-    return readings.join(channels, sensor, how)
+    """Join readings to a fixed table of channels: map-side while that is counted to be small."""
+    return bounded_join(readings, channels, sensor, how, most)
 
 
 def selected_readings(
-    staged: DataFrame,
-    selected: DataFrame,
-    config: PipelineConfig = PipelineConfig(),
-    sensor: str = "sensor_id",
+    staged: DataFrame, selected: DataFrame, sensor: str = "sensor_id"
 ) -> DataFrame:
-    """Readings of the selected channels only: a map-side semi join."""
-    return join_channels(staged, selected.select(sensor), config, sensor, "left_semi")
+    """Readings of the selected channels only: a semi join, map-side while they are few.
+
+    The channels are computed once, to be counted and joined.
+    """
+    return join_channels(staged, materialise(selected.select(sensor)), sensor, "left_semi")

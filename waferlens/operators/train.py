@@ -301,3 +301,18 @@ def save_model(model: RandomForestClassificationModel, path: str) -> None:
 
 def load_model(path: str) -> RandomForestClassificationModel:
     return RandomForestClassificationModel.load(path)
+
+
+def save_inputs(
+    spark: SparkSession, path: str, features: Sequence[str], fills: Mapping[str, float]
+) -> None:
+    """What a model needs besides its trees: its features in order, and their fill values."""
+    rows = [(place, name, fills.get(name)) for place, name in enumerate(features)]
+    inputs = spark.createDataFrame(rows, "place int, feature string, fill double")
+    inputs.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_inputs(spark: SparkSession, path: str) -> tuple[list[str], dict[str, float]]:
+    rows = sorted(spark.read.parquet(path).collect(), key=lambda row: row["place"])
+    fills = {row["feature"]: row["fill"] for row in rows if row["fill"] is not None}
+    return [row["feature"] for row in rows], fills

@@ -11,7 +11,7 @@ from waferlens.functions.columns import BLANK_CHARACTERS
 from waferlens.plans.checks import PIPELINE_CHECKS
 from waferlens.operators.search import DIMENSIONS
 from waferlens.operators.train import DEPTH, TREES
-from waferlens.plans.queries import BUILT_AT, COLLECTION, CONFIG, ENCODER, LATE_EVERY, NEIGHBOURS, QUESTIONS
+from waferlens.plans.queries import BUILT_AT, COLLECTION, CONFIG, ENCODER, HOOK_WIDTH, LATE_EVERY, NEIGHBOURS, QUESTIONS
 
 CHANNELS = 64
 FEATURES = feature_names(CONFIG.top_sensors)
@@ -528,6 +528,19 @@ ORACLE_SQL |= {
         """select wafer_id, is_fail, true as is_probability, true as agrees
            from parted where split = 'test'""",
     ),
+    "model_roundtrip": query(
+        TRAINED,
+        "select wafer_id, 2::bigint as scorings, 1::bigint as results from parted where split = 'test'",
+    ),
+    "guard_report": """
+        select * from (values ('missing_file', 'FileNotFoundError', true), ('absent_table', 'RuntimeError', true),
+            ('empty_table', 'RuntimeError', true), ('failing_checks', 'DataQualityError', true))
+            as guards(guard, stopped_by, marts_unchanged)""",
+    "embed_external": f"""
+        select doc_id, slot::int as place, round((count(*) / any_value(words)::double)::float::double, 5) as weight
+        from (select doc_id, len(string_split(text, ' ')) as words,
+                     ('0x' || substr(md5(unnest(string_split(text, ' '))), 1, 8))::bigint % {HOOK_WIDTH} as slot
+              from documents) group by doc_id, slot""",
     "top_features": query(
         MART,
         """select count(distinct wafer_id) * 0 + 10 as names, true as all_features,

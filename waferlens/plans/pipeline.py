@@ -92,6 +92,19 @@ class TrainingRun:
     scored: DataFrame
     metrics: DataFrame
     fills: dict[str, float]
+    features: list[str]
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """A stored model with all that scoring takes."""
+
+    model: RandomForestClassificationModel
+    features: list[str]
+    fills: dict[str, float]
+
+    def score(self, mart: DataFrame) -> DataFrame:
+        return train.score_batch(self.model, mart, self.features, self.fills)
 
 
 def _write(df: DataFrame, layer: str, name: str, root: str | None) -> DataFrame:
@@ -218,7 +231,7 @@ def train_and_evaluate(
         train.score_batch(model, split.where("split = 'test'"), names, fills), "scored"
     )
     top = train.top_features(mart.sparkSession, model, names)
-    return TrainingRun(model, scored, evaluate.metrics_record(split, scored, names, top), fills)
+    return TrainingRun(model, scored, evaluate.metrics_record(split, scored, names, top), fills, names)
 
 
 def build_index(
@@ -256,9 +269,16 @@ def publish_index(
 
 
 def save_run(run: TrainingRun, folder: str) -> None:
-    """The metrics as JSON and the model, replacing those of an earlier run."""
+    """The metrics as JSON and the model with its inputs, replacing those of an earlier run."""
     tables.write_json(run.metrics, f"{folder}/metrics")
     train.save_model(run.model, f"{folder}/model")
+    train.save_inputs(run.scored.sparkSession, f"{folder}/inputs", run.features, run.fills)
+
+
+def load_scorer(spark: SparkSession, folder: str) -> Scorer:
+    """The model of a saved run, ready to score any table with its features."""
+    features, fills = train.load_inputs(spark, f"{folder}/inputs")
+    return Scorer(train.load_model(f"{folder}/model"), features, fills)
 
 
 def run_pipeline(

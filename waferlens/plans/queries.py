@@ -301,6 +301,41 @@ def index_rebuild(spark, sf_dir) -> DataFrame:
     ).join(F.broadcast(sizes))
 
 
+def _marts_seen(spark, layer: str) -> tuple:
+    """What readers find in the published marts."""
+    total = spark.table(f"{layer}.yield_summary").first()
+    days = spark.table(f"{layer}.daily_yield").agg(F.sum("fail_count")).first()
+    rows = spark.table(f"{layer}.ml_features").agg(F.sum(F.xxhash64("wafer_id", "is_fail") % 1_000)).first()
+    version = versions.current_version(spark, layer, pipeline.MART_COLLECTION)
+    return (*total, *days, *rows, version)
+
+
+def guard_report(spark, sf_dir) -> DataFrame:
+    """What each guard did after a clean run: on a missing file, an absent, an empty and a failing table."""
+    prefix = own_schemas()
+    layer = prefix + tables.MARTS
+    readings, clean = matrix_file(spark, sf_dir), clean_label_file(spark, sf_dir)
+    pipeline.run_pipeline(spark, readings, clean, CONFIG, prefix=prefix)
+    published = _marts_seen(spark, layer)
+    tables.write_table(spark.table(f"{layer}.yield_summary").limit(0), layer, "nothing_yet")
+    unclean = label_file(spark, sf_dir)
+    attempts = {
+        "missing_file": lambda: pipeline.run_pipeline(spark, readings, clean + "-none", CONFIG, prefix=prefix),
+        "absent_table": lambda: tables.read_table(spark, f"{layer}.nothing"),
+        "empty_table": lambda: tables.read_table(spark, f"{layer}.nothing_yet"),
+        "failing_checks": lambda: pipeline.run_pipeline(spark, readings, unclean, CONFIG, prefix=prefix),
+    }
+    rows = []
+    for guard, attempt in attempts.items():
+        try:
+            attempt()
+            stopped = None
+        except (FileNotFoundError, RuntimeError) as error:
+            stopped = type(error).__name__
+        rows.append((guard, stopped, _marts_seen(spark, layer) == published))
+    return spark.createDataFrame(rows, "guard string, stopped_by string, marts_unchanged boolean")
+
+
 # --- readings -------------------------------------------------------------------------
 
 
@@ -318,7 +353,7 @@ def selected_channels(spark, sf_dir) -> DataFrame:
 def selected_readings(spark, sf_dir) -> DataFrame:
     staged = staged_readings(spark, sf_dir)
     ranked = quality.channel_quality(staged, CONFIG)
-    return quality.selected_readings(staged, quality.selected_channels(ranked), CONFIG)
+    return quality.selected_readings(staged, quality.selected_channels(ranked))
 
 
 def channel_median(spark, sf_dir) -> DataFrame:
@@ -342,13 +377,13 @@ def channel_median_sketched(spark, sf_dir) -> DataFrame:
 
 def median_impute(spark, sf_dir) -> DataFrame:
     staged, fills = feature_parts(spark, sf_dir)
-    return impute.median_impute(staged, fills, CONFIG)
+    return impute.median_impute(staged, fills)
 
 
 def wafer_features(spark, sf_dir) -> DataFrame:
     staged, fills = feature_parts(spark, sf_dir)
     return features.wafer_features(
-        impute.median_impute(staged, fills, CONFIG, keep_rank=True), CONFIG
+        impute.median_impute(staged, fills, keep_rank=True), CONFIG
     )
 
 
@@ -427,7 +462,7 @@ def dq_report(spark, sf_dir) -> DataFrame:
     ranked = quality.channel_quality(staged, CONFIG)
     fills = impute.fill_channels(ranked, staged)
     rows = features.wafer_features(
-        impute.median_impute(staged, fills, CONFIG, keep_rank=True), CONFIG
+        impute.median_impute(staged, fills, keep_rank=True), CONFIG
     )
     return dq.run_suite(
         {
@@ -445,6 +480,10 @@ def dq_report(spark, sf_dir) -> DataFrame:
 
 # --- streams ----------------------------------------------------------------------------------
 
+# Trees of the forest that is saved and loaded; what is checked holds for any number.
+ROUNDTRIP_TREES = 20
+# Numbers in a vector of the encoder that stands for an external one.
+HOOK_WIDTH = 32
 # Deliveries of the streamed log: one label in so many comes after all others.
 LATE_EVERY = 50
 
@@ -578,6 +617,27 @@ def score_batch(spark, sf_dir) -> DataFrame:
     )
 
 
+def model_roundtrip(spark, sf_dir) -> DataFrame:
+    """A run saved and loaded again: whether each test row scores as it did before."""
+    mart = stage_table(feature_mart(spark, sf_dir), "ml-features")
+    run = pipeline.train_and_evaluate(
+        train.with_target(mart, drop_unlabelled=True), trees=ROUNDTRIP_TREES
+    )
+    folder = scratch_path(spark, "run")
+    pipeline.save_run(run, folder)
+    outcome = ["prediction", "score"]
+    again = pipeline.load_scorer(spark, folder).score(run.scored.drop(*outcome))
+    return (
+        again.select("wafer_id", *outcome)
+        .unionByName(run.scored.select("wafer_id", *outcome))
+        .groupBy("wafer_id")
+        .agg(
+            F.count(F.lit(1)).alias("scorings"),
+            F.count_distinct("score", "prediction").alias("results"),
+        )
+    )
+
+
 def top_features(spark, sf_dir) -> DataFrame:
     """What is fixed about the most important features."""
     model, _, names, _ = _trained(spark, sf_dir)
@@ -667,6 +727,31 @@ def embed_text(spark, sf_dir) -> DataFrame:
     )
 
 
+def load_word_encoder() -> Callable[[list[str]], list]:
+    """An encoder as one would be loaded from outside: shares of a text's words by hash."""
+
+    def encode(texts: list[str]) -> list:
+        vectors = []
+        for text in texts:
+            words = text.split(" ")
+            vector = [0.0] * HOOK_WIDTH
+            for word in words:
+                vector[search.word_slot(word, HOOK_WIDTH)] += 1 / len(words)
+            vectors.append(vector)
+        return vectors
+
+    return encode
+
+
+def embed_external(spark, sf_dir) -> DataFrame:
+    """Vectors of the encoder hook, as one row for each place that is not zero."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    embedded = search.embed_with(docs, load_word_encoder)
+    return embedded.select("doc_id", F.posexplode("embedding").alias("place", "weight")).where(
+        "weight <> 0"
+    ).withColumn("weight", F.round(F.col("weight").cast("double"), 5))
+
+
 def label_centres(vectors: DataFrame) -> DataFrame:
     """The mean vector of each label: as many queries as there are labels."""
     as_vector = array_to_vector(F.col("embedding").cast("array<double>"))
@@ -770,6 +855,7 @@ QUERIES: dict[str, Query] = {
     "published_marts": published_marts,
     "mart_read": mart_read,
     "index_rebuild": index_rebuild,
+    "guard_report": guard_report,
     "label_staging": staged_labels,
     "daily_yield": daily_yield,
     "yield_summary": yield_summary,
@@ -791,11 +877,13 @@ QUERIES: dict[str, Query] = {
     "train_forest": train_forest,
     "score_batch": score_batch,
     "top_features": top_features,
+    "model_roundtrip": model_roundtrip,
     "catalog_docs": catalog_docs,
     "doc_chunks": doc_chunks,
     "catalog_corpus": catalog_corpus,
     "index_manifest": index_manifest,
     "embed_text": embed_text,
+    "embed_external": embed_external,
     "knn_search": knn_search,
     "knn_approximate": knn_approximate,
     "search_hits": search_hits,
