@@ -120,7 +120,7 @@ def test_ids_and_texts_equal_the_library(spark, library):
 
 
 def test_every_token_by_itself(library):
-    codec = bpe.codec(bpe.vocabulary_path())
+    codec = bpe.encoder(bpe.vocabulary_path())
     for token in range(library.get_vocab_size()):
         text = library.decode([token], skip_special_tokens=False)
         ids = np.frombuffer(codec.encode(text.encode()), np.int32).tolist()
@@ -128,13 +128,14 @@ def test_every_token_by_itself(library):
 
 
 def test_mixed_tokens_equal_the_library(library):
-    codec, rng = bpe.codec(bpe.vocabulary_path()), random.Random(5)
+    path, rng = bpe.vocabulary_path(), random.Random(5)
+    encoder, decoder = bpe.encoder(path), bpe.decoder(path)
     size = library.get_vocab_size()
     for _ in range(5_000):
         ids = [rng.randrange(size) for _ in range(rng.randrange(1, 12))]
         text = library.decode(ids, skip_special_tokens=False)
-        assert codec.decode(np.array(ids)) == text
-        found = np.frombuffer(codec.encode(text.encode()), np.int32).tolist()
+        assert decoder.decode(np.array(ids)) == text
+        found = np.frombuffer(encoder.encode(text.encode()), np.int32).tolist()
         assert found == library.encode(text, add_special_tokens=False).ids
 
 

@@ -40,9 +40,9 @@ from waferlens.llm.common import append_columns, text_bytes
 
 VOCABULARY = "byte_bpe_50k.json"
 # Words whose ids a worker remembers, and how long they may be; others are encoded anew.
-CACHED_WORDS, CACHED_LETTERS = 200_000, 64
+CACHED_WORDS, CACHED_LETTERS = 400_000, 64
 # Pairs of tokens whose compatibility a worker remembers.
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 250_000
 # Words and ids of one text that are worked on at a time.
 WORDS_AT_ONCE, IDS_AT_ONCE = 100_000, 250_000
 # Bytes that start code points from U+0540 on, before which all are assigned.
@@ -170,8 +170,31 @@ class Merges:
         return out
 
 
-class ByteCodec(dict):
-    """Ids of texts and texts of ids for one vocabulary file.
+def read_vocabulary(path: str) -> dict:
+    """The file's content; only plain byte-level vocabularies are understood.
+
+    Truncation and padding are not used.
+    """
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, split, special = spec["model"], spec["pre_tokenizer"] or {}, spec["added_tokens"]
+    odd = (
+        model["type"] != "BPE"
+        or spec["normalizer"]
+        or split.get("type") != "ByteLevel"
+        or split.get("add_prefix_space")
+        or not split.get("use_regex", True)
+        or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        or model.get("ignore_merges")
+        or any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in special)
+    )
+    if odd:
+        raise ValueError("not a plain byte-level BPE vocabulary")
+    return spec
+
+
+class Encoder(dict):
+    """Ids of texts for one vocabulary file.
 
     As a dictionary it holds the ids of words already seen, as the bytes of
     32-bit numbers.
@@ -181,10 +204,8 @@ class ByteCodec(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+        spec = read_vocabulary(path)
         model, special = spec["model"], spec["added_tokens"]
-        self._refuse_others(spec, special)
         vocabulary, letters = model["vocab"], byte_letters()
 
         def spelled(token: str) -> bytes:
@@ -209,35 +230,12 @@ class ByteCodec(dict):
         self.unassigned = re.compile(unassigned())
         self.split_by_library = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
 
-        texts = {self.id_of[t]: b for t, b in enumerate(self.merges.bytes_of)}
-        texts |= {i: content.encode() for content, i in self.special.items()}
-        sizes = [len(texts.get(i, b"")) for i in range(max(texts) + 1)]
-        self.offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.letters = np.frombuffer(b"".join(texts[i] for i in sorted(texts)), np.uint8)
-
     @staticmethod
     def _pattern() -> regex.Pattern:
         import public_tokenizers
 
         return regex.compile(public_tokenizers.PATTERN)
 
-    @staticmethod
-    def _refuse_others(spec: dict, special: list[dict]) -> None:
-        """Only plain byte-level vocabularies are understood; truncation and padding are not used."""
-        model, split = spec["model"], spec["pre_tokenizer"] or {}
-        odd = (
-            model["type"] != "BPE"
-            or spec["normalizer"]
-            or split.get("type") != "ByteLevel"
-            or split.get("add_prefix_space")
-            or not split.get("use_regex", True)
-            or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
-            or model.get("ignore_merges")
-            or any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in special)
-        )
-        if odd:
-            raise ValueError("not a plain byte-level BPE vocabulary")
-
     def __missing__(self, word: str) -> bytes:
         tokens = self.merges.encode(word.encode("utf-8"))
         ids = array("i", map(self.id_of.__getitem__, tokens)).tobytes()
@@ -268,6 +266,21 @@ class ByteCodec(dict):
                 out.extend(b"".join(map(self.__getitem__, w)) for w in self._words(piece, late))
         return b"".join(out)
 
+
+class Decoder:
+    """Texts of ids for one vocabulary file: the bytes of all tokens, and where each begins."""
+
+    def __init__(self, path: str):
+        spec, letters = read_vocabulary(path), byte_letters()
+        texts = {
+            number: bytes(map(letters.__getitem__, token))
+            for token, number in spec["model"]["vocab"].items()
+        }
+        texts |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        sizes = [len(texts.get(number, b"")) for number in range(max(texts) + 1)]
+        self.offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.letters = np.frombuffer(b"".join(texts[n] for n in sorted(texts)), np.uint8)
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; those that no token has are left out."""
         return b"".join(
@@ -286,8 +299,13 @@ class ByteCodec(dict):
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> ByteCodec:
-    return ByteCodec(path)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def encode(
@@ -297,7 +315,7 @@ def encode(
     path = path or vocabulary_path()
 
     def compute(columns: Sequence[pa.Array]) -> list[pa.Array]:
-        one = codec(path)
+        one = encoder(path)
         found = [one.encode(t or b"") for t in text_bytes(columns[0])]
         ends = np.cumsum([0, *map(len, found)]) // 4
         values = np.frombuffer(b"".join(found), np.int32)
@@ -313,7 +331,7 @@ def decode(
     path = path or vocabulary_path()
 
     def compute(columns: Sequence[pa.Array]) -> list[pa.Array]:
-        one = codec(path)
+        one = decoder(path)
         texts = []
         for row in columns[0]:
             values = row.values if row.is_valid else None
