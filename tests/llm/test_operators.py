@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import string
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -223,6 +225,76 @@ def test_secrets_have_the_base_spans_and_novel_ones(spark):
     assert found[10]["spans"] == found[11]["spans"] == ""
 
 
+def novel_by_pairs(text, measure):
+    """Every candidate against every sensitive word, one by one."""
+    words = r"auth|bearer|credential|private|passphrase|passw|secret|token|signature|access|api.?key|\bkey\b"
+    near = [m.span() for m in re.finditer(words, text, re.I | re.A)]
+    base, spans = base_of(text), []
+    for m in re.finditer(r"[A-Za-z0-9+/_=.~-]{8,}", text):
+        if not any(e + measure.reach >= m.start() and s - measure.reach <= m.end() for s, e in near):
+            continue
+        if any(s < m.end() and m.start() < e for s, _, e in base):
+            continue
+        sides = text[max(0, m.start() - measure.around) : m.start()], text[m.end() : m.end() + measure.around]
+        added = secret_scan.added_bytes(sides[0], m[0], sides[1], measure)
+        if added >= measure.least and 8 * added >= measure.bits * len(m[0]):
+            spans.append((m.start(), 3, m.end()))
+    return sorted(base + spans)
+
+
+def test_novel_spans_equal_a_search_over_all_pairs():
+    rng = random.Random(9)
+    letters = string.ascii_letters + string.digits
+    pieces = ["token", "key", "the keyboard", "auth", " = ", "plain words of prose", '"', "\n", "monkey", "é"]
+    found = 0
+    for _ in range(300):
+        parts = [
+            "".join(rng.choices(letters, k=rng.randrange(4, 40))) if rng.random() < 0.3 else rng.choice(pieces)
+            for _ in range(rng.randrange(1, 60))
+        ]
+        text = " ".join(parts)
+        measure = secret_scan.Novelty(reach=rng.choice([0, 5, 256]))
+        spans = secret_scan.find_spans(text, measure)[1]
+        assert spans == novel_by_pairs(text, measure)
+        found += sum(kind == 3 for _, kind, _ in spans)
+    assert found > 100
+
+
+PROSE = "the quick brown fox jumps over the lazy dog and then the server answered with "
+
+
+@pytest.mark.parametrize(
+    "text, secret",
+    [
+        (PROSE + "{} # my auth key " + PROSE, "q7Zk2LmX9vTb4RwY8sHd"),
+        (PROSE + "key is {} " + PROSE, "qXzKwLmJvTbRhYpFsHdG"),
+        (PROSE + "key is {} " + PROSE, "83016425970318"),
+        (PROSE + "key is {} " + PROSE, "q7Zk2LmX9vTb4R"),
+        ("my secret key comes here: " + PROSE * 2 + "{}", "q7Zk2LmX9vTb4RwY8sHd"),
+    ],
+)
+def test_novelty_alone_decides(text, secret):
+    """Before its word, letters or digits alone, short, far away: what counts is the size."""
+    whole = text.format(secret)
+    at = whole.index(secret)
+    assert secret_scan.find_spans(whole)[1] == [(at, 3, at + len(secret))]
+    for plain in ("getElementById_toString", "documentation", "/usr/local/bin/python3", "ABCDEFGHIJKLMNOP"):
+        assert secret_scan.find_spans(text.format(plain))[1] == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "key " * 250_000, "token = " * 125_000, "abcdefgh " * 111_000 + "key", "key " + "x" * 10**6,
+        "key ab12cd34 " * 77_000, "secret=" * 143_000, "token=" + "A1" * 500_000, "AKIA" * 250_000,
+    ],
+)
+def test_secrets_of_any_megabyte_take_no_longer(text):
+    started = time.perf_counter()
+    secret_scan.find_spans(text)
+    assert time.perf_counter() - started < 2
+
+
 def test_redaction_keeps_all_but_the_spans(spark, docs):
     rows = [(1, "my token = abcdefgh0 ok", 23, None), (2, "clean", 5, "b"), (3, None, None, "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, `_redacted` string")

@@ -1,12 +1,14 @@
 """Secret scanning: fixed patterns, and novelty against a primed compressor.
 
-Three patterns give the base spans. Besides them, long strings that stand near
-a sensitive word are candidates. A candidate is measured by what it adds, in
-compressed bytes, to the text around it, by a zstandard compressor primed with
-a dictionary of common identifiers and the words of formats: names, paths and
-prose shrink, because their parts were seen or have the usual letters; random
-strings do not. Candidates that add enough bits for each character are
-reported as kind ``novel``.
+Three patterns give the base spans. Besides them, every run of at least 8 letters,
+digits and ``+/_=.~-`` within 256 characters of a sensitive word, before it or
+after it, is a candidate. A candidate is measured by what it adds, in compressed
+bytes, to the text around it, by a zstandard compressor primed with a dictionary
+of common identifiers and the words of formats: names, paths and prose shrink,
+because their parts were seen or have the usual letters; random strings do not.
+Candidates that add at least 6.5 bits for each character and 12 bytes in all are
+reported as kind ``novel``, whatever they are made of. Words and candidates are
+found in one pass each, so the work grows with the length of the text.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned
 each; spans count code points, with the end exclusive.
@@ -17,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from bisect import bisect_right
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -45,7 +46,7 @@ _SENSITIVE_PARTS = (
     b"auth", b"bearer", b"credential", b"private", b"passphrase", b"passw", b"secret", b"token",
     b"signature", b"access", b"api", b"key",
 )
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{8,}")
 
 # What code, settings and prose are made of; the compressor starts with it.
 IDENTIFIERS = """
@@ -67,31 +68,38 @@ ssh-rsa ssh-ed25519 BEGIN END CERTIFICATE sha256 md5 base64 utf-8 content-type
 
 @dataclass(frozen=True)
 class Novelty:
-    """How candidates are measured: characters around, and bits for each of its own."""
+    """How candidates are measured.
 
-    reach: int = 64
+    ``reach`` characters to a sensitive word on either side, ``around``
+    characters of the text on either side that it is measured with; it must add
+    ``bits`` for each character and ``least`` bytes.
+    """
+
+    reach: int = 256
     around: int = 256
     bits: float = 6.5
+    least: int = 12
     level: int = 3
 
 
 @lru_cache(maxsize=4)
 def _compressor(level: int, identifiers: str, size: int = 4096):
-    """A compressor whose dictionary knows the identifiers and the usual letters."""
+    """A compressor whose dictionary knows the identifiers and the usual letters, capitals too."""
     import zstandard
 
     words, order = identifiers.split(), random.Random(0)
-    lines = [" ".join(order.choices(words, k=12)).encode() for _ in range(400)]
+    lines = [" ".join(order.choices(words, k=12)) for _ in range(400)]
+    lines = [(line.upper() if at % 4 == 0 else line).encode() for at, line in enumerate(lines)]
     primed = zstandard.train_dictionary(size, lines)
     primed.precompute_compress(level=level)
     return zstandard.ZstdCompressor(level=level, dict_data=primed)
 
 
-def novelty_bits(before: str, candidate: str, after: str, measure: Novelty) -> float:
-    """Bits that each character of ``candidate`` adds to the compressed surroundings."""
+def added_bytes(before: str, candidate: str, after: str, measure: Novelty) -> int:
+    """The bytes that ``candidate`` adds to its compressed surroundings."""
     pack = _compressor(measure.level, IDENTIFIERS).compress
     plain = len(pack((before + after).encode()))
-    return 8 * (len(pack((before + candidate + after).encode())) - plain) / len(candidate)
+    return len(pack((before + candidate + after).encode())) - plain
 
 
 def base_spans(text: str, lowered: bytes) -> list[tuple[int, int, int]]:
@@ -123,25 +131,25 @@ def novel_spans(
     """Candidates near a sensitive word, outside base spans, that do not compress."""
     if not any(part in lowered for part in _SENSITIVE_PARTS):
         return []
-    spans, seen, taken = [], 0, merged(base)
-    ends = [end for _, end in taken]
-    for context in _SENSITIVE.finditer(text):
-        reach = min(len(text), context.end() + measure.reach)
-        while found := _CANDIDATE.search(text, max(seen, context.end())):
-            start, end = found.span()
-            if start >= reach:
-                break
-            seen = end
-            nearest = bisect_right(ends, start)
-            if nearest < len(taken) and taken[nearest][0] < end:
-                continue
-            word = found[0]
-            if not any(c.isdigit() for c in word) or not any(c.isalpha() for c in word):
-                continue
-            before = text[max(0, start - measure.around) : start]
-            after = text[end : end + measure.around]
-            if novelty_bits(before, word, after, measure) >= measure.bits:
-                spans.append((start, 3, end))
+    contexts = [context.span() for context in _SENSITIVE.finditer(text)]
+    taken = merged(base)
+    spans, context, base_span = [], 0, 0
+    for found in _CANDIDATE.finditer(text) if contexts else ():
+        start, end = found.span()
+        # Candidates, words and base spans are all in order, so each list is walked once.
+        while context < len(contexts) and contexts[context][1] + measure.reach < start:
+            context += 1
+        if context == len(contexts):
+            break
+        while base_span < len(taken) and taken[base_span][1] <= start:
+            base_span += 1
+        far = contexts[context][0] > end + measure.reach
+        if far or base_span < len(taken) and taken[base_span][0] < end:
+            continue
+        before = text[max(0, start - measure.around) : start]
+        added = added_bytes(before, found[0], text[end : end + measure.around], measure)
+        if added >= measure.least and 8 * added >= measure.bits * (end - start):
+            spans.append((start, 3, end))
     return spans
 
 
