@@ -476,6 +476,76 @@ def test_pages_give_their_text():
     assert html_text.main_text(html_text.parse(deep)) == "x"
 
 
+def site_page(i, extra=""):
+    """A page whose menu, advert and footer differ from page to page in their words."""
+    links = "".join(f"<li><a href='/{i * k}'>word{i * k}</a></li>" for k in range(2, 3 + i % 4))
+    menu = f"<div class='top'><ul>{links}</ul></div>"
+    foot = f"<div class='end' id='f{i}'>&copy; words {i * 7} of the day</div>"
+    text = "".join(f"<p>paragraph {i} {k} " + "and more " * 20 + "</p>" for k in range(1 + i % 3))
+    quote = f"<div class='box'><blockquote>quoted {i}</blockquote></div>"
+    return f"<body>{menu}<div class='promoted'>buy {i}</div><div class='body'>{text}{quote}</div>{extra}{foot}</body>"
+
+
+def test_shapes_find_templates_whose_words_differ(spark):
+    rows = [(i, f"http://a.net/{i}", site_page(i)) for i in range(1, 41)]
+    rows += [(100, "http://few.net/1", site_page(5)), (101, "http://a.net/o", site_page(3, "<div class='own'>said once</div>"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r for r in html_text.extract(df).collect()}
+    for i in range(1, 41):
+        text = [f"paragraph {i} {k} " + " ".join(["and more"] * 20) for k in range(1 + i % 3)]
+        assert found[i]["text"] == "\n\n".join([*text, f"quoted {i}"])
+        assert found[i]["decided_by"] == "templates"
+    # What a host has on one page only is no template, and a host of few pages has none.
+    assert found[101]["text"].endswith("\n\nsaid once")
+    assert "word10" in found[100]["text"]
+
+
+def test_template_counts_equal_brute_force(spark):
+    rows = [(i, f"http://a{i % 3}.net/{i}", site_page(i % 25)) for i in range(1, 90)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rules = html_text.TemplateSettings(pages=4, share=0.5)
+    wanted = df.select(html_text.url_host(F.col("url")).alias("_host"), F.col("html").alias("_html"))
+    found = {r["_host"]: set(r["_templates"]) for r in html_text.site_templates(wanted, rules).collect()}
+    expected = {}
+    for host in ("a0.net", "a1.net", "a2.net"):
+        pages = {}
+        for _, url, page in rows:
+            if f"//{host}/" in url:
+                root = html_text.parse(page)
+                pages.setdefault(html_text.main_text(root), []).append(html_text.template_candidates(root))
+        seen = {}
+        for copies in pages.values():
+            for key in set().union(*copies):
+                seen.setdefault(key, []).append(max(own[key] for own in copies if key in own))
+        expected[host] = {
+            key for key, parts in seen.items()
+            if len(parts) >= max(4, 0.5 * len(pages)) and sum(parts) / len(parts) <= rules.part
+        }
+    assert found == expected and all(expected.values())
+
+
+def test_templates_decide_the_given_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = html_text.extract(pages, html_text.TemplateSettings(pages=5))
+    ways = {r[0]: r[1] for r in found.groupBy("decided_by").count().collect()}
+    assert ways["templates"] > 100
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 333_333, '<a href="' * 111_111, "<span>" * 83_333 + "</x>" * 125_000, '<a ">"' * 166_666,
+        "<a '>\"" * 150_000, "<ul>" + "<span>" * 40_000 + "<li></li>" * 80_000, "<!" * 500_000, "<a<a" * 250_000,
+        "<span>" * 80_000 + "<div></div>" * 50_000, "<script>" + "</script " * 110_000, "<!--" * 250_000,
+    ],
+    ids=range(11),
+)
+def test_pages_of_any_megabyte_take_no_longer(page):
+    started = time.perf_counter()
+    html_text.main_text(html_text.parse(page))
+    assert time.perf_counter() - started < 4
+
+
 def test_templates_of_a_site_are_deleted(spark):
     rows = []
     for i in range(60):
