@@ -165,10 +165,9 @@ def pack_candidates(small: DataFrame, hits: DataFrame, s: RepeatSettings) -> Dat
             *keys, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
         ):
             words = words_of(unsqueezer()(blob))
-            # A repeated row has its places twice in the list.
-            for start, windows, mini in {(h["start"], h["windows"], h["mini"]) for h in found}:
-                packed = b" ".join(words[start : start + windows + s.window - 1])
-                yield mini, 0, packed, 1, key, text_key, start, windows
+            for h in found:
+                packed = b" ".join(words[h["start"] : h["start"] + h["windows"] + s.window - 1])
+                yield h["mini"], 0, packed, 1, key, text_key, h["start"], h["windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -266,6 +265,26 @@ def count_windows(packed: DataFrame, s: RepeatSettings) -> DataFrame:
     return dealt.mapInArrow(run, "key long, text_key long, start int, windows int")
 
 
+def places_of(kmers: DataFrame, twice: DataFrame) -> DataFrame:
+    """(key, text key, found): the super-k-mers of each text whose minimiser came twice.
+
+    A set, so that a row that is there a thousand times lists its places once:
+    no list is longer than one text.
+    """
+    return (
+        kmers.join(twice, "mini", "left_semi")
+        .groupBy("key", "text_key")
+        .agg(F.collect_set(F.struct("start", "windows", "mini")).alias("found"))
+    )
+
+
+def runs_of(found: DataFrame) -> DataFrame:
+    """(key, text key, runs): the repeated windows of each text, in a set as well."""
+    return found.groupBy("key", "text_key").agg(
+        F.collect_set(F.struct("start", "windows")).alias("runs")
+    )
+
+
 def repeated_windows(docs: DataFrame, small: DataFrame, s: RepeatSettings) -> DataFrame:
     """(key, text key, start, windows) of all runs of windows that start elsewhere too."""
     kmers = staged(find_super_kmers(docs, s), "super-kmers")
@@ -273,12 +292,7 @@ def repeated_windows(docs: DataFrame, small: DataFrame, s: RepeatSettings) -> Da
         kmers.groupBy("mini").agg(F.sum("weight").alias("times")).where(F.col("times") > 1).select("mini"),
         "minimisers",
     )
-    hits = (
-        kmers.join(twice, "mini", "left_semi")
-        .groupBy("key", "text_key")
-        .agg(F.collect_list(F.struct("start", "windows", "mini")).alias("found"))
-    )
-    packed = staged(pack_candidates(small, hits, s), "packed")
+    packed = staged(pack_candidates(small, places_of(kmers, twice), s), "packed")
     strings = packed.where(F.col("packed").isNotNull())
     crowded = strings.groupBy("mini").count().where(F.col("count") > s.bucket_rows)
     crowded = staged(crowded.select("mini", F.lit(True).alias("crowded")), "crowded")
@@ -314,11 +328,7 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings | None = None) -> D
     """
     s = settings or RepeatSettings()
     plain = docs.select("doc_id", "text")
-    runs = (
-        repeated_windows(plain, squeezed(_keyed(plain)), s)
-        .groupBy("key", "text_key")
-        .agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
-    )
+    runs = runs_of(repeated_windows(plain, squeezed(_keyed(plain)), s))
     kind = plain.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
