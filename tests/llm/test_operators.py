@@ -443,6 +443,19 @@ def test_labels_without_documents_take_no_place_of_the_sample(spark):
     assert next(r for r in sample if r["_id"] == 5)["toxic"]
 
 
+def test_the_label_sample_reads_ids_alone_unless_texts_are_missing(spark, tmp_path):
+    rows = [(i, f"text number {i}" if i % 2 else None) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    settings = site_quality.QualitySettings(sample_rows=20)
+    sample = site_quality.labelled_sample(df, labels, settings).collect()
+    assert len(sample) == 20 and all(r["_id"] % 2 for r in sample)
+    full = df.where("text is not null")
+    again = site_quality.labelled_sample(full, labels, settings).collect()
+    assert {r["_id"] for r in again} == {r["_id"] for r in sample}
+
+
 def test_quality_on_odd_rows(spark, docs, none):
     labels = spark.createDataFrame(
         [(0, 1, 0), (3, 0, None), (6, None, 1), (None, 0, 1), (21, 1, 0), (21, 0, 0)],
@@ -732,6 +745,21 @@ def test_repeats_of_nothing(none):
     assert substring.remove_repeats(none).count() == 0
 
 
+def test_copies_of_a_row_make_no_longer_lists(spark):
+    base = words(600, 91)
+    rows = [(1, base)] * 300 + [(2, base), (3, words(50, 92)), (None, base), (None, base), (4, base + " more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    settings = substring.RepeatSettings()
+    kmers = substring.find_super_kmers(df, settings)
+    twice = kmers.select("mini").distinct()
+    longest = substring.places_of(kmers, twice).agg(F.max(F.size("found"))).first()[0]
+    small = substring.squeezed(substring._keyed(df))
+    runs = substring.runs_of(substring.repeated_windows(df, small, settings))
+    assert longest < 600 and runs.agg(F.max(F.size("runs"))).first()[0] < 600
+    found = sorted(map(tuple, substring.digest(substring.remove_repeats(df)).collect()), key=repr)
+    assert found == sorted(substring.brute_force(rows), key=repr)
+
+
 # --- 10 packing -----------------------------------------------------------------------------------------
 
 

@@ -57,10 +57,10 @@ class QualitySettings:
     sample_rows: int = 20_000
     # Beginnings of words, in bytes, that can be indicators besides whole words.
     stems: tuple[int, ...] = (4, 5, 6)
-    # An indicator is in at least so many families of target documents, and this share of them.
+    # An indicator is in at least so many families of target documents, and this share of
+    # them. So there are at most 250 times as many as a family has terms, in any corpus.
     indicator_rows: int = 4
     indicator_share: float = 0.004
-    most_indicators: int = 20_000
     # Least log odds, after taking off so many standard errors, of an indicator and of a strong one.
     caution: float = 1.64
     weak: float = 0.7
@@ -159,18 +159,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, s: QualitySettings) -> D
     """Texts of at most ``sample_rows`` labelled documents with family and targets.
 
     Labels of ids that have no text are left out before the sample is taken. An id
-    counts once: with any of its labels, and the text whose hash is least.
+    counts once: with any of its labels, and the text whose hash is least. Only
+    ids are read to find the sample, and texts to take it; where null texts make
+    it smaller than it could be, it is taken again among ids with a text.
     """
     usable = labels.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("_id"),
         F.coalesce(F.col("toxic") == 1, F.lit(False)).alias("toxic"),
         F.coalesce(F.col("quality") == 0, F.lit(False)).alias("low"),
     ).groupBy("_id").agg(*(F.max(target).alias(target) for target in TARGETS))
+    identified = docs.where(F.col("doc_id").isNotNull())
+    chosen, texts = _sampled_texts(identified, identified, usable, s)
+    if texts.select("_id").distinct().count() < chosen:
+        _, texts = _sampled_texts(identified.where(F.col("text").isNotNull()), identified, usable, s)
+    return texts
+
+
+def _sampled_texts(
+    present: DataFrame, docs: DataFrame, usable: DataFrame, s: QualitySettings
+) -> tuple[int, DataFrame]:
+    """The number of ids chosen among ``present`` ones, and those with their texts, staged."""
     order = [F.xxhash64("_id"), "_id", *TARGETS]
+    ids = present.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.count(F.lit(1)).alias("_rows"))
+    sample = staged(usable.join(ids, "_id").orderBy(*order).limit(s.sample_rows), "label-sample")
     texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("_id"), "text")
-    present = texts.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.count(F.lit(1)).alias("_rows"))
-    found = usable.join(present, "_id").orderBy(*order).limit(s.sample_rows)
-    sample = staged(found, "label-sample")
     # The sample has a fixed bound, so it may be broadcast.
     joined = texts.join(F.broadcast(sample.drop("_rows")), "_id")
     if sample.where(F.col("_rows") > 1).limit(1).count():
@@ -181,7 +193,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, s: QualitySettings) -> D
         return [pa.array([family_of(text) for text in text_bytes(columns[0])], pa.int64())]
 
     named = append_columns(joined, ["text"], [T.StructField("family", T.LongType())], compute)
-    return staged(named, "labelled-texts")
+    return sample.count(), staged(named, "labelled-texts")
 
 
 def _family_counts(rows: DataFrame, wanted: frozenset[bytes] | None, s: QualitySettings) -> DataFrame:
@@ -232,8 +244,7 @@ def find_indicators(sample: DataFrame, target: str, s: QualitySettings) -> dict[
     inside, outside = counted.get(True, 0), counted.get(False, 0)
     least = max(s.indicator_rows, s.indicator_share * inside)
     often = _family_counts(sample.where(F.col(target)), None, s).where(F.col("families") >= least)
-    rows = often.orderBy(F.desc("families"), "term").limit(s.most_indicators).collect()
-    near = {bytes(row["term"]): row["families"] for row in rows}
+    near = {bytes(row["term"]): row["families"] for row in often.collect()}
     if not near or not outside:
         return {}
     rows = _family_counts(sample.where(~F.col(target)), frozenset(near), s).collect()
