@@ -24,6 +24,19 @@ ROWS_AT_ONCE = 1024
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+UPPER, LOWER = (bytes(range(a, a + 26)).decode() for a in (0x41, 0x61))
+
+
+def sql_words(text: str, pattern: str) -> str:
+    """DuckDB's SQL for the words of a text; a null text has none."""
+    return f"regexp_extract_all(coalesce({text}, ''), '{pattern}')"
+
+
+def sql_lower(text: str) -> str:
+    """DuckDB's SQL for a text with A-Z as a-z and all else as it is."""
+    return f"translate({text}, '{UPPER}', '{LOWER}')"
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding them."""
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waferlens.llm.common import append_columns, fresh_name, staged, text_bytes
+from waferlens.llm.common import append_columns, fresh_name, sql_lower, sql_words, staged, text_bytes
 
 WINDOW = 10
 # Text of the benchmark in a block, in bytes, which takes about ten times that in memory,
@@ -198,6 +198,32 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     )
 
 
+def sql(window: int = WINDOW) -> str:
+    """The same in DuckDB's SQL: all windows of both sides, joined as text."""
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    words = sql_words(sql_lower("text"), pattern)
+    return f"""WITH split AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, doc_id, {words} AS w FROM documents),
+items AS (
+    SELECT item_id, w, least({window}, len(w)) AS size FROM (SELECT item_id, {words} AS w FROM benchmark)),
+windows AS MATERIALIZED (
+    SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item, size,
+        array_to_string(w[place : place + size - 1], ' ') AS text
+    FROM items, unnest(range(1, len(w) - size + 2)) AS u(place) WHERE size > 0),
+places AS (
+    SELECT row, place, size, array_to_string(w[place : place + size - 1], ' ') AS text
+    FROM split, (SELECT DISTINCT size FROM windows) AS sizes, unnest(range(1, len(w) - size + 2)) AS u(place)),
+found AS MATERIALIZED (SELECT row, place, size, item FROM places JOIN windows USING (size, text)),
+hit AS (
+    SELECT row, count(DISTINCT place + step) AS n FROM found, unnest(range(size)) AS u(step) GROUP BY row),
+named AS (
+    SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT row, item FROM found) GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM split LEFT JOIN hit USING (row) LEFT JOIN named USING (row)"""
+
+
 def brute_force(docs: list[tuple], items: list[tuple], window: int = WINDOW) -> list[tuple]:
     """The same by comparing every window with every place, for tests."""
     out = []

@@ -45,6 +45,8 @@ from waferlens.llm.common import (
     join_bounded,
     shingle_hashes,
     signed,
+    sql_lower,
+    sql_words,
     squeezed,
     staged,
     text_bytes,
@@ -720,6 +722,35 @@ def near_duplicates(docs: DataFrame, settings: JoinSettings | None = None) -> Da
     )
 
 
+def sql(shingle: int = 5, numerator: int = 75, denominator: int = 100) -> str:
+    """The same in DuckDB's SQL: common shingles of every two sets, and what links reach."""
+    pattern = r"[^\x20\x09-\x0D]+"
+    grams = f"list_transform(range(1, len(w) - {shingle - 2}), lambda i: array_to_string(w[i : i + {shingle - 1}], ' '))"
+    return f"""WITH RECURSIVE split AS (
+    SELECT row_number() OVER () AS row, doc_id, {sql_words(sql_lower("text"), pattern)} AS w FROM documents),
+sets AS MATERIALIZED (
+    SELECT row, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {shingle} THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct({grams})) END AS s
+    FROM split),
+classes AS MATERIALIZED (
+    SELECT row_number() OVER () AS class, s, min(doc_id) AS lowest FROM sets WHERE len(s) > 0 GROUP BY s),
+grams AS MATERIALIZED (SELECT class, len(s) AS n, unnest(s) AS gram FROM classes),
+links AS MATERIALIZED (
+    SELECT a.class AS one, b.class AS other
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.class <> b.class
+        AND {denominator} * a.n >= {numerator} * b.n AND {denominator} * b.n >= {numerator} * a.n
+    GROUP BY a.class, b.class, a.n, b.n
+    HAVING {denominator} * count(*) >= {numerator} * (a.n + b.n - count(*))),
+reached AS (
+    SELECT class, class AS far FROM classes
+    UNION SELECT reached.class, links.other FROM reached JOIN links ON links.one = reached.far),
+components AS (
+    SELECT reached.class, min(lowest) AS component_id
+    FROM reached JOIN classes ON classes.class = reached.far GROUP BY reached.class)
+SELECT doc_id, len(sets.s) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM sets LEFT JOIN classes USING (s) LEFT JOIN components USING (class)"""
+
+
 def keep_first(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
     """One row of each component of ``docs``, with all its columns.
 

@@ -117,6 +117,9 @@ QUERIES: dict[str, Query] = {
 # Compressed sizes, tokenisers and fitted models have no SQL form; the rest is tested by brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": url_filter.SQL,
+    "op7_decontaminate": decontaminate.sql(),
+    "op8_ngram_join": ngram_join.sql(),
+    "op9_repeated_passages": substring.sql(),
     "op11_merkle_manifest": merkle.sql(),
     "op13_vector_codes": vector_codes.sql(),
 }

@@ -34,6 +34,7 @@ from waferlens.llm.common import (
     join_bounded,
     shingle_hashes,
     signed,
+    sql_words,
     squeezed,
     staged,
     text_bytes,
@@ -364,6 +365,30 @@ def digest(kept: DataFrame) -> DataFrame:
     )
 
 
+def sql(window: int = 35) -> str:
+    """The same in DuckDB's SQL: all windows as text, counted, and what they cover."""
+    pattern = r"[^\x20\x09-\x0D]+"
+    return f"""WITH split AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, doc_id, {sql_words("text", pattern)} AS w FROM documents),
+windows AS MATERIALIZED (
+    SELECT row, place, array_to_string(w[place : place + {window - 1}], ' ') AS text
+    FROM split, unnest(range(1, len(w) - {window - 2})) AS u(place) WHERE len(w) >= {window}),
+repeated AS (SELECT text FROM windows GROUP BY text HAVING count(*) > 1),
+starts AS (SELECT row, place, 1 AS flag FROM windows SEMI JOIN repeated USING (text)),
+words AS (
+    SELECT row, place, w[place] AS word FROM split, unnest(range(1, len(w) + 1)) AS u(place)),
+covered AS (
+    SELECT row, place, word, coalesce(max(flag) OVER (
+        PARTITION BY row ORDER BY place ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW), 0) AS gone
+    FROM words LEFT JOIN starts USING (row, place)),
+left_over AS (
+    SELECT row, CAST(sum(gone) AS BIGINT) AS removed,
+        string_agg(word, ' ' ORDER BY place) FILTER (WHERE gone = 0) AS text
+    FROM covered GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN left_over USING (row)"""
+
+
 def brute_force(rows: list[tuple], window: int = 35) -> list[tuple]:
     """The same from a table of all windows, for tests."""
     count: dict[tuple, int] = {}
