@@ -151,7 +151,7 @@ def likeness(a, b, k):
 @pytest.mark.parametrize("per_range", [4_096, 7])
 def test_fingerprints_equal_brute_force(docs, rows, per_range):
     k = fingerprint.SIZE
-    ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, xx(r[1])))
     expected = []
     for place, (key, text) in enumerate(ordered):
         follows = ordered[(place + 1) % len(ordered)][1]
@@ -170,6 +170,27 @@ def test_fingerprints_equal_brute_force(docs, rows, per_range):
     assert fingerprint.fingerprints(docs.limit(0)).count() == 0
 
 
+def test_hot_ids_and_copies_are_split(spark, monkeypatch):
+    """A third of the rows under one id, a third one row: no range holds many of either."""
+    monkeypatch.setattr(fingerprint, "COPIES_AT_ONCE", 7)
+    rows = [(5, words(12, i)) for i in range(300)] + [(9, words(30, 1))] * 300 + [(None, "same")] * 20
+    rows += [(i, words(12, 1_000 + i)) for i in range(100, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, xx(r[1])))
+    expected = []
+    for (key, text), (_, after) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        gone = len(text) // 4
+        edited = text[: len(text) - gone] + after[:gone]
+        expected.append((key, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    found = fingerprint.fingerprints(df, rows_per_range=20)
+    assert collected(found.select("doc_id", "n_chars", "edited_sha256")) == sorted(expected, key=repr)
+
+
+def test_ranges_have_no_ceiling():
+    assert [fingerprint.range_count(n) for n in (0, 1, 4_096, 4_097, 10**8)] == [1, 1, 1, 2, 10_000]
+    assert fingerprint.range_count(3 * 10**10) == -(-3 * 10**10 // 65_536)
+
+
 def test_sketches_merge_and_estimate(spark):
     a, b = words(4_000, 1, 10**6), words(3_000, 2, 10**6)
     rows = [(0, a), (1, a + " " + b), (2, b)]

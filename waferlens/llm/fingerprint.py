@@ -10,18 +10,30 @@ Everything is built from SQL functions. Words are what stands between the
 blanks ``\\x20\\x09-\\x0D``, in small letters; a text of fewer than five words has
 one shingle of all of them, an empty or null text none. Two empty sketches have
 resemblance 1.
+
+For the next document rows are dealt into ranges of ids, whose borders come from
+sorting ids alone. Rows of one id follow one another by the hash of their text,
+null ids come first, and equal rows are one row with a count until the end, so
+neither an id nor a text that a third of all rows have is one range. An empty
+table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waferlens.llm.common import staged
+
 SHINGLE = 5
 SIZE = 256
-# Documents are dealt into ranges of about so many rows, in at most so many ranges.
-ROWS_PER_RANGE = 4_096
-MOST_RANGES = 10_000
+# Documents are dealt into ranges of at least so many rows. Beyond so many ranges a range
+# may grow to the larger size; beyond that there are more ranges again.
+ROWS_PER_RANGE, MANY_RANGES, LARGE_RANGE = 4_096, 10_000, 65_536
+# Copies of a row are written out so many at a time.
+COPIES_AT_ONCE = 1_000
 _TWO_64 = float(1 << 64)
 
 
@@ -95,72 +107,100 @@ def as_string(fingerprint: Column) -> Column:
     return F.array_join(fingerprint.cast("array<string>"), ",")
 
 
-def with_next(docs: DataFrame, rows_per_range: int, most_ranges: int) -> DataFrame:
-    """Add ``next_text`` and ``next_print``: those of the next row by id, then text.
+def range_count(rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """How many ranges so many rows are dealt into."""
+    fine = -(-rows // rows_per_range)
+    coarse = -(-rows // max(rows_per_range, LARGE_RANGE))
+    return max(1, min(fine, max(MANY_RANGES, coarse)))
+
+
+def _constant(values: list, kind: str) -> Column:
+    """A list as one constant of the plan, however long it is."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
+def _place(key: Column, borders: list[tuple]) -> tuple[Column, Column]:
+    """The number of the range that a key falls into, and whether it is the range's first key.
 
-    Rows are dealt into ranges of ids by borders that are ids of the table. A
-    row at a border goes to the range before as well, as the successor of that
-    range's last row, and the first rows of all to the last range; so one
-    shuffle finds every successor. ``docs`` has ``doc_id``, ``text``.
+    Two short searches instead of one long: the blocks of borders, then one block.
     """
-    count, lowest = docs.agg(F.count(F.lit(1)), F.min("doc_id")).first()
-    ranges = min(most_ranges, -(-count // rows_per_range))
-    shares = [i / ranges for i in range(1, ranges)]
-    borders = sorted(
-        {
-            border
-            for border in (
-                docs.agg(F.percentile_approx("doc_id", shares, 100_000)).first()[0]
-                if shares and lowest is not None
-                else []
-            )
-            if border != lowest
-        }
-    )
-    # Two short searches instead of one long: the blocks of borders, then one block.
     step = max(1, round(len(borders) ** 0.5))
-    blocks = [borders[at : at + step] for at in range(0, len(borders), step)]
-    longs = lambda values: F.array(*map(F.lit, values)).cast("array<bigint>")
-    known = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    if borders:
-        block = F.size(F.filter(longs([b[0] for b in blocks]), lambda b: b <= known))
-        inside = F.filter(
-            F.get(F.array(*map(longs, blocks)), block - 1), lambda b: b <= known
-        )
-        place = F.when(block == 0, 0).otherwise((block - 1) * step + F.size(inside))
-        at_border = F.when(block == 0, False).otherwise(F.get(inside, F.size(inside) - 1) == known)
+    rows = [{"id": own, "tie": tie} for own, tie in borders]
+    blocks = [rows[at : at + step] for at in range(0, len(rows), step)]
+    kind = "array<struct<id: bigint, tie: bigint>>"
+    block = F.size(F.filter(_constant([b[0] for b in blocks], kind), lambda b: b <= key)) - 1
+    own = F.get(_constant(blocks, f"array<{kind}>"), block)
+    inside = F.size(F.filter(own, lambda b: b <= key)) - 1
+    return block * step + inside, F.get(own, inside) == key
+
+
+def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Add ``print``, ``next_text`` and ``next_print``: the latter of the next row by id, then text.
+
+    A row that a range begins with goes to the range before as well, as the
+    successor of that range's last row (the very first to the last), so one
+    shuffle of the texts finds every successor. Only where ids repeat are equal
+    rows counted together, and texts hashed to tell rows of one id apart.
+    ``docs`` has ``doc_id``, ``text``.
+    """
+    repeated = not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
+    if repeated:
+        docs = staged(docs.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("_copies")), "rows")
     else:
-        place, at_border = F.lit(0), F.lit(False)
-    first = F.col("doc_id").eqNullSafe(F.lit(lowest)) if lowest is not None else F.lit(True)
-    if lowest is not None:
-        # Rows without an id come before all others.
-        nulls = docs.where(F.col("doc_id").isNull()).limit(1).count()
-        first = F.col("doc_id").isNull() if nulls else first
-    last_range = len(borders)
-    dealt = docs.withColumn("_place", place.cast("int")).withColumn(
-        "_copy",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.struct(F.col("_place").alias("range"), F.lit(0).alias("role")),
-                    F.when(at_border, F.struct((F.col("_place") - 1).alias("range"), F.lit(1).alias("role"))),
-                    F.when(first, F.struct(F.lit(last_range).alias("range"), F.lit(2).alias("role"))),
-                )
-            )
-        ),
+        docs = docs.withColumn("_copies", F.lit(1).cast("long"))
+    tie = F.xxhash64("text") if repeated else F.lit(0).cast("long")
+    key = F.struct(F.col("doc_id").alias("id"), tie.alias("tie"))
+    ranges = range_count(docs.count(), rows_per_range)
+    firsts = (
+        docs.select(key.alias("_key"))
+        .repartitionByRange(ranges, "_key")
+        .groupBy(F.spark_partition_id().alias("_range"))
+        .agg(F.min("_key").alias("_key"))
+    )
+    borders = [tuple(row["_key"]) for row in firsts.collect()]
+    borders.sort(key=lambda b: (b[0] is not None, b[0] or 0, b[1]))
+    if not borders:
+        borders = [(None, 0)]
+    place, begins = _place(F.col("_key"), borders)
+    own = F.struct(F.col("_place").alias("range"), F.lit(0).alias("role"))
+    before = F.struct(
+        F.pmod(F.col("_place") - 1, F.lit(len(borders))).alias("range"), F.lit(1).alias("role")
     )
-    spread = dealt.select(
-        "doc_id", "text", F.col("_copy.range").alias("_range"), F.col("_copy.role").alias("_role")
-    ).repartition("_range")
-    order = Window.partitionBy("_range").orderBy(
-        "_role", F.col("doc_id").asc_nulls_first(), "text"
+    dealt = (
+        docs.withColumn("_key", key)
+        .withColumns({"_place": place, "_begins": begins})
+        .withColumn("_copy", F.explode(F.when(F.col("_begins"), F.array(own, before)).otherwise(F.array(own))))
+        .select("doc_id", "text", "_copies", "_key", F.col("_copy.range").alias("_range"), F.col("_copy.role").alias("_role"))
+        .repartition("_range")
     )
-    return (
-        spread.withColumn("print", sketch(F.col("text")))
+    order = Window.partitionBy("_range").orderBy("_role", "_key", "text")
+    found = (
+        dealt.withColumn("print", sketch(F.col("text")))
         .withColumn("next_text", F.lead("text").over(order))
         .withColumn("next_print", F.lead("print").over(order))
         .where(F.col("_role") == 0)
-        .drop("_range", "_role")
+        .drop("_range", "_role", "_key")
+    )
+    return _written_out(found, rows_per_range) if repeated else found.drop("_copies")
+
+
+def _written_out(rows: DataFrame, most: int) -> DataFrame:
+    """Each row as often as it was there: all copies but the last are followed by themselves."""
+    fixed = staged(rows, "followed")
+    many = fixed.agg(F.max("_copies")).first()[0] or 0
+    last = F.col("_copies") - 1
+    pieces = fixed.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(COPIES_AT_ONCE).cast("long"))))
+    if many > most:
+        pieces = pieces.repartition(F.xxhash64("doc_id", "print", "_from"))
+    upto = F.least(last, F.col("_from") + COPIES_AT_ONCE - 1)
+    copies = pieces.withColumn("_copy", F.explode(F.sequence(F.col("_from"), upto)))
+    own = F.col("_copy") < last
+    return copies.select(
+        "doc_id",
+        "text",
+        "print",
+        F.when(own, F.col("text")).otherwise(F.col("next_text")).alias("next_text"),
+        F.when(own, F.col("print")).otherwise(F.col("next_print")).alias("next_print"),
     )
 
 
@@ -171,19 +211,17 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), count - gone), F.substring(following, F.lit(1), gone))
 
 
-def fingerprints(
-    docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE, most_ranges: int = MOST_RANGES
-) -> DataFrame:
+def fingerprints(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are.
 
-    Rows with the same id follow one another by text; every row has one
-    result. The row after the last is the first.
+    Rows with the same id follow one another by the hash of their text; every
+    row has one result. The row after the last is the first.
     """
     plain = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    pairs = with_next(plain, rows_per_range, most_ranges)
+    pairs = with_next(plain, rows_per_range)
     changed = pairs.withColumn("edited", edited(F.col("text"), F.col("next_text")))
     return changed.select(
         "doc_id",
