@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from waferlens.shared import materialise
 from waferlens.llm import (
     components,
     decontaminate,
@@ -683,6 +684,76 @@ def test_near_duplicates_equal_brute_force(docs, rows, number):
     assert collected(ngram_join.near_duplicates(docs, s)) == sorted(brute_components(rows, s), key=repr)
 
 
+def independent_components(rows, shingle=5):
+    """Links of all pairs by word tuples, without any code of the operator."""
+    def grams(text):
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        found = [w for w in re.split(r"[\x20\x09-\x0D]+", lowered) if w]
+        runs = [tuple(found[i : i + shingle]) for i in range(len(found) - shingle + 1)]
+        return frozenset(runs or ([tuple(found)] if found else []))
+
+    sets = [grams(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for _ in rows:
+        before = list(label)
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if a and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+        if label == before:
+            break
+    lowest = {}
+    for (key, _), own in zip(rows, label, strict=True):
+        lowest[own] = min(lowest.get(own, key), key)
+    return [(key, len(sets[i]), lowest[label[i]]) for i, (key, _) in enumerate(rows)]
+
+
+def receipts(count, template="thank you for your order at our shop number"):
+    return [(i, f"{template} n{i}") for i in range(count)]
+
+
+def test_forms_that_differ_enough_are_not_tied(spark):
+    """One passage in sets of many sizes: whoever shares too little of it is no candidate at all."""
+    s = ngram_join.JoinSettings(bucket_rows=8, frequent=2)
+    rows = receipts(120)
+    rows += [(200 + i, " ".join(f"a{i}x{k}" for k in range(1 + i % 9)) + " " + words(12, 7)) for i in range(90)]
+    for extra in ([], [(300, words(12, 7)), (301, words(11, 7)), (302, "thank you for your order at our shop")]):
+        df = spark.createDataFrame(rows + extra, "doc_id long, text string").repartition(3)
+        assert collected(ngram_join.near_duplicates(df, s)) == sorted(
+            independent_components(rows + extra), key=repr
+        )
+    only = spark.createDataFrame(receipts(400), "doc_id long, text string")
+    frequent = ngram_join.frequent_shingles(ngram_join.profile(only, s), s)
+    lists = ngram_join.buckets(ngram_join.prefixes(only, frequent, s), s)
+    assert lists.where(F.col("kind") == ngram_join.HOT).count() >= 400
+    assert ngram_join.hot_ties(lists, s).count() == 0
+
+
+def test_places_that_link_equal_all_pairs():
+    rng = np.random.default_rng(4)
+    s = ngram_join.JoinSettings()
+    for _ in range(200):
+        sizes = rng.integers(1, 40, rng.integers(1, 30))
+        places = (rng.random(len(sizes)) * [ngram_join.prefix_length(int(n), s) for n in sizes]).astype(np.int64)
+        codes = np.unique(ngram_join.coded(sizes, places))
+        counts = rng.integers(1, 3, len(codes))
+        sizes, places = ngram_join.decoded(codes)
+        forest, linked = components.Forest(), set()
+        for i in range(len(codes)):
+            for j in range(i + 1):
+                both = min(sizes[i] - places[i], sizes[j] - places[j])
+                # The smaller set can also be too small to share as much as it would have to.
+                if (i != j or counts[i] > 1) and ngram_join.links(sizes[i], sizes[j], both, s) and (
+                    4 * min(sizes[i], sizes[j]) >= 3 * max(sizes[i], sizes[j])
+                ):
+                    linked |= {i, j}
+                    forest.join(i, j)
+        expected = [forest.root(i) if i in linked else -1 for i in range(len(codes))]
+        assert ngram_join.places_that_link(codes, counts, s).tolist() == expected
+        every = ngram_join.places_that_link(codes, counts, ngram_join.JoinSettings(compared_places=0))
+        assert set(every.tolist()) == {0}
+
+
 def test_rows_of_one_id_meet_only_their_own_class(spark):
     """100 near copies without an id, 100 with one id, each row three times: no pairs."""
     rows = []
@@ -691,7 +762,7 @@ def test_rows_of_one_id_meet_only_their_own_class(spark):
             text = words(90, 4).split()
             text[(i + first) % 90] = f"own{first + i}"
             rows += [(own_id, " ".join(text))] * 3
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2).localCheckpoint()
+    df = materialise(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
     s = ngram_join.JoinSettings()
     classes = {r["class"] for r in ngram_join.profile(df, s).where("class is not null").collect()}
     wanted = (

@@ -14,7 +14,10 @@ join runs over classes.
    traversal drops pairs of nodes whose largest possible overlap is too small;
    what is left is tested class by class with the same bound, and only a
    spanning forest of what is possible leaves the bucket: not all pairs. A
-   shingle with more classes than a bucket holds is not gathered; it ties them.
+   shingle with more classes than a bucket holds is not gathered. Where it stands
+   in the order of each set and how large the sets are bounds what two of them
+   can share from there on; it ties only classes of sizes and places that can
+   link, so texts of one form that differ enough are not tied at all.
 3. Proof. The forests of all buckets give groups that no link can leave. The
    shingles of each class travel once, to its group, where links are verified
    on whole sets until the group's true components are known. Large groups are
@@ -73,6 +76,9 @@ class JoinSettings:
     most_frequent: int = 1_000_000
     # Classes of a bucket; a shingle found more often ties its classes without a bucket.
     bucket_rows: int = 1_024
+    # Sizes and places of a hot shingle that are compared pair by pair; one with more, a few
+    # hundred sizes by as many places, ties all its classes. It decides no link.
+    compared_places: int = 8_192
     # Shingles of a block of a group, which a task works on at a time.
     block_shingles: int = 250_000
 
@@ -89,6 +95,19 @@ def set_class(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+# What a list of classes is: to be searched, tied as a whole, or a class of a hot shingle.
+SEARCHED, TIED, HOT = 0, 1, 2
+
+
+def coded(sizes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Size of a set and place in it as one negative number."""
+    return -((sizes.astype(np.int64) << 31) | places)
+
+
+def decoded(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return -codes >> 31, -codes & ((1 << 31) - 1)
+
+
 def prefix_length(count: int, s: JoinSettings) -> int:
     return count + (-s.numerator * count // s.denominator) + 1
 
@@ -303,7 +322,8 @@ def prefixes(
 ) -> DataFrame:
     """(shingle, size, class) for the first shingles of each set, in the common order.
 
-    A shingle known to come more often than a bucket holds is hot: its size is negative.
+    A shingle known to come more often than a bucket holds is hot: its size is
+    ``coded`` with its place in the set's order.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -334,17 +354,18 @@ def prefixes(
                 if not parts:
                     continue
                 lengths = [len(p) for p in parts]
-                size = np.repeat(np.array(sizes, np.int32), lengths)
+                size = np.repeat(np.array(sizes, np.int64), lengths)
+                place = np.concatenate([np.arange(length) for length in lengths])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(signed(np.concatenate(parts))),
-                        pa.array(np.where(np.concatenate(hot), -size, size)),
+                        pa.array(np.where(np.concatenate(hot), coded(size, place), size)),
                         pa.array(np.repeat(np.array(classes, np.int64), lengths)),
                     ],
                     names=["shingle", "size", "class"],
                 )
 
-    return docs.mapInArrow(run, "shingle long, size int, class long")
+    return docs.mapInArrow(run, "shingle long, size long, class long")
 
 
 def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
@@ -352,33 +373,33 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
 
     Rows of a shingle come by size, so a list ends where the next size is too
     far. Where it is full, another one goes on with its first class again; such
-    lists are ``overfull`` and count as joined as a whole until step 3. So do
-    the classes of a hot shingle, which go to partitions by class and are listed
-    one by one with the shingle itself, as if it were a class.
+    lists are ``TIED`` and count as joined as a whole until step 3. The classes
+    of a hot shingle go to partitions by class and are listed one by one, as
+    shingle, coded size and place, and class.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[bytes] = set()
-        out: list[tuple[list[int], bool]] = []
+        out: list[tuple[list[int], int]] = []
         members: list[int] = []
-        overfull = False
+        kind = SEARCHED
         shingle = size = own = None
 
         def flush() -> None:
             if len(members) > 1:
-                key = xxhash.xxh3_128_digest(np.array([*members, overfull], np.int64).tobytes())
+                key = xxhash.xxh3_128_digest(np.array([*members, kind], np.int64).tobytes())
                 if key not in known:
                     if len(known) >= 500_000:
                         known.clear()
                     known.add(key)
-                    out.append((members, overfull))
+                    out.append((members, kind))
 
         def ready() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True)) or [[], []]
             out.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.list_(pa.int64())), pa.array(columns[1], pa.bool_())],
-                names=["members", "overfull"],
+                [pa.array(columns[0], pa.list_(pa.int64())), pa.array(columns[1], pa.int32())],
+                names=["members", "kind"],
             )
 
         for batch in batches:
@@ -390,15 +411,15 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
             rows = (column.to_numpy()[look].tolist() for column in batch.columns)
             for next_shingle, next_size, next_own in zip(*rows, strict=True):
                 if next_size < 0:
-                    out.append(([next_shingle, next_own], True))
+                    out.append(([next_shingle, next_size, next_own], HOT))
                     continue
                 if next_shingle == shingle and next_own == own:
                     continue
                 if next_shingle != shingle or s.denominator * size < s.numerator * next_size:
                     flush()
-                    members, overfull = [], False
+                    members, kind = [], SEARCHED
                 elif len(members) >= s.bucket_rows:
-                    overfull = True
+                    kind = TIED
                     flush()
                     members = [members[0]]
                 members.append(next_own)
@@ -409,7 +430,52 @@ def buckets(prefixed: DataFrame, s: JoinSettings) -> DataFrame:
 
     place = F.when(F.col("size") < 0, F.xxhash64("class")).otherwise(F.col("shingle"))
     dealt = prefixed.repartition(place).sortWithinPartitions("shingle", "size", "class")
-    return dealt.mapInArrow(run, "members array<long>, overfull boolean").distinct()
+    return dealt.mapInArrow(run, "members array<long>, kind int").distinct()
+
+
+def places_that_link(codes: np.ndarray, counts: np.ndarray, s: JoinSettings) -> np.ndarray:
+    """For each size and place of a hot shingle the number of its part; -1 if it links with none.
+
+    If the shingle is the first that two sets share, they share at most what
+    follows it in either. Parts are what such possible links connect.
+    """
+    if len(codes) > s.compared_places:
+        return np.zeros(len(codes), np.int64)
+    sizes, places = decoded(codes)
+    rest = sizes - places
+    total = s.numerator + s.denominator
+    part = np.arange(len(codes))
+    alone = np.ones(len(codes), bool)
+    for at in range(len(codes)):
+        low, high = np.minimum(sizes, sizes[at]), np.maximum(sizes, sizes[at])
+        fits = s.denominator * low >= s.numerator * high
+        fits &= total * np.minimum(rest, rest[at]) >= s.numerator * (sizes + sizes[at])
+        fits[at] &= counts[at] > 1
+        if fits.any():
+            alone[fits] = alone[at] = False
+            joined = np.unique(np.append(part[fits], part[at]))
+            part[np.isin(part, joined)] = joined[0]
+    return np.where(alone, -1, part)
+
+
+def hot_ties(lists: DataFrame, s: JoinSettings) -> DataFrame:
+    """(left, right): each class of a hot shingle with the part of the shingle that it may link in."""
+    member = F.col("members")
+    hot = lists.where(F.col("kind") == HOT).select(
+        member[0].alias("shingle"), member[1].alias("code"), member[2].alias("class")
+    )
+
+    def parts(table: pa.Table) -> pa.Table:
+        found = places_that_link(table["code"].to_numpy(), table["rows"].to_numpy(), s)
+        return table.drop_columns(["rows"]).append_column("part", pa.array(found))
+
+    counted = hot.groupBy("shingle", "code").agg(F.count(F.lit(1)).alias("rows"))
+    # A group has a row for each size and place, however many classes there are.
+    linked = counted.groupBy("shingle").applyInArrow(parts, "shingle long, code long, part long")
+    linked = staged(linked.where("part >= 0"), "hot-places")
+    return join_bounded(hot, linked, ["shingle", "code"], "inner").select(
+        F.xxhash64("shingle", "part").alias("left"), F.col("class").alias("right")
+    )
 
 
 # --- whole sets ------------------------------------------------------------------
@@ -503,10 +569,10 @@ def possible_edges(lists: DataFrame, classes: DataFrame, s: JoinSettings) -> Dat
                 pairs.clear()
         yield _edges(list(pairs))
 
-    rows = lists.where(~F.col("overfull")).select(
+    rows = lists.where(F.col("kind") == SEARCHED).select(
         F.xxhash64("members").alias("bucket"), F.explode("members").alias("class")
     )
-    whole = lists.where("overfull").select(
+    whole = lists.where(F.col("kind") == TIED).select(
         F.col("members")[0].alias("left"), F.explode("members").alias("right")
     )
     dealt = (
@@ -515,7 +581,8 @@ def possible_edges(lists: DataFrame, classes: DataFrame, s: JoinSettings) -> Dat
         .repartition("bucket")
         .sortWithinPartitions("bucket")
     )
-    return dealt.mapInArrow(run, "left long, right long").union(whole).distinct()
+    searched = dealt.mapInArrow(run, "left long, right long")
+    return searched.union(whole).union(hot_ties(lists, s)).distinct()
 
 
 def _proof(rows: list[tuple], group: Group, label: np.ndarray, s: JoinSettings):
@@ -700,12 +767,17 @@ def labelled_rows(docs: DataFrame, s: JoinSettings) -> DataFrame:
     rows = profiled.where(F.col("seen").isNull()).select("doc_id", "n_shingles", "class")
     labels = link_classes(plain, profiled, s)
     classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("low"))
-    labelled = staged(
-        classes.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")),
-        "labelled",
+    labelled = staged(classes.join(labels, "class", "left"), "labelled")
+    # Most classes are alone; those of a large component are dealt over tasks.
+    linked = labelled.where(F.col("label").isNotNull())
+    lowest = staged(linked.groupBy("label").agg(F.min("low").alias("component_id")), "lowest")
+    alone = labelled.where(F.col("label").isNull())
+    named = staged(
+        join_bounded(linked, lowest, ["label"], "inner")
+        .select("class", "label", "component_id")
+        .union(alone.select("class", F.col("class").alias("label"), F.col("low").alias("component_id"))),
+        "named",
     )
-    lowest = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = staged(labelled.join(lowest, "label").select("class", "label", "component_id"), "named")
     linked = rows.where(F.col("class").isNotNull()).join(named, "class")
     columns = ["doc_id", "n_shingles", "class", "label", "component_id"]
     empty = rows.where(F.col("class").isNull()).select(
