@@ -640,6 +640,13 @@ def test_contamination_equals_brute_force(spark, docs, rows, block_bytes):
     assert collected(found) == sorted(decontaminate.brute_force(rows, items), key=repr)
 
 
+def test_copies_of_an_item_share_a_block_once(spark):
+    items = [(1, words(40, 1))] * 400 + [(i, words(40, i)) for i in range(2, 40)]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    blocks = list(decontaminate.item_blocks(bench, "item_id", "text", 1_000))
+    assert sum(map(len, blocks)) == 39 and max(map(len, blocks)) < 15
+
+
 def test_contamination_without_items_or_documents(spark, docs, none):
     bench = spark.createDataFrame([(1, "one")], "item_id long, text string")
     assert decontaminate.contamination(docs, bench.limit(0)).where("contaminated or n_hit > 0").count() == 0

@@ -96,11 +96,14 @@ class Items:
 def item_blocks(
     benchmark: DataFrame, id_column: str, text_column: str, block_bytes: int
 ) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in blocks of about ``block_bytes``, one at a time: the sizes are summed first."""
+    """The items in blocks of about ``block_bytes``, one at a time: the sizes are summed first.
+
+    Copies of an item are one, so that blocks dealt by hash are even.
+    """
     items = benchmark.where(F.col(text_column).isNotNull()).select(
         F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("key"),
         F.col(text_column).alias("words"),
-    )
+    ).distinct()
     size = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     for number in range(blocks):
@@ -125,7 +128,6 @@ def flag_contaminated(
     flat list; ``items`` the ids of items with an occurring window, sorted.
     """
     session = docs.sparkSession
-    blocks = item_blocks(benchmark, item_id, item_text, block_bytes)
     fields = [
         T.StructField(names[0], T.LongType()),
         T.StructField(names[1], T.ArrayType(T.LongType())),
