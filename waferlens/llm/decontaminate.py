@@ -14,7 +14,10 @@ other in a task, and where there are more, rows are written out in between.
 
 Defined results: a null text has no words and is clean; a null item is skipped;
 an item without an id counts under the empty id; items with the same id count
-once; repeated documents are judged each; an empty benchmark hits nothing.
+once; repeated documents are judged each; an empty benchmark hits nothing. Of windows
+with two words equally rare the smaller word is the prefix; texts of any length are
+read whole; columns of ``docs`` stay, and names of results that clash are the caller's
+to choose. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ length of a text.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 ties go to the first language by name; repeated rows are judged each; without
-any labelled text all are ``und``. A row without an id is not learned from.
+any labelled text all are ``und``. A row without an id is not learned from. Only the
+columns named are read, whatever others there are; an empty table gives no rows.
 """
 
 from __future__ import annotations

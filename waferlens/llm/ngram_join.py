@@ -27,7 +27,9 @@ join runs over classes.
 The result is exact up to the equality of 64-bit hashes. A document of fewer
 words than a shingle has one shingle of all of them; one without words has an
 empty set and links with nothing. Repeated rows and equal sets are one class;
-a null id never names a component if the component has another one.
+a null id never names a component if the component has another one. Texts of any
+length are read whole; only id and text are read, whatever other columns there are, and
+``keep_first`` gives them all back. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ limits, leaves the smallest weighted residual norm or gives the largest
 weighted dot product of demand and residual.
 
 Defined results: a null text is empty and has just the separator; repeated rows
-are packed as often as they occur; an empty table gives no rows.
+are packed as often as they occur; an empty table gives no rows. Pieces of one length
+go by id and place, bins that are equally good by their number; a text of any length is
+tokenised whole. Only id and text are read, whatever other columns there are.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ a hash; everything else covers all rows.
 Defined results: a null text is empty; an empty text has the classifier's
 verdict for no words; a null host or path is a site of its own name; repeated
 rows are judged each; without labels of both kinds a target has probability 0,
-so without any labels all documents stay.
+so without any labels all documents stay. Indicators that are equally strong count
+alike; texts of any length are read whole; columns of ``docs`` stay, and names of
+results that clash are the caller's to choose. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ buckets by their own hash.
 
 Defined results: a null text has no words; fewer words than a window stay;
 repeated rows are copies of one another, so all their windows go; overlapping
-windows of one text (as in a word said over and over) repeat as well.
+windows of one text (as in a word said over and over) repeat as well. Texts of any
+length are read whole, a long super-k-mer in pieces; only id and text are read,
+whatever other columns there are. An empty table gives no rows.
 """
 
 from __future__ import annotations

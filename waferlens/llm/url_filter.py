@@ -8,7 +8,9 @@ that fit a URL the longest wins. All of it is built-in functions.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path;
 repeated rows are judged each; an empty rule table leaves every URL to the
-default; of two rules with one host and path the blocking one counts.
+default; of two rules with one host and path the blocking one counts. A URL of any
+length is judged whole; only its column and the id are read, whatever others there are.
+An empty table of pages gives no rows.
 """
 
 from __future__ import annotations
