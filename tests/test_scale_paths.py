@@ -340,6 +340,24 @@ def test_the_forest_does_not_depend_on_cores(tmp_path):
     assert said[0] == said[1]
 
 
+def test_a_level_of_the_forest_starts_where_the_last_one_ended(spark, monkeypatch):
+    rows = spark.range(600).select(
+        (F.col("id") % 3 == 0).cast("int").alias("is_fail"),
+        *(((F.xxhash64("id", F.lit(i)) % 1000) / 7.0).alias(f"feature_{i:03d}") for i in range(1, 4)),
+    )
+    fit, before = train.RandomForestClassifier, dict(spark.sparkContext._jsc.getPersistentRDDs())
+    grow = lambda: train.train_forest(rows, feature_names(3), trees=4, depth=12)
+    kept = grow()
+    assert kept.getCacheNodeIds()
+    assert max(tree.depth for tree in kept.trees) > 10  # beyond a checkpoint of the kept nodes
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= set(before)
+    monkeypatch.setattr(train, "RandomForestClassifier", lambda **kw: fit(**kw | {"cacheNodeIds": False}))
+    walked = grow()
+    assert not walked.getCacheNodeIds()
+    trees = lambda model: model.toDebugString.split("\n", 1)[1]
+    assert trees(kept) == trees(walked)
+
+
 def test_a_repeated_key_stays_on_one_side_of_the_split(spark):
     rows = [(7, 1)] * 400 + [(i, i % 2) for i in range(100, 900)]
     df = spark.createDataFrame(rows, "wafer_id long, is_fail int")

@@ -242,6 +242,10 @@ def train_forest(
     evenly once, however few files they come from. Their partitions depend on
     the rows alone, and class weights are rounded to binary fractions, whose
     sums are exact: the same rows and seed give the same trees on any cluster.
+
+    The node a row has reached in each tree is kept from level to level (four
+    bytes a row and tree, in memory or on disk), so a level neither walks each
+    row down from the root nor sends the trees grown so far to every task.
     """
     weights = materialise(class_weights(train, target))
     classes, rows = weights.agg(F.count(F.lit(1)), F.sum("class_rows")).first()
@@ -258,6 +262,7 @@ def train_forest(
         maxDepth=depth,
         seed=seed,
         maxMemoryInMB=1024,
+        cacheNodeIds=True,
     )
     count = max(partitions, math.ceil((rows or 0) / ROWS_PER_PARTITION))
     every = [target, *features]
